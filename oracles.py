@@ -831,7 +831,7 @@ def report_checks() -> dict[str, str]:
             + " WHERE is_current",
         ),
         "ext_view_fact": query(published, shown),
-        "compact_cluster": query(published, shown),
+        "compact_cluster": query(deliveries_ctes(), shown),
         "run_log": query(
             published,
             f"""SELECT 'load_dim_currency' AS procedure_name, 'SUCCESS' AS status,
@@ -867,6 +867,21 @@ def published_ctes() -> list[str]:
     return location_ctes() + customers + product_ctes() + employee_ctes() + typed + [fact]
 
 
+def deliveries_ctes() -> list[str]:
+    """Sales delivered in two parts by currency. The second adds the sales the first did not load."""
+    ctes = published_ctes()
+    dims, typed, fact = ctes[:-3], ctes[-3:-1], ctes[-1]
+    parts = []
+    for number, part in ((1, "currency_code = 'EUR'"), (2, "currency_code IS DISTINCT FROM 'EUR'")):
+        rows = [c.replace("sales AS (", f"sales_{number} AS (", 1) for c in typed[1:]]
+        rows = [c.replace("FROM sales_typed)", f"FROM sales_typed WHERE {part})") for c in rows]
+        loaded = fact.replace("fact_sales AS", f"delivery_{number} AS").replace("FROM sales f", f"FROM sales_{number} f")
+        parts += rows + [loaded]
+    both_parts = """fact_sales AS (SELECT * FROM delivery_1 UNION ALL SELECT * FROM delivery_2 d WHERE NOT EXISTS
+        (SELECT 1 FROM delivery_1 e WHERE e.source_system = d.source_system AND e.sale_id = d.sale_id))"""
+    return dims + typed[:1] + parts + [both_parts]
+
+
 EVENT_MARKS = """marks AS (SELECT CAST(user_id AS VARCHAR) AS source_system, event_type AS object_name, max(ts) AS mark
     FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY ALL)"""
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,26 +36,23 @@ def snapshot_key(load_date: dt.date) -> Column:
 
 def changed(
     left: str, right: str, columns: Iterable[str], types: Mapping[str, str], null_as_default: bool = False
-) -> Column:
-    """True when any column of struct ``left`` differs from struct ``right``.
+) -> str:
+    """SQL condition: some column of struct ``left`` differs from struct ``right``.
 
     NULL equals only NULL, unless ``null_as_default`` lets it equal the type's default.
     """
 
-    def side(struct: str, name: str) -> Column:
-        value = F.col(struct)[name]
-        return F.coalesce(value, _null_default(types[name])) if null_as_default else value
+    def side(struct: str, name: str) -> str:
+        value = f"{struct}.`{name}`"
+        return f"coalesce({value}, {null_default(types[name])})" if null_as_default else value
 
-    tests = [~side(left, c).eqNullSafe(side(right, c)) for c in columns]
-    return reduce(Column.__or__, tests, F.lit(False))
+    tests = [f"NOT ({side(left, c)} <=> {side(right, c)})" for c in columns]
+    return f"({' OR '.join(tests)})" if tests else "false"
 
 
-def _null_default(type_name: str) -> Column:
-    if type_name == "string":
-        return F.lit(NULL_DEFAULTS["string"])
-    if type_name == "date":
-        return F.lit(NULL_DEFAULTS["date"]).cast("date")
-    return F.lit(NULL_DEFAULTS["number"]).cast(type_name)
+def null_default(type_name: str) -> str:
+    kind = type_name if type_name in NULL_DEFAULTS else "number"
+    return f"CAST('{NULL_DEFAULTS[kind]}' AS {type_name})"
 
 
 def order_discount(quantity: Column, price: Column, percent: Column) -> Column:

@@ -38,7 +38,7 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] =
     if not order:
         return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return df.select("*", rank.alias("_rank")).where("_rank = 1").drop("_rank")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -146,7 +146,7 @@ class RunRecord:
 
 @contextmanager
 def run_log(
-    append: Callable[[Sequence[Mapping]], None], procedure: str, now: Callable[[], dt.datetime] | None = None
+    append: Callable[[Mapping], None], procedure: str, now: Callable[[], dt.datetime] | None = None
 ) -> Iterator[RunRecord]:
     """Log one load: when, how many rows, and SUCCESS or FAILED with the error, which is passed on.
 
@@ -158,11 +158,10 @@ def run_log(
     try:
         yield record
     except BaseException as error:
-        append([{**run, "end_time": now(), "status": "FAILED", "rows_inserted": 0, "rows_updated": 0,
-                 "error_message": str(error)}])
+        append({**run, "end_time": now(), "status": "FAILED", "error_message": str(error)})
         raise
-    append([{**run, "end_time": now(), "status": "SUCCESS", "rows_inserted": record.rows_inserted,
-             "rows_updated": record.rows_updated, "error_message": None}])
+    counts = {"rows_inserted": record.rows_inserted, "rows_updated": record.rows_updated}
+    append({**run, "end_time": now(), "status": "SUCCESS", **counts})
 
 
 def purge_logs(log: DataFrame, time_column: str, as_of: dt.datetime, days: int = LOG_RETENTION_DAYS) -> DataFrame:

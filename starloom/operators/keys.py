@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.session import materialize
@@ -25,23 +25,15 @@ def surrogate_keys(df: DataFrame, key: str, order_by: Sequence[str], start: int
     task and place in it. Numbering then needs only the row count of each range:
     as many rows as there are shuffle partitions, which bounds the broadcast.
     """
-    placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
+    placed = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    placed = placed.select("*", F.expr("monotonically_increasing_id() AS _place"))
     placed = materialize(placed, key)
-    ranges = placed.groupBy(F.shiftright("_place", _ROW_BITS).alias("_range")).agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranges.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    number = F.lit(start + 1) + F.col("_offset") + F.col("_place").bitwiseAND(_ROW_MASK)
-    return (
-        placed.withColumn("_range", F.shiftright("_place", _ROW_BITS))
-        .join(F.broadcast(offsets), "_range")
-        .withColumn(key, number.cast("bigint"))
-        .drop("_range", "_offset", "_place")
-        .select(key, *[c for c in df.columns if c != key])
-    )
+    ranges = placed.groupBy(F.expr(f"shiftright(_place, {_ROW_BITS}) AS _range")).agg(F.count("*").alias("_rows"))
+    before = "sum(_rows) OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = ranges.selectExpr("_range", f"coalesce({before}, 0) AS _offset")
+    numbered = placed.selectExpr("*", f"shiftright(_place, {_ROW_BITS}) AS _range").join(F.broadcast(offsets), "_range")
+    number = f"CAST({start + 1} + _offset + (_place & {_ROW_MASK}) AS BIGINT) AS `{key}`"
+    return numbered.selectExpr(number, *[f"`{c}`" for c in df.columns if c != key])
 
 
 def load_unique_keys(df: DataFrame, key: str, start: int = 0) -> DataFrame:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import changed
 from starloom.operators.clean import drop_null_key, one_per_key, typed_project
 from starloom.operators.keys import last_key, surrogate_keys
 from starloom.operators.lookups import lookup_all
+from starloom.session import materialize
 from starloom.spec import HIGH_DATE, DimSpec, LoadStamp
 
 ACTION = "merge_action"
@@ -45,29 +46,25 @@ def dim_source(
 
 def scd1_changes(target: DataFrame, source: DataFrame, spec: DimSpec, stamp: LoadStamp) -> DataFrame:
     """Every row of the merged dimension with what happened to it; inserted rows lack a key."""
-    joined = _pair(target, source, spec)
-    differs = F.lit(True) if spec.always_update else _differs(spec)
-    action = (
-        F.when(F.col("old").isNull(), INSERT)
-        .when(F.col("new").isNotNull() & differs, UPDATE)
-        .otherwise(KEEP)
-    )
-    joined = joined.withColumn(ACTION, action)
+    differs = "true" if spec.always_update else _differs(spec)
+    action = f"CASE WHEN old IS NULL THEN '{INSERT}' WHEN new IS NOT NULL AND {differs} THEN '{UPDATE}' ELSE '{KEEP}' END"
+    joined = _pair(target, source, spec, stamp).withColumn(ACTION, F.expr(action))
 
-    def attribute(name: str) -> Column:
-        taken = [INSERT, UPDATE] if name in spec.written else [INSERT]
-        return F.when(F.col(ACTION).isin(taken), F.col("new")[name]).otherwise(F.col("old")[name]).alias(name)
+    def attribute(name: str) -> str:
+        taken = f"'{INSERT}', '{UPDATE}'" if name in spec.written else f"'{INSERT}'"
+        return f"CASE WHEN {ACTION} IN ({taken}) THEN new.`{name}` ELSE old.`{name}` END AS `{name}`"
 
-    inserted, updated = F.col(ACTION) == INSERT, F.col(ACTION) == UPDATE
-    old = F.col("old")
-    return joined.select(
-        old[spec.key].alias(spec.key),
+    def stamped(name: str, action: str, value: str) -> str:
+        return f"CASE WHEN {ACTION} = '{action}' THEN {value} ELSE old.{name} END AS {name}"
+
+    return joined.selectExpr(
+        f"old.`{spec.key}` AS `{spec.key}`",
         *spec.natural_key,
         *[attribute(c) for c in spec.attributes],
-        F.when(inserted, _ts(stamp)).otherwise(old["created_date"]).alias("created_date"),
-        F.when(inserted, F.lit(stamp.load_user)).otherwise(old["created_by"]).alias("created_by"),
-        F.when(updated, _ts(stamp)).otherwise(old["updated_date"]).alias("updated_date"),
-        F.when(updated, F.lit(stamp.load_user)).otherwise(old["updated_by"]).alias("updated_by"),
+        stamped("created_date", INSERT, "load_ts"),
+        stamped("created_by", INSERT, "load_user"),
+        stamped("updated_date", UPDATE, "load_ts"),
+        stamped("updated_by", UPDATE, "load_user"),
         ACTION,
     )
 
@@ -88,17 +85,36 @@ def scd2_changes(current: DataFrame, source: DataFrame, spec: DimSpec, stamp: Lo
     its old version, closed the day before the load, and a new one; a new key
     yields one version. New versions lack a key until they are numbered.
     """
-    joined = _pair(current, source, spec)
-    keep = _old_row(spec, stamp, expired=False)
-    expire = _old_row(spec, stamp, expired=True)
-    insert = _new_row(spec, stamp)
-    rows = (
-        F.when(F.col("new").isNull(), F.array(keep))
-        .when(F.col("old").isNull(), F.array(insert))
-        .when(_differs(spec), F.array(expire, insert))
-        .otherwise(F.array(keep))
+    keep = _struct({c: f"old.`{c}`" for c in spec.schema().names}, KEEP)
+    expire = _struct(
+        {
+            **{c: f"old.`{c}`" for c in spec.schema().names},
+            "is_current": "false",
+            "expiry_date": "date_sub(load_date, 1)",
+            "updated_date": "load_ts",
+            "updated_by": "load_user",
+        },
+        EXPIRE,
+    )
+    insert = _struct(
+        {
+            spec.key: "CAST(NULL AS BIGINT)",
+            **{c: f"new.`{c}`" for c in (*spec.natural_key, *spec.attributes)},
+            "is_current": "true",
+            "effective_date": "load_date",
+            "expiry_date": f"DATE '{HIGH_DATE}'",
+            "created_date": "load_ts",
+            "created_by": "load_user",
+            "updated_date": "CAST(NULL AS TIMESTAMP)",
+            "updated_by": "CAST(NULL AS STRING)",
+        },
+        INSERT,
     )
-    return joined.select(F.inline(rows))
+    rows = f"""inline(CASE WHEN new IS NULL THEN array({keep})
+                           WHEN old IS NULL THEN array({insert})
+                           WHEN {_differs(spec)} THEN array({expire}, {insert})
+                           ELSE array({keep}) END)"""
+    return _pair(current, source, spec, stamp).selectExpr(rows)
 
 
 def scd2_merge(
@@ -120,6 +136,8 @@ def merge_dim(
 
 
 def number_inserts(changes: DataFrame, spec: DimSpec, last: int) -> DataFrame:
+    """The merged rows, inserted ones numbered. They are written once, so the merge runs once."""
+    changes = materialize(changes, spec.name)
     inserted = surrogate_keys(changes.where(F.col(ACTION) == INSERT), spec.key, spec.natural_key, last)
     return changes.where(F.col(ACTION) != INSERT).unionByName(inserted)
 
@@ -135,7 +153,7 @@ def merge_counts(changes: DataFrame) -> DataFrame:
 def new_or_changed(current: DataFrame, source: DataFrame, spec: DimSpec) -> DataFrame:
     """Source rows that have no current version, or one that differs."""
     joined = _pair(current, source, spec, how="right")
-    return joined.where(F.col("old").isNull() | _differs(spec)).select("new.*")
+    return joined.where(f"old IS NULL OR {_differs(spec)}").select("new.*")
 
 
 def location_from_entity(staged: DataFrame, entity_id: str) -> DataFrame:
@@ -150,49 +168,28 @@ def location_from_entity(staged: DataFrame, entity_id: str) -> DataFrame:
     )
 
 
-def _pair(target: DataFrame, source: DataFrame, spec: DimSpec, how: str = "full_outer") -> DataFrame:
+def _pair(
+    target: DataFrame, source: DataFrame, spec: DimSpec, stamp: LoadStamp | None = None, how: str = "full_outer"
+) -> DataFrame:
+    """Target and source row of each natural key, as structs ``old`` and ``new``."""
     keys = list(spec.natural_key)
     old = target.select(*keys, F.struct(*target.columns).alias("old"))
     new = source.select(*keys, F.struct(*source.columns).alias("new"))
-    return old.join(new, keys, how)
+    joined = old.join(new, keys, how)
+    if stamp is None:
+        return joined
+    return joined.select(
+        "*",
+        F.lit(str(stamp.load_ts)).cast("timestamp").alias("load_ts"),
+        F.lit(stamp.load_date).alias("load_date"),
+        F.lit(stamp.load_user).alias("load_user"),
+    )
 
 
-def _differs(spec: DimSpec) -> Column:
+def _differs(spec: DimSpec) -> str:
     return changed("old", "new", spec.compare, spec.columns, spec.null_as_default)
 
 
-def _old_row(spec: DimSpec, stamp: LoadStamp, expired: bool) -> Column:
-    old = F.col("old")
-    values = {c: old[c] for c in spec.schema().names}
-    if expired:
-        values |= {
-            "is_current": F.lit(False),
-            "expiry_date": F.date_sub(F.lit(stamp.load_date), 1),
-            "updated_date": _ts(stamp),
-            "updated_by": F.lit(stamp.load_user),
-        }
-    return _row(values, EXPIRE if expired else KEEP)
-
-
-def _new_row(spec: DimSpec, stamp: LoadStamp) -> Column:
-    new = F.col("new")
-    values = {
-        spec.key: F.lit(None).cast("bigint"),
-        **{c: new[c] for c in (*spec.natural_key, *spec.attributes)},
-        "is_current": F.lit(True),
-        "effective_date": F.lit(stamp.load_date),
-        "expiry_date": F.lit(HIGH_DATE),
-        "created_date": _ts(stamp),
-        "created_by": F.lit(stamp.load_user),
-        "updated_date": F.lit(None).cast("timestamp"),
-        "updated_by": F.lit(None).cast("string"),
-    }
-    return _row(values, INSERT)
-
-
-def _row(values: Mapping[str, Column], action: str) -> Column:
-    return F.struct(*[v.alias(c) for c, v in values.items()], F.lit(action).alias(ACTION))
-
-
-def _ts(stamp: LoadStamp) -> Column:
-    return F.lit(stamp.load_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+def _struct(values: Mapping[str, str], action: str) -> str:
+    fields = [f"{value} AS `{name}`" for name, value in values.items()]
+    return f"struct({', '.join(fields)}, '{action}' AS {ACTION})"

@@ -28,8 +28,10 @@ def cluster(df: DataFrame, column: str, spread_by: list[str], files: int | None
 def compact_cluster(table: Table, spread_by: list[str], now: dt.datetime, files: int | None = None) -> int:
     """Rewrite a fact as one load clustered by its date and publish it in place of the earlier ones."""
     last = table.marker()
+    if last is None:
+        raise ValueError(f"nothing was published to {table.path}")
     load_id = last.load_id + 1
-    rows = table.current()
+    rows = table.current(last)
     rows = rows.withColumns({"status": F.lit(ACCEPTED), "date_month": F.expr(f"{table.clustered_by} div 100").cast("int")})
     compacted = cluster(rows, table.clustered_by, spread_by, files)
     write_rows(compacted, table.rows_path(load_id), "status", "date_month")

@@ -8,6 +8,7 @@ seen and its retry overwrites only its own directory. One writer per table.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -30,6 +31,7 @@ MARKER = struct_of(
         "published_at": "timestamp",
     }
 )
+NOTHING = Row(load_id=0, base_load_id=0, last_key=0)
 NUMBERED = "numbered"
 ACCEPTED, REJECTED = "accepted", "rejected"
 
@@ -66,26 +68,18 @@ class Table:
             return None
         return markers.orderBy(F.col("load_id").desc()).first()
 
-    def next_load_id(self) -> int:
-        last = self.marker()
-        return 1 if last is None else last.load_id + 1
-
-    def last_key(self) -> int:
-        last = self.marker()
-        return 0 if last is None else last.last_key or 0
-
     def publish(self, load_id: int, published_at: dt.datetime, base: int = 0, **counts: int) -> None:
-        row = {f: None for f in MARKER.names} | counts
-        row |= {"load_id": load_id, "base_load_id": base, "published_at": published_at}
-        marker = self.spark.createDataFrame([tuple(row[f] for f in MARKER.names)], MARKER).drop("load_id")
-        marker.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/published/load_id={load_id}")
+        row = counts | {"base_load_id": base, "published_at": published_at}
+        marker = one_row(self.spark, row, T.StructType([f for f in MARKER.fields if f.name != "load_id"]))
+        marker.write.mode("overwrite").parquet(f"{self.path}/published/load_id={load_id}")
 
     def append(self, rows: DataFrame, published_at: dt.datetime) -> int:
         """Add plain rows as one load; gives how many were added."""
-        last, load_id = self.marker(), self.next_load_id()
+        last = self.marker() or NOTHING
+        load_id = last.load_id + 1
         write_rows(rows, self.rows_path(load_id))
         added = self.spark.read.schema(self.schema).parquet(self.rows_path(load_id)).count()
-        self.publish(load_id, published_at, base=0 if last is None else last.base_load_id, rows_inserted=added)
+        self.publish(load_id, published_at, base=last.base_load_id, rows_inserted=added)
         return added
 
     def read(self) -> DataFrame:
@@ -94,9 +88,12 @@ class Table:
             return self.current().unionByName(self.history())
         return self.current()
 
-    def current(self) -> DataFrame:
-        """Facts and in-place dimensions: all rows; versioned dimensions: current versions."""
-        last, rows = self.marker(), self._rows()
+    def current(self, last: Row | None = None) -> DataFrame:
+        """Facts and in-place dimensions: all rows; versioned dimensions: current versions.
+
+        As of the last load, or of the load whose marker is given.
+        """
+        last, rows = last or self.marker(), self._rows()
         if last is None or rows is None:
             return self.empty()
         appended = F.col("load_id").between(last.base_load_id, last.load_id)
@@ -147,6 +144,17 @@ def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = N
         raise
 
 
+def one_row(spark: SparkSession, values: Mapping, schema: T.StructType) -> DataFrame:
+    """A single row of literals; columns without a value are NULL."""
+    columns = [F.lit(_literal(values.get(f.name))).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1, numPartitions=1).select(*columns)
+
+
+def _literal(value):
+    """Times as text without zone, to be read in the zone of the session."""
+    return value.replace(tzinfo=None).isoformat(sep=" ") if isinstance(value, dt.datetime) else value
+
+
 def write_rows(df: DataFrame, path: str, *parts: str) -> None:
     """Write one directory whole, replacing what an earlier attempt left there."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
