@@ -13,6 +13,14 @@ from starloom.spec import LoadStamp
 # Fixed value: seconds between micro-batches of a stream that runs on.
 TRIGGER_SECONDS = 60
 MAX_FILES = 500
+FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
 
 
 def stream_files(
@@ -59,6 +67,7 @@ def stream_evolving(
     """
     files = (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files)
         .load(folder)
