@@ -26,7 +26,7 @@ from starloom.session import materialize, scratch_dir
 from starloom.sources import files, maintenance
 from starloom.sources.tables import Layout
 from starloom.spec import DimSpec, FactSpec, Lookup
-from starloom.streaming import stream_bronze, stream_files, stream_upsert
+from starloom.streaming import stream_bronze, stream_failed_runs, stream_files, stream_upsert
 from starloom.streaming.bronze import read_raw
 from starloom.streaming.upsert import CleansedTable
 
@@ -878,6 +878,48 @@ def stream_upsert_query(spark, sf_dir):
     return target.read()
 
 
+@query("sink_overwrite")
+def sink_overwrite(spark, sf_dir):
+    """Conformed events published twice in full: the last purchase of every user replaces the last event."""
+    events = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
+    target = CleansedTable(spark, Layout(fresh_folder(spark, "overwrite")), "events", events.schema)
+    target.replace_with(events, ["user_id"], ["ts"], STAMPS[1].load_ts)
+    target.replace_with(events.where("event_type = 'purchase'"), ["user_id"], ["ts"], STAMPS[2].load_ts)
+    return target.read()
+
+
+@query("stream_alerts")
+def stream_alerts(spark, sf_dir):
+    """The failed-run alerts of a stream: the windows its watermark has closed."""
+    path, checkpoint = fresh_folder(spark, "alerts"), fresh_folder(spark, "alerts-checkpoint")
+    status = F.when(F.col("event_type") == "error", F.lit("FAILED")).otherwise(F.lit("SUCCESS"))
+    events = event_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("end_time"), status.alias("status"))
+    alerts = stream_failed_runs(events, "end_time")
+    stream_bronze(alerts, path, checkpoint).awaitTermination()
+    return spark.read.schema(alerts.schema).parquet(path)
+
+
+@query("expire_versions")
+def expire_versions(spark, sf_dir):
+    """Customers of two published loads, after the files of the first have been expired."""
+    house = Warehouse(spark, fresh_folder(spark, "expire"))
+    places = build_dims(spark, sf_dir, GENERIC, ["dim_location"], waves=1)
+    for wave in (1, 2):
+        house.load_dim(stage(spark, sf_dir, "customer", wave), generic.CUSTOMER, STAMPS[wave], places)
+    table = house.dim(generic.CUSTOMER)
+    if not maintenance.expire_versions(table, dt.datetime(2024, 6, 1)):
+        raise RuntimeError("nothing was expired")
+    return shown(table.read())
+
+
+@query("load_routing")
+def load_routing(spark, sf_dir):
+    """The branch each active object of the plan takes, by its load type."""
+    plan = control.load_plan(metadata_rows(spark, sf_dir))
+    route = control.route_of("load_type")
+    return plan.select("source_system", "object_name", route.alias("route"))
+
+
 @query("run_log")
 def run_log(spark, sf_dir):
     """The log of the published sales loads."""

@@ -78,6 +78,11 @@ def load_plan(metadata: DataFrame) -> DataFrame:
     return active_filter(metadata).orderBy("load_priority", "object_name", "source_system")
 
 
+def route_of(load_type: str) -> Column:
+    """Incremental objects take the watermark branch, all others the full one."""
+    return F.when(F.col(load_type) == "INCREMENTAL", F.lit("incremental")).otherwise(F.lit("full"))
+
+
 def run_load_plan(
     metadata: DataFrame, full: Callable[[Row], None], incremental: Callable[[Row], None]
 ) -> list[tuple[str, str]]:
@@ -86,9 +91,9 @@ def run_load_plan(
     The plan is a control table with a row per loaded object, not data.
     """
     done = []
-    for entry in load_plan(metadata).toLocalIterator():
-        route = incremental if entry.load_type == "INCREMENTAL" else full
-        route(entry)
+    branches = {"full": full, "incremental": incremental}
+    for entry in load_plan(metadata.withColumn("route", route_of("load_type"))).collect():
+        branches[entry.route](entry)
         done.append((entry.source_system, entry.object_name))
     return done
 
@@ -183,7 +188,13 @@ def alert_windows(
 
 
 def failed_run_alerts(runs: DataFrame, time_column: str = "end_time") -> DataFrame:
-    """Windows with failed runs, and how many."""
+    """Windows with failed runs, and how many.
+
+    On a stream the other runs must reach the aggregate too: it is they that
+    move the watermark on and so close the window of the last failure.
+    """
+    if runs.isStreaming:
+        return alert_windows(runs, time_column, F.count_if(F.col("status") == "FAILED"), FAILED_RUNS_OVER)
     return alert_windows(runs.where("status = 'FAILED'"), time_column, F.count("*"), FAILED_RUNS_OVER)
 
 

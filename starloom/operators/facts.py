@@ -65,6 +65,12 @@ def resolve_facts(
     return flag_rejects(rows, reject_rules(spec)).select(*spec.output_columns, *_evidence(spec), REJECT)
 
 
+def batch_months(staged: DataFrame, spec: FactSpec) -> list[int]:
+    """The months of a batch as yyyyMM: as many as the calendar has, at most."""
+    month = F.floor(date_key(spec.date_source) / 100).cast("int").alias("month")
+    return sorted(r.month for r in staged.select(month).where("month IS NOT NULL").distinct().collect())
+
+
 def load_facts(
     staged: DataFrame,
     spec: FactSpec,

@@ -60,3 +60,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables, once nothing reads from them any more."""
+    path = scratch_dir(spark)
+    if exists(spark, path):
+        delete(spark, path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = _file_system(spark, path)
+    return system.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, system = _file_system(spark, path)
+    system.delete(target, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The path and its Hadoop file system, which is where Spark itself keeps the files."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(context._jsc.hadoopConfiguration())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.scd import ACTION, KEEP
+from starloom.session import delete, exists
 from starloom.sources.tables import ACCEPTED, MARKER, NUMBERED, Table, read_or_none, write_rows
 
 # Fixed value: hours a superseded load stays readable, at least.
@@ -25,17 +26,26 @@ def cluster(df: DataFrame, column: str, spread_by: list[str], files: int | None
     return ranged.sortWithinPartitions(*by)
 
 
-def compact_cluster(table: Table, spread_by: list[str], now: dt.datetime, files: int | None = None) -> int:
-    """Rewrite a fact as one load clustered by its date and publish it in place of the earlier ones."""
+def compact_cluster(
+    table: Table, spread_by: list[str], now: dt.datetime, files: int | None = None, column: str | None = None
+) -> int:
+    """Rewrite a fact or appended table as one load and publish it in place of the earlier ones.
+
+    Facts are clustered by their date unless another column is given.
+    """
     last = table.marker()
     if last is None:
         raise ValueError(f"nothing was published to {table.path}")
-    load_id = last.load_id + 1
-    rows = table.current(last)
-    rows = rows.withColumns({"status": F.lit(ACCEPTED), "date_month": F.expr(f"{table.clustered_by} div 100").cast("int")})
-    compacted = cluster(rows, table.clustered_by, spread_by, files)
-    write_rows(compacted, table.rows_path(load_id), "status", "date_month")
-    table.publish(load_id, now, base=load_id, last_key=last.last_key, rows_inserted=0, rows_updated=0, rows_rejected=0)
+    column = column or table.clustered_by
+    if table.kind not in ("fact", "rows") or column is None:
+        raise ValueError(f"{table.path} is not a fact and names no column to cluster by")
+    load_id, rows, parts = last.load_id + 1, table.current(last), []
+    if table.kind == "fact":
+        month = F.expr(f"{table.clustered_by} div 100").cast("int")
+        rows = rows.withColumns({"status": F.lit(ACCEPTED), "date_month": month})
+        parts = ["status", "date_month"]
+    write_rows(cluster(rows, column, spread_by, files), table.rows_path(load_id), *parts)
+    table.publish(load_id, now, base=load_id, last_key=last.last_key)
     return load_id
 
 
@@ -54,14 +64,15 @@ def superseded(table: Table, now: dt.datetime, retention_hours: int = RETENTION_
     last, cutoff = loads[-1], now - dt.timedelta(hours=retention_hours)
     paths = []
     for marker, following in zip(loads, loads[1:]):
-        if table.kind == "fact":
+        if table.kind in ("fact", "rows"):
             replaced_at = next((m.published_at for m in loads if m.base_load_id > marker.load_id), None)
-            parts = [f"status={ACCEPTED}"] if marker.load_id < last.base_load_id else []
+            part = f"status={ACCEPTED}" if table.kind == "fact" else ""
+            parts = [part] if marker.load_id < last.base_load_id else []
         else:
             replaced_at = following.published_at
             parts = [f"{ACTION}={part}" for part in (KEEP, "update", "insert", NUMBERED)]
         if replaced_at is not None and replaced_at < cutoff:
-            paths += [f"{table.rows_path(marker.load_id)}/{part}" for part in parts]
+            paths += [f"{table.rows_path(marker.load_id)}/{part}".rstrip("/") for part in parts]
     return [p for p in paths if exists(table.spark, p)]
 
 
@@ -76,21 +87,3 @@ def expire_versions(table: Table, now: dt.datetime, retention_hours: int = RETEN
 def analyze_table(spark: SparkSession, table_name: str) -> None:
     """Collect the statistics the cost-based optimizer reads, for a table of the catalog."""
     spark.sql(f"ANALYZE TABLE {table_name} COMPUTE STATISTICS FOR ALL COLUMNS")
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    target = _path(spark, path)
-    return target.getFileSystem(_hadoop_conf(spark)).exists(target)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    target = _path(spark, path)
-    target.getFileSystem(_hadoop_conf(spark)).delete(target, True)
-
-
-def _path(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _hadoop_conf(spark: SparkSession):
-    return spark.sparkContext._jsc.hadoopConfiguration()

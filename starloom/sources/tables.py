@@ -76,11 +76,18 @@ class Table:
     def append(self, rows: DataFrame, published_at: dt.datetime) -> int:
         """Add plain rows as one load; gives how many were added."""
         last = self.marker() or NOTHING
-        load_id = last.load_id + 1
+        return self._write(rows, last.load_id + 1, last.base_load_id, published_at)
+
+    def replace(self, rows: DataFrame, published_at: dt.datetime) -> int:
+        """Plain rows in place of all earlier ones; readers see the old rows until the new are published."""
+        load_id = (self.marker() or NOTHING).load_id + 1
+        return self._write(rows, load_id, load_id, published_at)
+
+    def _write(self, rows: DataFrame, load_id: int, base: int, published_at: dt.datetime) -> int:
         write_rows(rows, self.rows_path(load_id))
-        added = self.spark.read.schema(self.schema).parquet(self.rows_path(load_id)).count()
-        self.publish(load_id, published_at, base=last.base_load_id, rows_inserted=added)
-        return added
+        written = self.spark.read.schema(rows.schema).parquet(self.rows_path(load_id)).count()
+        self.publish(load_id, published_at, base=base, rows_inserted=written)
+        return written
 
     def read(self) -> DataFrame:
         """The whole table; of a versioned dimension, history included."""
@@ -88,10 +95,11 @@ class Table:
             return self.current().unionByName(self.history())
         return self.current()
 
-    def current(self, last: Row | None = None) -> DataFrame:
+    def current(self, last: Row | None = None, months: list[int] | None = None) -> DataFrame:
         """Facts and in-place dimensions: all rows; versioned dimensions: current versions.
 
-        As of the last load, or of the load whose marker is given.
+        As of the last load, or of the load whose marker is given. Facts can be
+        limited to some months, the others' files are then not opened.
         """
         last, rows = last or self.marker(), self._rows()
         if last is None or rows is None:
@@ -101,6 +109,7 @@ class Table:
             visible = appended
         elif self.kind == "fact":
             visible = appended & (F.col("status") == ACCEPTED)
+            visible = visible if months is None else visible & F.col("date_month").isin(months)
         else:
             visible = (F.col("load_id") == last.load_id) & F.col(ACTION).isin(KEEP, "update", NUMBERED)
         return rows.where(visible).select(*self.schema.names)

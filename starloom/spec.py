@@ -103,7 +103,9 @@ class FactSpec:
     ``columns`` maps each output column to its type; ``sources`` gives the staged
     name where it differs. ``zero`` columns turn NULL into 0, ``required`` columns
     reject the row when NULL, ``null_keys`` are dimension keys this source lacks.
-    A fact with no ``date_source`` is keyed by the load date.
+    A fact with no ``date_source`` is keyed by the load date. ``fixed_date`` states
+    that a natural key never comes again with another date, so that a batch is
+    compared with the loaded facts of its own months only.
     """
 
     name: str
@@ -118,6 +120,7 @@ class FactSpec:
     required: tuple[str, ...] = ()
     null_keys: tuple[str, ...] = ()
     latest_by: tuple[str, ...] = ()
+    fixed_date: bool = False
 
     @property
     def key_columns(self) -> tuple[str, ...]:

@@ -24,6 +24,10 @@ class CleansedTable:
     def read(self) -> DataFrame:
         return self.table.current()
 
+    def replace_with(self, rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str], at: dt.datetime) -> int:
+        """The batch form: all raw rows conformed anew, in place of what was there."""
+        return self.table.replace(conform(rows, keys, latest_by).select(*self.table.schema.names), at)
+
     def append_new(self, rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> int:
         """Append the rows whose key is not in the table yet.
 

@@ -4,6 +4,7 @@ from conftest import at, rows
 from test_files import put
 
 from starloom.sources.files import text_schema
+from starloom.sources.maintenance import compact_cluster
 from starloom.sources.tables import Layout
 from starloom.streaming import stream_bronze, stream_evolving, stream_failed_runs, stream_files, stream_upsert
 from starloom.streaming.bronze import read_raw
@@ -63,10 +64,34 @@ def test_batch_that_died_before_its_marker_is_written_again(spark, tmp_path, tex
     assert rows(target.read()) == [("1", "a"), ("2", "b"), ("3", "c")]
 
 
+def test_stream_that_runs_on(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "raw")
+    put(folder, "a.csv", "id,v", "1,x")
+    stream = stream_files(spark, str(folder), text_schema(["id", "v"]))
+    running = stream_bronze(stream, path, str(tmp_path / "checkpoint"), seconds=1)
+    try:
+        running.processAllAvailable()
+        put(folder, "b.csv", "id,v", "2,y")
+        running.processAllAvailable()
+        assert rows(spark.read.parquet(path), "id") == [("1",), ("2",)]
+    finally:
+        running.stop()
+
+
+def test_batch_form_replaces_the_whole_table(spark, tmp_path, text):
+    target = CleansedTable(spark, Layout(str(tmp_path)), "things", text_schema(["id", "v"]))
+    target.append_new(text("id v", ("1", "a")), ["id"], [])
+    target.replace_with(text("id v", ("2", " b "), ("2", "a")), ["id"], [], dt.datetime(2024, 1, 1))
+    assert rows(target.read()) == [("2", "b")]
+    target.append_new(text("id v", ("2", "z"), ("3", "c")), ["id"], [])
+    assert compact_cluster(target.table, [], dt.datetime(2024, 1, 2), files=1, column="id") == 4
+    assert rows(target.read()) == [("2", "b"), ("3", "c")]
+
+
 def test_alerts_of_a_stream_come_once_their_window_is_closed(spark, tmp_path):
     base = dt.datetime(2024, 1, 1, 10)
     data = [(base + dt.timedelta(minutes=7), "FAILED"), (base + dt.timedelta(minutes=8), "SUCCESS"),
-            (base + dt.timedelta(hours=2), "FAILED")]
+            (base + dt.timedelta(hours=2), "SUCCESS")]
     schema = "end_time timestamp, status string"
     path, out = str(tmp_path / "runs"), str(tmp_path / "alerts")
     spark.createDataFrame(data, schema).coalesce(1).write.parquet(path)

@@ -1,10 +1,12 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from conftest import at, day, rows
 from test_scd import PERSON, person
 
 from starloom.operators.clean import REJECT
+from starloom.operators.facts import batch_months
 from starloom.plans import generic
 from starloom.plans.loads import Warehouse
 from starloom.plans.shared_tables import STAMPS, stage
@@ -64,7 +66,7 @@ def test_failed_load_is_logged_and_changes_nothing(house, text):
     assert len(segments(house)) == 1
 
 
-def load_sales(house, spark, staged=None, stamp=STAMPS[1], **options):
+def load_sales(house, spark, staged=None, stamp=STAMPS[1], spec=generic.SALES, **options):
     dims = {}
     for name, spec in (("currency", generic.CURRENCY), ("location", generic.LOCATION), ("customer", generic.CUSTOMER),
                        ("product", generic.PRODUCT), ("employee", generic.EMPLOYEE)):
@@ -72,7 +74,7 @@ def load_sales(house, spark, staged=None, stamp=STAMPS[1], **options):
             house.load_dim(stage(spark, SF, name), spec, STAMPS[1], dims)
         dims[spec.name] = house.dim(spec).current()
     staged = stage(spark, SF, "sales") if staged is None else staged
-    return house.load_fact(staged, generic.SALES, stamp, dims, **options)
+    return house.load_fact(staged, spec, stamp, dims, **options)
 
 
 def file_count(spark, table):
@@ -116,6 +118,17 @@ def test_strict_load_refuses_rejects_and_publishes_nothing(house, spark):
     assert house.fact(generic.SALES).marker() is None
 
 
+def test_facts_of_other_months_are_not_opened_when_dates_are_fixed(house, spark):
+    monthly = replace(generic.SALES, fixed_date=True)
+    sales = stage(spark, SF, "sales").where("sale_date <> 'pending'")
+    assert load_sales(house, spark, sales, spec=monthly)["rows_inserted"] > 0
+    assert load_sales(house, spark, sales, STAMPS[2], spec=monthly)["rows_inserted"] == 0
+    january = sales.where("sale_date LIKE '1997-01-%'")
+    assert batch_months(january, monthly) == [199701]
+    plan = house.fact(monthly).current(months=[199701])._jdf.queryExecution().executedPlan().toString()
+    assert "date_month" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
 def test_month_filter_prunes_partitions(house, spark):
     load_sales(house, spark)
     rows_read = spark.read.parquet(house.fact(generic.SALES).path + "/rows")
