@@ -15,16 +15,19 @@ from starloom.spec import FactSpec, LoadStamp
 _DATE_TEXT = "_date_text"
 
 
-def not_loaded(rows: DataFrame, loaded: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+def not_loaded(
+    rows: DataFrame, loaded: DataFrame | None, keys: Sequence[str], batch: DataFrame | None = None
+) -> DataFrame:
     """Rows whose natural key is not among the loaded facts.
 
     The loaded facts are far larger than the batch. They are first cut to the
-    batch's own keys, which Spark does with a broadcast of the batch's key
-    columns while those are small, so a small batch moves no loaded fact.
+    batch's own keys, which Spark does with a broadcast of these keys while they
+    are few, so a small batch moves no loaded fact. ``batch`` gives the rows to
+    take the keys from, where those are cheaper to compute than ``rows``.
     """
     if loaded is None:
         return rows
-    wanted = rows.select(*keys)
+    wanted = (rows if batch is None else batch).select(*keys).distinct()
     seen = loaded.select(*keys).join(wanted, list(keys), "left_semi")
     return rows.join(seen, list(keys), "left_anti")
 
@@ -33,7 +36,7 @@ def fact_append(
     loaded: DataFrame | None, rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = (), on_dup: str = "latest"
 ) -> DataFrame:
     """The rows to append: one per natural key, none already loaded."""
-    return not_loaded(one_per_key(rows, keys, latest_by, on_dup), loaded, keys)
+    return not_loaded(one_per_key(rows, keys, latest_by, on_dup), loaded, keys, batch=rows)
 
 
 def resolve_facts(

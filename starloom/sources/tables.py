@@ -175,8 +175,8 @@ def write_fact_rows(resolved: DataFrame, table: Table, load_id: int) -> None:
 
     Rebalancing by month gives files of even size: adaptive execution splits a
     month that is large and joins small ones. Rows are sorted by date within
-    files, so a date filter skips row groups. The values that explain a reject
-    are kept for rejected rows only.
+    files, so a date filter skips row groups. Rejected rows have no month; the
+    values that explain a reject are kept for them only.
     """
     evidence = [c for c in resolved.columns if c not in table.schema.names and c != REJECT]
     is_rejected = F.col(REJECT).isNotNull()
@@ -185,7 +185,7 @@ def write_fact_rows(resolved: DataFrame, table: Table, load_id: int) -> None:
         {
             **{c: F.when(is_rejected, F.col(c)) for c in evidence},
             "status": F.when(is_rejected, REJECTED).otherwise(ACCEPTED),
-            "date_month": month,
+            "date_month": F.when(~is_rejected, month),
         }
     )
     rows = rows.hint("rebalance", F.col("status"), F.col("date_month"))

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starloom.operators.clean import conform
-from starloom.operators.facts import not_loaded
+from starloom.operators.clean import conform, conform_trim, drop_null_key
+from starloom.operators.facts import fact_append
 from starloom.sources.tables import Layout, Table
 from starloom.streaming.bronze import trigger
 
@@ -34,9 +34,9 @@ class CleansedTable:
         A batch that failed before its marker is invisible and is simply written
         again; one that got through adds nothing the second time.
         """
-        clean = conform(rows, keys, latest_by)
         before = self.table.marker()
-        fresh = not_loaded(clean, None if before is None else self.read(), keys)
+        loaded = None if before is None else self.table.current(before)
+        fresh = fact_append(loaded, drop_null_key(conform_trim(rows), keys), keys, latest_by)
         return self.table.append(fresh.select(*self.table.schema.names), dt.datetime.now(dt.timezone.utc))
 
 

@@ -18,6 +18,9 @@ def spark(tmp_path_factory):
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            # The tests' tables are tiny: compiling their plans would take longer than running them.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

@@ -68,11 +68,11 @@ def test_failed_load_is_logged_and_changes_nothing(house, text):
 
 def load_sales(house, spark, staged=None, stamp=STAMPS[1], spec=generic.SALES, **options):
     dims = {}
-    for name, spec in (("currency", generic.CURRENCY), ("location", generic.LOCATION), ("customer", generic.CUSTOMER),
+    for name, dim in (("currency", generic.CURRENCY), ("location", generic.LOCATION), ("customer", generic.CUSTOMER),
                        ("product", generic.PRODUCT), ("employee", generic.EMPLOYEE)):
-        if house.dim(spec).marker() is None:
-            house.load_dim(stage(spark, SF, name), spec, STAMPS[1], dims)
-        dims[spec.name] = house.dim(spec).current()
+        if house.dim(dim).marker() is None:
+            house.load_dim(stage(spark, SF, name), dim, STAMPS[1], dims)
+        dims[dim.name] = house.dim(dim).current()
     staged = stage(spark, SF, "sales") if staged is None else staged
     return house.load_fact(staged, spec, stamp, dims, **options)
 
