@@ -122,13 +122,13 @@ class Table:
         return rows.where((F.col("load_id") <= last.load_id) & (F.col(ACTION) == EXPIRE)).select(*self.schema.names)
 
     def rejects(self) -> DataFrame | None:
-        """Rows that facts' loads refused, with the reason and the load."""
+        """Rows that facts' loads refused, with the reason and the load. Only their files are listed and read."""
         last = self.marker()
-        rows = read_or_none(self.spark, f"{self.path}/rows")
-        if last is None or rows is None:
+        if last is None:
             return None
-        visible = (F.col("load_id") <= last.load_id) & (F.col("status") == REJECTED)
-        return rows.where(visible).drop("status", "date_month")
+        rows = f"{self.path}/rows"
+        refused = read_or_none(self.spark, f"{rows}/load_id=*/status={REJECTED}", base=rows)
+        return None if refused is None else refused.where(F.col("load_id") <= last.load_id).drop("status", "date_month")
 
     def empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
@@ -142,11 +142,14 @@ class Table:
         return read_or_none(self.spark, f"{self.path}/rows", T.StructType(self.schema.fields + struct_of(parts).fields))
 
 
-def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def read_or_none(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, base: str | None = None
+) -> DataFrame | None:
     """The parquet table, or None when nothing was ever written there."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    reader = reader if base is None else reader.option("basePath", base)
     try:
-        return reader.option("mergeSchema", "true").parquet(path) if schema is None else reader.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

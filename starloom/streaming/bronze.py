@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from starloom.session import exists
 from starloom.sources.files import CSV, read_evolving, with_lineage
 from starloom.sources.tables import write_rows
 from starloom.spec import LoadStamp
@@ -63,8 +64,11 @@ def stream_evolving(
     """Append csv files whose columns may change; unseen columns are added, never shifted.
 
     The stream carries file paths only, at most ``max_files`` a batch. A batch is
-    written to a directory of its own, so a batch that is run again replaces itself.
+    written to a directory of its own, so a batch that is run again replaces itself;
+    a checkpoint that starts anew would number its batches anew, so it needs a new path.
     """
+    if exists(spark, path) and not exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} holds the batches of another checkpoint")
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)

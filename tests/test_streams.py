@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import at, rows
 from test_files import put
 
@@ -36,6 +37,8 @@ def test_new_columns_are_added_wherever_they_appear(spark, tmp_path):
     put(folder, "c.csv", "v,id", "z,3")
     stream_evolving(spark, str(folder), path, checkpoint, pattern="*.csv").awaitTermination()
     assert rows(read_raw(spark, path), "id", "v", "mid") == [("1", "x", None), ("2", "y", "m"), ("3", "z", None)]
+    with pytest.raises(ValueError, match="another checkpoint"):
+        stream_evolving(spark, str(folder), path, checkpoint + "-new")
 
 
 def test_upsert_inserts_new_keys_once_even_when_replayed(spark, tmp_path):
