@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import minhash, packing, shared, tokencount
+from starloom.llm import ann, langid, minhash, packing, shared, tokencount
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.neighbours(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
@@ -26,6 +31,13 @@ def op5_merge_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op6_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    dictionaries = langid.learned_dictionaries(docs.where(~langid.held_out()))
+    judged = langid.predicted(docs, dictionaries)
+    return judged.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4)
 
