@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import ann, langid, minhash, packing, shared, tokencount
+from starloom.llm import ann, decontam, langid, minhash, packing, pii, shared, tokencount
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,15 @@ def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
 
 
+def op4_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.found_spans(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    number = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    counts = [number(kind).alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op5_merge_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tokencount.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
@@ -42,6 +51,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4)
 
 
+def op8_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: run for name, run in globals().items() if name.startswith("op")}
 
