@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import ann, decontam, langid, minhash, packing, pii, shared, tokencount
+from starloom.llm import ann, decontam, htmltext, langid, minhash, packing, pii, quality, shared, tokencount, urlrules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+def op2_hierarchical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.scored(docs, labels, host=F.col("source"), path=F.concat_ws("/", "source", "lang"))
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
@@ -55,6 +60,25 @@ def op8_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+# Host, path and verdict of the rules.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op9_rarest_token_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = urlrules.listed(spark, URL_RULES).unionByName(urlrules.unwanted(spark))
+    return urlrules.judged(_table(spark, sf_dir, "pages"), rules)
+
+
+def op10_host_suffix_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: run for name, run in globals().items() if name.startswith("op")}
 
