@@ -1,0 +1,111 @@
+"""Token counts and packing against the tokenizers library, and packing as a round trip."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from starloom.llm import packing, tokencount
+
+WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+ODD = [
+    None, "", " ", "\n\n", "a", "  a  b\n\nc  ", "Straße ΑΣ Σ İstanbul don't 'S it's 12345 !!??", "x<|endoftext|>y <|startoftext|> z", "é ẛ̣ ﬁ 中文字 こんにちは 😀👍🏽",
+    "a\x1cb \x1f c", "ab" * 5000, "a " * 20000, "  x\u0085y z", "<|endoftext|", "tab\t\tx\r\ny 'll 've", " lead", "trail ", "line\n\n\n  next",
+]
+
+
+def library(path, text):
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+
+
+def test_counts_are_the_librarys(spark, documents):
+    real = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()]
+    texts = [*ODD, *real]
+    got = tokencount.token_counts(documents(*enumerate(texts), (None, "a"), (3, "a")), WORDS).collect()
+    want = [(i, len((t or "").encode()), len(library(WORDS, t))) for i, t in enumerate(texts)] + [(None, 1, 1), (3, 1, 1)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_counts_of_nothing(documents):
+    assert tokencount.token_counts(documents(), WORDS).collect() == []
+
+
+def test_a_heap_merges_as_a_scan_does():
+    counter = tokencount.counter(WORDS)
+
+    def scanned(word):
+        ids = [counter.inner[b] for b in word.encode()[:-1]] + [counter.final[word.encode()[-1]]]
+        while True:
+            ranks = [(counter.pairs[p][0], i) for i in range(len(ids) - 1) if (p := ids[i] << 20 | ids[i + 1]) in counter.pairs]
+            if not ranks:
+                return len(ids)
+            _, i = min(ranks)
+            ids[i : i + 2] = [counter.pairs[ids[i] << 20 | ids[i + 1]][1]]
+
+    random.seed(3)
+    for _ in range(400):
+        word = "".join(random.choice("aabbnoethi") for _ in range(random.randint(1, 30)))
+        assert counter.merged(word) == scanned(word)
+
+
+@pytest.fixture(scope="module")
+def packed(spark):
+    rng = random.Random(5)
+    real = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows = [(i, t, rng.choice(["a", "a", "a", "b", None, ""])) for i, t in enumerate([*ODD, *real])]
+    rows += [(None, "no id", "b"), (7, "again", "b")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, source string, part int, start int").repartition(5)
+    return rows, packing.packed(docs, BYTES, length=1024).collect()
+
+
+def test_pieces_hold_every_id_once_and_in_order(packed):
+    rows, pieces = packed
+    got = {}
+    for p in sorted(pieces, key=lambda p: (p.doc_id is None, p.doc_id, p.source or "", p.doc_tokens, p.start)):
+        ids = np.frombuffer(p.ids, "<u4").tolist()
+        assert len(ids) == p.length and (p.doc_id == 7 or p.start == len(got.get(p.doc_id, [])))
+        got.setdefault(p.doc_id, []).extend(ids)
+    want = {}
+    for i, text, source in sorted(rows, key=lambda r: (r[0] is None, r[0], r[2] or "", len(library(BYTES, r[1])))):
+        want.setdefault(i, []).extend([*library(BYTES, text), 0])
+    assert {k: sorted(v) if k == 7 else v for k, v in got.items()} == {k: sorted(v) if k == 7 else v for k, v in want.items()}
+
+
+def test_sequences_have_no_gaps_and_all_but_the_last_are_full(packed):
+    filled = {}
+    for p in sorted(packed[1], key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == filled.get(p.sequence_id, 0)
+        filled[p.sequence_id] = p.offset + p.length
+    assert sorted(filled) == list(range(len(filled)))
+    assert all(n == 1024 for s, n in filled.items() if s < len(filled) - 1) and filled[len(filled) - 1] <= 1024
+
+
+def test_windows_hold_the_mixture(packed):
+    tokens, first = {}, {}
+    for p in packed[1]:
+        tokens[p.source] = tokens.get(p.source, 0) + p.length
+        if p.sequence_id < 64:
+            first[p.source] = first.get(p.source, 0) + p.length
+    for source, n in tokens.items():
+        assert abs(first.get(source, 0) - 65536 * n / sum(tokens.values())) <= 1
+
+
+@pytest.mark.parametrize("sources", [1, 3, 40])
+def test_schedule_carries_credits(sources):
+    rng = np.random.default_rng(sources)
+    totals, shares = rng.integers(1, 300_000, sources), rng.random(sources) + 0.01
+    plan = packing.Schedule(totals, shares, 65536)
+    served = plan.served(np.arange(-(-plan.tokens // 65536) + 1))
+    assert (np.diff(served, axis=0) >= 0).all() and (served[-1] == totals).all()
+    full = int(min(totals / plan.shares)) // 65536  # as long as no queue is empty
+    assert np.abs(served[:full] - np.arange(full)[:, None] * 65536 * plan.shares).max(initial=0) <= 1
+
+
+def test_targets_and_nothing(spark):
+    docs = spark.createDataFrame([(i, "word " * 3000, "ab"[i % 2]) for i in range(80)], "doc_id long, text string, source string")
+    pieces = packing.packed(docs, BYTES, targets={"a": 3.0, "b": 1.0}).where("sequence_id < 64").groupBy("source").agg(F.sum("length").alias("n")).collect()
+    assert {r.source: r.n for r in pieces} == {"a": 49152, "b": 16384}
+    assert packing.packed(docs.limit(0), BYTES).collect() == []
