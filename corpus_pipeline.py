@@ -17,13 +17,13 @@ from starloom.session import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    shared.python_path(spark)
+    shared.prepare_workers(spark)
     judged = langid.predicted(docs, langid.learned_dictionaries(docs.where(~langid.held_out())))
     return _without(docs, judged.where("rejected"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    shared.python_path(spark)
+    shared.prepare_workers(spark)
     groups = minhash.near_duplicates(docs, words=5, percent=80)
     # A row's decision is its id's: rows that repeat an id are one document, and one of them stays.
     left = _without(docs, groups.where("not kept"))
@@ -34,7 +34,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    shared.python_path(spark)
+    shared.prepare_workers(spark)
     return _without(docs, decontam.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
@@ -44,7 +44,7 @@ def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    shared.python_path(spark)
+    shared.prepare_workers(spark)
     pieces = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), length=1024)
     return pieces.select("doc_id", "source", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 

@@ -27,7 +27,7 @@ PASSAGE = 120  # characters of an item that must be found again, or all of a sho
 LEAST = 24  # shorter items are not looked for
 BIN = 8  # diagonals per bin, a power of two and more than the edits of a passage
 BLOCK_BYTES = 8 << 20  # benchmark text held against the documents at a time
-MOST_HITS = 4_000_000  # shared q-grams of a run of documents that are counted at a time
+MOST_HITS = 1_000_000  # shared q-grams of a run of documents that are counted at a time
 _MAP_BITS = 22
 
 _BASE = 0xB5297A4D3F84D5B5

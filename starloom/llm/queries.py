@@ -12,7 +12,7 @@ from starloom.llm import ann, decontam, htmltext, langid, minhash, packing, pii,
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    shared.python_path(spark)
+    shared.prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 
 from starloom.session import materialize
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+BATCH_ROWS = 1000  # texts in an Arrow batch; Spark's own 10,000 are tens of megabytes, held several times over
 
 
-def python_path(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the library; on a cluster it is installed or sent with --py-files."""
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library (on a cluster it is installed or sent with --py-files), and
+    hand them smaller batches, unless the session sets a batch size of its own."""
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(size) == "10000":
+        spark.conf.set(size, str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     given = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in given.split(os.pathsep):

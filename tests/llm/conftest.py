@@ -5,7 +5,7 @@ from starloom.llm import shared
 
 @pytest.fixture(scope="session", autouse=True)
 def workers(spark):
-    shared.python_path(spark)
+    shared.prepare_workers(spark)
 
 
 @pytest.fixture
