@@ -51,6 +51,7 @@ _TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b{_ATTRIBUTES}(?:/>|>.*?(?:</\1\s*>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+_CUT_TAG = re.compile(r"<[a-zA-Z/!?].*\Z", re.DOTALL)  # the page ends within a tag
 _MARKED = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ARTICLE, OUTSIDE, DOUBTFUL = 1, 0, 2
@@ -126,8 +127,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             if not tag.group(4).rstrip().endswith("/") or name in BLOCKS:
                 stack.append((name, left_out, within))
         out, main = stack[-1][1:] if stack else (False, False)
-    if at < len(page) and not page.startswith("<", at):
-        parts.append(page[at:])
+    parts.append(_CUT_TAG.sub("", page[at:]))
     flush()
     if any_main:
         return [(s if s != DOUBTFUL else OUTSIDE, t) for s, t in found]
@@ -206,15 +206,18 @@ def _covered(starts: np.ndarray) -> np.ndarray:
     return np.cumsum(cover)[: len(starts)] > 0
 
 
-def _unique_runs(blocks: list[dict], words: list[list[str]], covered: np.ndarray) -> str:
-    """The doubtful blocks without what is covered; a block that is covered whole goes."""
-    kept, at = [], 0
+def _unique_runs(blocks: list[dict], words: list[list[str]], starts: np.ndarray) -> str:
+    """The doubtful blocks without what repeats. A block that repeated substrings cover whole goes; of another one only those
+    substrings go that lie in it, and not what a substring reaches over from the next block."""
+    covered, kept, at = _covered(starts), [], 0
     for block, tokens in zip(blocks, words, strict=True):
-        own = covered[at : at + len(tokens)]
-        at += len(tokens)
-        if block["status"] == DOUBTFUL and not own.all():
-            kept.append(" ".join(t for t, c in zip(tokens, own, strict=True) if not c))
-    return "\n".join(kept)
+        end = at + len(tokens)
+        if block["status"] == DOUBTFUL and not covered[at:end].all():
+            inner = starts[at:end].copy()
+            inner[max(0, len(tokens) - LONG + 1) :] = False
+            kept.append(" ".join(t for t, c in zip(tokens, _covered(inner), strict=True) if not c))
+        at = end
+    return "\n".join(filter(None, kept))
 
 
 def _window_hashes(numbers: np.ndarray) -> np.ndarray:
@@ -229,14 +232,13 @@ def _sorted_shard(table: pa.Table) -> pa.Table:
     pages, numbers, page, left = _streams(table)
     same = table["same"].to_numpy()
     starts = _starts(numbers, page, left, same) if len(numbers) else np.zeros(0, bool)
-    covered = _covered(starts)
     ends = np.concatenate([[0], np.cumsum(np.bincount(page, minlength=len(pages)))]).astype(int)
     hashes = _window_hashes(numbers)
     several = table["shards"][0].as_py() > 1
     texts, flags, windows = [], [], []
     for i, (blocks, words) in enumerate(zip(table["others"].to_pylist(), pages, strict=True)):
         a, b = ends[i], ends[i + 1]
-        texts.append(_unique_runs(blocks or [], words, covered[a:b]))
+        texts.append(_unique_runs(blocks or [], words, starts[a:b]))
         flags.append(starts[a:b].tolist())
         windows.append(hashes[a : max(a, b - LONG + 1)].view(np.int64).tolist() if several else [])
     return pa.table(
@@ -256,7 +258,7 @@ def _settled_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             begins = np.array(starts or [], dtype=bool)
             if windows and repeated:
                 begins[: len(windows)] |= np.isin(np.array(windows, np.int64), np.array(repeated, np.int64))
-            texts.append(_unique_runs(blocks, [b["text"].split(" ") for b in blocks], _covered(begins)))
+            texts.append(_unique_runs(blocks, [b["text"].split(" ") for b in blocks], begins))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "doubtful"])
 
 

@@ -14,13 +14,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starloom.llm import shared
 
 BLOCK_BYTES = 4096
 NARROW = 0.01  # least lead of the best language over the next, as a share of the next one's size
-SAMPLE_TEXTS, SAMPLE_CHARS = 256, 256  # a dictionary is made of at most so many pieces of so many characters
+SAMPLE_TEXTS, SAMPLE_CHARS = 256, 256  # a dictionary is made of about so many pieces of so many characters
 UNKNOWN = "und"
 _PAD = b" " * 200
 _SEARCH = {"strategy": zstandard.STRATEGY_GREEDY, "min_match": 4, "window_log": 17, "hash_log": 16, "chain_log": 16, "search_log": 3, "target_length": 16}
@@ -34,17 +33,20 @@ def folded(text: Column) -> Column:
 def learned_dictionaries(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """One dictionary per non-null language of ``rows``, the most frequent language first.
 
-    It holds the middle SAMPLE_CHARS letters of the SAMPLE_TEXTS texts with the smallest hash of their id, so its size
-    has a bound; all rows are counted. Languages without any letter in their texts are left out.
+    It holds the middle SAMPLE_CHARS letters of about SAMPLE_TEXTS texts picked by the hash of their id, so its size does not
+    grow with the rows; all rows are counted. Languages without any letter in their texts are left out.
     """
     given = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     given = given.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = given.select("id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_TEXTS).select("id", "lang").distinct()
+    counts = {r.lang: r.n for r in given.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return {}
+    # Ids hash evenly, so about SAMPLE_TEXTS rows of each language are picked, however many there are.
+    share = given.sparkSession.createDataFrame(list(counts.items()), "lang string, n long")
+    picked = given.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("id"), F.col("n")) < SAMPLE_TEXTS)
     letters = folded(F.col("text"))
     middle = F.substring(letters, F.greatest(F.lit(1), ((F.length(letters) - SAMPLE_CHARS) / 2).cast("int")), F.lit(SAMPLE_CHARS))
-    pieces = given.join(F.broadcast(picked), ["id", "lang"], "left_semi").dropDuplicates(["id", "lang"]).select("lang", "id", middle.alias("piece"))
-    counts = {r.lang: r.n for r in given.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    pieces = picked.select("lang", "id", middle.alias("piece")).dropDuplicates(["lang", "id"])
     found: dict[str, list[str]] = {}
     for row in sorted(pieces.collect(), key=lambda r: (r.lang, r.id)):
         found.setdefault(row.lang, []).append(row.piece)
