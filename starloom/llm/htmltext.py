@@ -286,7 +286,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     open_pages = parsed.where("not settled").select("row", "others")
     again = open_pages.join(done.where(F.size("windows") > 0).select("row", "starts", "windows"), "row").join(mine, "row", "left")
     again = again.select("row", "others", "starts", "windows", "repeated").mapInArrow(_settled_again, "row long, doubtful string").withColumnRenamed("doubtful", "again")
-    out = parsed.select("row", "id", "url", "article").join(done.select("row", "doubtful"), "row").join(again, "row", "left")
+    # Settled pages need nothing from the runs; only the others are joined with them.
+    rest = parsed.where("not settled").select("row", "id", "url", "article").join(done.select("row", "doubtful"), "row").join(again, "row", "left")
     text = F.concat_ws("\n", F.nullif("article", F.lit("")), F.nullif(F.coalesce("again", "doubtful"), F.lit("")))
-    out = out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"))
+    out = parsed.where("settled").select("id", "url", F.col("article").alias("text")).union(rest.select("id", "url", text.alias("text")))
+    out = out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")
     return out.withColumn("n_chars", F.length("text").cast("long"))
