@@ -73,7 +73,9 @@ def judged(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     # The empty token stands for rules without one; every URL has it.
     tokens = given.select("row", target.alias("target"), F.explode(F.concat(_tokens(target), F.array(F.lit("")))).alias("token"))
     choices = rules.select("*", F.explode(F.when(F.size("literals") > 0, F.col("literals")).otherwise(F.array(F.lit("")))).alias("token"))
-    counts = tokens.join(choices.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    # Stored, so that Spark knows how few they are and URL tokens that no rule has are dropped where they are read.
+    wanted = materialize(choices.select("token").distinct(), "rule-tokens")
+    counts = tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
     rarest = Window.partitionBy("rule", "level").orderBy(F.coalesce("n", F.lit(0)), "token")
     # An own rule's name holds its token, so each rule has one entry in the index.
     index = choices.join(counts, "token", "left").withColumn("place", F.row_number().over(rarest)).where("place = 1")
