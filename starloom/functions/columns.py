@@ -91,3 +91,8 @@ def calendar_attributes(day: str) -> dict[str, Column]:
 
 def _col(column: str | Column) -> Column:
     return F.col(column) if isinstance(column, str) else column
+
+
+def utc_text(value: dt.datetime) -> str:
+    """A time as text in UTC, the zone of the sessions; one without a zone is taken as UTC, whatever the driver's zone is."""
+    return (value if value.tzinfo is None else value.astimezone(dt.timezone.utc).replace(tzinfo=None)).isoformat(sep=" ")

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from starloom.functions.columns import utc_text
 from starloom.operators.scd import scd1_changes
 from starloom.spec import DimSpec, LoadStamp, struct_of
 
@@ -172,7 +173,7 @@ def run_log(
 def purge_logs(log: DataFrame, time_column: str, as_of: dt.datetime, days: int = LOG_RETENTION_DAYS) -> DataFrame:
     """Log rows to keep: those not older than ``days``."""
     cutoff = as_of - dt.timedelta(days=days)
-    return log.where(F.col(time_column) >= F.lit(cutoff))
+    return log.where(F.col(time_column) >= F.lit(utc_text(cutoff)).cast("timestamp"))
 
 
 def alert_windows(

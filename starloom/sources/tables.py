@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.columns import utc_text
 from starloom.operators.clean import REJECT
 from starloom.operators.scd import ACTION, EXPIRE, KEEP
 from starloom.spec import struct_of
@@ -163,8 +164,8 @@ def one_row(spark: SparkSession, values: Mapping, schema: T.StructType) -> DataF
 
 
 def _literal(value):
-    """Times as text without zone, to be read in the zone of the session."""
-    return value.replace(tzinfo=None).isoformat(sep=" ") if isinstance(value, dt.datetime) else value
+    """Times as text, to be read in the zone of the session."""
+    return utc_text(value) if isinstance(value, dt.datetime) else value
 
 
 def write_rows(df: DataFrame, path: str, *parts: str) -> None:
