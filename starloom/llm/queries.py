@@ -83,5 +83,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: run for name, run in globals().items() if name.startswith("op")}
 
 
+def _url_sql() -> str:
+    """op9 as a join of all URLs with all rules."""
+    form = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
+    listed = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    own = ", ".join(f"('{name}:{t}', '{t}')" for name, tokens in urlrules.UNWANTED for t in tokens)
+    return f"""
+        WITH rules(h, p, v) AS (VALUES {listed}), own(name, token) AS (VALUES {own}),
+        urls AS (
+            SELECT row_number() OVER () AS n, page_id,
+                   translate(regexp_extract(coalesce(url, ''), {form}, 1), '{urlrules.UPPER}', '{urlrules.LOWER}') AS host,
+                   regexp_extract(coalesce(url, ''), {form}, 2) AS path
+            FROM pages),
+        best AS (
+            SELECT n, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v FROM urls, rules
+            WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY n),
+        method AS (
+            SELECT n, min(name) AS own_rule FROM urls, own WHERE regexp_matches(host, '(^|[.-])' || token || '[.-]') GROUP BY n)
+        SELECT page_id, host, path, rule, own_rule, coalesce(v, CASE WHEN own_rule IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+        FROM urls LEFT JOIN best USING (n) LEFT JOIN method USING (n)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_rarest_token_url_rules": _url_sql()}
