@@ -26,6 +26,9 @@ LOG_SCHEMA = struct_of(
 )
 
 
+# The names of the checks below are fixed values.
+
+
 def dq_row_count(staged: DataFrame, fact: DataFrame, key: str, name: str) -> DataFrame:
     """PASS when the fact holds at least as many rows as were staged with a key."""
     both = _counts(staged.where(F.col(key).isNotNull()), fact)
