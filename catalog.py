@@ -304,6 +304,13 @@ def rejects_count(spark, sf_dir):
     return resolved.groupBy(F.coalesce(clean.REJECT, F.lit("accepted")).alias("outcome")).agg(F.count("*").alias("n"))
 
 
+@query("reject_partition")
+def reject_partition(spark, sf_dir):
+    """What became of order lines that come again damaged: every staged row is accepted, rejected or set aside."""
+    resolved = resolve(spark, sf_dir, generic.ORDERS, "damaged_orders", GENERIC)
+    return facts.batch_outcomes(stage(spark, sf_dir, "damaged_orders"), resolved)
+
+
 # --- keys and calendar -----------------------------------------------------------
 
 

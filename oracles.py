@@ -263,9 +263,15 @@ LOCATION_ON = "l.location_id = f.location_id AND l.source_system = f.source_syst
 CURRENCY_ON = "u.currency_code = f.currency_code"
 
 
-def latest(name: str, select: str, source: str, keys: str, order: str) -> list[str]:
-    """``name``: typed rows of ``source``, the latest per key, ties settled by the other columns."""
+def latest(name: str, select: str, source: str, keys: str, order: str, day: str = "", needs: str = "") -> list[str]:
+    """``name``: typed rows of ``source``, the latest per key, ties settled by the other columns.
+
+    With ``day`` rows whose day and ``needs`` can be read come first, then the later day.
+    """
     by = ", ".join(f"{c} DESC NULLS LAST" for c in order.split())
+    if day:
+        readable = [f"TRY_CAST({day} AS DATE) IS NOT NULL", *[f"{c} IS NOT NULL" for c in needs.split()]]
+        by = f"CASE WHEN {' AND '.join(readable)} THEN 0 ELSE 1 END, TRY_CAST({day} AS DATE) DESC NULLS LAST, {by}"
     return [
         f"{name}_typed AS (SELECT {select} FROM {source})",
         f"""{name} AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS rn
@@ -291,6 +297,7 @@ LINE_JOINS = f"""JOIN dim_customer_2 c ON {CUSTOMER_ON} JOIN dim_product_2 p ON
     LEFT JOIN dim_currency_2 u ON {CURRENCY_ON}"""
 LINE_PARENTS = "customer_id product_id employee_id location_id currency_code"
 LINE_KEYS = "c.customer_key, p.product_key, e.employee_key, l.location_key, u.currency_key"
+LINE_NEEDS = "quantity unit_price net_amount"
 LINE_FILTER = "quantity IS NOT NULL AND f.unit_price IS NOT NULL AND net_amount IS NOT NULL"
 
 
@@ -300,11 +307,11 @@ def line_dims() -> list[str]:
 
 def sales_ctes() -> list[str]:
     select = f"source_system, sale_id, {amounts()}, {LINE_PARENTS.replace(' ', ', ')}, sale_date"
-    order = f"sale_date quantity unit_price discount_amount tax_amount net_amount {LINE_PARENTS}"
+    order = f"quantity unit_price discount_amount tax_amount net_amount {LINE_PARENTS}"
     return (
         line_dims()
         + [staged("sales")]
-        + latest("sales", select, "stg_sales_1", "source_system, sale_id", order)
+        + latest("sales", select, "stg_sales_1", "source_system, sale_id", order, "sale_date", LINE_NEEDS)
         + [
             f"""fact_sales AS (SELECT {key_of("sale_date")} AS date_key, {LINE_KEYS}, f.source_system, f.sale_id,
                 f.quantity, f.unit_price, f.discount_amount, f.tax_amount, f.net_amount
@@ -318,8 +325,8 @@ def typed_orders(source: str = "stg_orders_1", name: str = "order_lines") -> lis
         f"source_system, order_id, CAST(order_line_number AS INTEGER) AS order_line_number, order_status, "
         f"{amounts()}, {LINE_PARENTS.replace(' ', ', ')}, order_date"
     )
-    order = f"order_date order_status quantity unit_price discount_amount tax_amount net_amount {LINE_PARENTS}"
-    return latest(name, select, source, "source_system, order_id, order_line_number", order)
+    order = f"order_status quantity unit_price discount_amount tax_amount net_amount {LINE_PARENTS}"
+    return latest(name, select, source, "source_system, order_id, order_line_number", order, "order_date", LINE_NEEDS)
 
 
 def orders_ctes() -> list[str]:
@@ -336,6 +343,29 @@ def orders_ctes() -> list[str]:
     )
 
 
+def damaged_ctes() -> list[str]:
+    """The outcome of every staged row of damaged_orders."""
+    return line_dims() + [
+        staged("damaged_orders"),
+        f"""seen AS (SELECT *, TRY_CAST(order_line_number AS INTEGER) AS line, TRY_CAST(order_date AS DATE) AS day,
+            TRY_CAST(quantity AS {MONEY}) AS q, TRY_CAST(unit_price AS {MONEY}) AS u, TRY_CAST(net_amount AS {MONEY}) AS n
+            FROM stg_damaged_orders_1)""",
+        f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY source_system, order_id, line ORDER BY
+            CASE WHEN day IS NULL OR q IS NULL OR u IS NULL OR n IS NULL THEN 1 ELSE 0 END, day DESC NULLS LAST,
+            order_status DESC, q DESC NULLS LAST, u DESC NULLS LAST, TRY_CAST(coalesce(discount_amount, '0') AS {MONEY}) DESC,
+            TRY_CAST(coalesce(tax_amount, '0') AS {MONEY}) DESC, n DESC NULLS LAST,
+            {", ".join(c + " DESC NULLS LAST" for c in LINE_PARENTS.split())}) AS place FROM seen)""",
+        f"""damaged AS (SELECT CASE
+                WHEN f.source_system IS NULL OR f.order_id IS NULL OR f.order_line_number IS NULL THEN 'missing_key'
+                WHEN f.line IS NULL THEN 'bad_order_line_number' WHEN f.place > 1 THEN 'set_aside'
+                WHEN f.day IS NULL THEN 'bad_date' WHEN f.q IS NULL THEN 'bad_quantity'
+                WHEN f.u IS NULL THEN 'bad_unit_price' WHEN f.n IS NULL THEN 'bad_net_amount'
+                WHEN c.customer_key IS NULL THEN 'unknown_dim_customer'
+                WHEN p.product_key IS NULL THEN 'unknown_dim_product' ELSE 'accepted' END AS outcome
+            FROM ranked f LEFT JOIN dim_customer_2 c ON {CUSTOMER_ON} LEFT JOIN dim_product_2 p ON {PRODUCT_ON})""",
+    ]
+
+
 def transactions_ctes() -> list[str]:
     """Event ids are unique, so no row is superseded."""
     return (
@@ -371,12 +401,12 @@ def bank_transactions_ctes() -> list[str]:
     )
 
 
-def care_ctes(name: str, select: str, key: str, order: str, date: str, shown: str) -> list[str]:
+def care_ctes(name: str, select: str, key: str, order: str, date: str, shown: str, needs: str) -> list[str]:
     return (
         patient_ctes()
         + provider_ctes()
         + [staged(name)]
-        + latest(f"{name}_rows", select, f"stg_{name}_1", f"source_system, {key}", order)
+        + latest(f"{name}_rows", select, f"stg_{name}_1", f"source_system, {key}", order, date, needs)
         + [
             f"""fact_{name} AS (SELECT {key_of(date)} AS date_key, p.patient_key, d.provider_key, f.source_system, {shown}
                 FROM {name}_rows f
@@ -393,9 +423,10 @@ def claims_ctes() -> list[str]:
         f"""source_system, claim_id, {plain}, TRY_CAST(claim_amount AS {MONEY}) AS claim_amount, claim_status, payer,
             patient_id, provider_id, claim_date""",
         "claim_id",
-        "claim_date diagnosis_code procedure_code claim_amount claim_status payer patient_id provider_id",
+        "diagnosis_code procedure_code claim_amount claim_status payer patient_id provider_id",
         "claim_date",
         "f.claim_id, f.diagnosis_code, f.procedure_code, f.claim_amount, f.claim_status, f.payer",
+        "claim_amount",
     )
 
 
@@ -406,9 +437,10 @@ def pharmacy_ctes() -> list[str]:
             TRY_CAST(days_supply AS INTEGER) AS days_supply, pharmacy_name, TRY_CAST(cost AS {MONEY}) AS cost,
             patient_id, provider_id, fill_date""",
         "prescription_id",
-        "fill_date drug_name ndc_code quantity days_supply pharmacy_name cost patient_id provider_id",
+        "drug_name ndc_code quantity days_supply pharmacy_name cost patient_id provider_id",
         "fill_date",
         "f.prescription_id, f.drug_name, f.ndc_code, f.quantity, f.days_supply, f.pharmacy_name, f.cost",
+        "cost",
     )
 
 
@@ -419,10 +451,11 @@ def netted_ctes() -> list[str]:
                 TRY_CAST(quantity AS {MONEY}) AS quantity, TRY_CAST(unit_price AS {MONEY}) AS unit_price,
                 TRY_CAST(discount_pct AS DECIMAL(9,4)) AS discount_pct FROM stg_retail_orders_1)""",
             # Whole quantities and percentages and two-decimal prices: four decimals hold the discount exactly.
-            f"""discounted AS (SELECT *, CAST(CAST(quantity AS INTEGER)
-                * CAST(coalesce(discount_pct, 0) AS INTEGER) * CAST(unit_price AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(3,2)) AS {MONEY}) AS discount_amount
+            # A quantity beyond an integer makes both amounts too large for their columns.
+            f"""discounted AS (SELECT *, CAST(TRY_CAST(quantity AS INTEGER)
+                * CAST(coalesce(discount_pct, 0) AS INTEGER) * TRY_CAST(unit_price AS DECIMAL(12,2)) * CAST(0.01 AS DECIMAL(3,2)) AS {MONEY}) AS discount_amount
                 FROM priced)""",
-            f"""netted AS (SELECT *, CAST(CAST(quantity AS INTEGER) * unit_price - discount_amount AS {MONEY})
+            f"""netted AS (SELECT *, CAST(TRY_CAST(quantity AS INTEGER) * TRY_CAST(unit_price AS DECIMAL(14,4)) - discount_amount AS {MONEY})
                 AS net_amount FROM discounted)""",
     ]
 
@@ -437,7 +470,9 @@ def retail_orders_ctes() -> list[str]:
             "*",
             "netted",
             "source_system, order_id",
-            "order_date order_status quantity unit_price discount_amount net_amount customer_id product_id",
+            "order_status quantity unit_price discount_amount net_amount customer_id product_id",
+            "order_date",
+            LINE_NEEDS,
         )
         + [
             f"""fact_orders AS (SELECT {key_of("order_date")} AS date_key, c.customer_key, p.product_key,
@@ -446,7 +481,7 @@ def retail_orders_ctes() -> list[str]:
                 CAST(1 AS INTEGER) AS order_line_number, f.order_status, f.quantity, f.unit_price,
                 f.discount_amount, CAST(0 AS {MONEY}) AS tax_amount, f.net_amount
                 FROM retail_lines f JOIN dim_customer_1 c ON {CUSTOMER_ON} JOIN dim_product_1 p ON {PRODUCT_ON}
-                WHERE TRY_CAST(order_date AS DATE) IS NOT NULL)"""
+                WHERE TRY_CAST(order_date AS DATE) IS NOT NULL AND f.net_amount IS NOT NULL)"""
         ]
     )
 
@@ -627,6 +662,7 @@ def clean_checks() -> dict[str, str]:
             """SELECT source_system, order_id, order_line_number, reason AS reject_reason FROM outcome
                WHERE reason <> 'accepted'""",
         ),
+        "reject_partition": query(damaged_ctes(), "SELECT outcome, count(*) AS n FROM damaged GROUP BY outcome"),
         "rejects_count": query(
             outcome_ctes(), "SELECT reason AS outcome, count(*) AS n FROM outcome GROUP BY reason"
         ),

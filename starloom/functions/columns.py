@@ -56,9 +56,9 @@ def null_default(type_name: str) -> str:
 
 
 def order_discount(quantity: Column, price: Column, percent: Column) -> Column:
-    """Discount amount of an order line, rounded half up to four places."""
+    """Discount amount of an order line, rounded half up to four places; NULL if it is too large."""
     share = F.coalesce(percent, F.lit(0).cast(RATE))
-    return F.round(quantity * price * share / F.lit(100), 4).cast(MONEY)
+    return F.round(F.try_multiply(quantity * price, share) / F.lit(100), 4).try_cast(MONEY)
 
 
 def pass_fail(condition: Column) -> Column:

@@ -13,6 +13,8 @@ from starloom.operators.lookups import lookup_all
 from starloom.spec import FactSpec, LoadStamp
 
 _DATE_TEXT = "_date_text"
+_DAY, _SOUND = "_day", "_sound"
+SET_ASIDE = "set_aside"
 
 
 def not_loaded(
@@ -50,24 +52,49 @@ def resolve_facts(
     """New facts with their keys and the reason a row cannot be loaded, if there is one.
 
     Deduplication and the check against loaded facts share one shuffle on the
-    natural key and come before the lookups, which then see new rows only.
+    natural key and come before the lookups, which then see new rows only. Of the
+    rows of a key one that can be read wins over one that cannot, then the latest
+    by its typed date. Rows without a readable natural key are all rejected: they
+    take no part in the shuffle, and no lookup is made for them.
     """
     parents = [c for lk in spec.lookups for c in lk.source if c not in spec.columns]
-    kept = [c for c in spec.latest_by if c not in spec.columns]
+    ordered_by = [c for c in spec.latest_by if c != spec.date_source]
+    kept = [c for c in ordered_by if c not in spec.columns]
     types = {**spec.columns, **dict.fromkeys([*parents, *kept], "string")}
     sources = dict(spec.sources)
     if spec.date_source:
         types[_DATE_TEXT] = "string"
         sources[_DATE_TEXT] = spec.date_source
-    rows = typed_project(staged, types, sources, spec.zero)
-    rows = fact_append(loaded, drop_null_key(rows, spec.natural_key), spec.natural_key, spec.latest_by, on_dup)
+        ordered_by = [_DAY, *ordered_by]
+    for name in _typed_keys(spec):
+        types[_text(name)] = "string"
+        sources[_text(name)] = spec.sources.get(name, name)
+    typed = typed_project(staged, types, sources, spec.zero)
+    if spec.date_source:
+        typed = typed.withColumn(_DAY, try_as(_DATE_TEXT, "date"))
+    typed = typed.withColumn(_SOUND, ~F.greatest(*_unreadable(spec).values(), F.lit(False)))
+    rows = drop_null_key(typed, spec.natural_key)
+    unkeyed = typed.where(F.greatest(*[F.col(c).isNull() for c in spec.natural_key], F.lit(False)))
+
+    rows = fact_append(loaded, rows, spec.natural_key, [_SOUND, *ordered_by], on_dup)
+    rows = lookup_all(rows, spec.lookups, dims, keep_unmatched=True)
+    unkeyed = unkeyed.withColumns({lk.output: F.lit(None).cast(rows.schema[lk.output].dataType) for lk in spec.lookups})
+    rows = rows.unionByName(unkeyed.select(*rows.columns))
     key = date_key(_DATE_TEXT) if spec.date_source else snapshot_key(stamp.load_date)
     rows = rows.withColumn(spec.date_key, key)
-    rows = lookup_all(rows, spec.lookups, dims, keep_unmatched=True)
     rows = rows.withColumns({c: F.lit(None).cast("bigint") for c in spec.null_keys})
     return flag_rejects(rows, reject_rules(spec)).select(*spec.output_columns, *_evidence(spec), REJECT)
 
 
+def batch_outcomes(staged: DataFrame, resolved: DataFrame) -> DataFrame:
+    """How many staged rows were accepted, rejected for each reason, and set aside: rows of a key whose other
+    row was taken, or that is loaded already. The numbers add up to the staged rows."""
+    outcome = F.coalesce(F.col(REJECT), F.lit("accepted")).alias("outcome")
+    taken = resolved.groupBy(outcome).agg(F.count("*").alias("n"))
+    parts = staged.agg(F.count("*").alias("n")).unionAll(resolved.agg((-F.count("*")).alias("n")))
+    return taken.unionByName(parts.agg(F.sum("n").alias("n")).select(F.lit(SET_ASIDE).alias("outcome"), "n"))
+
+
 def batch_months(staged: DataFrame, spec: FactSpec) -> list[int]:
     """The months of a batch as yyyyMM: as many as the calendar has, at most."""
     month = F.floor(date_key(spec.date_source) / 100).cast("int").alias("month")
@@ -95,23 +122,40 @@ def rejected(resolved: DataFrame) -> DataFrame:
 
 
 def reject_rules(spec: FactSpec) -> dict[str, Column]:
-    rules = {}
-    if spec.date_source:
-        rules["bad_date"] = F.col(spec.date_key).isNull()
-    rules |= {f"bad_{c}": F.col(c).isNull() for c in spec.required}
+    """Why a row cannot be loaded, the first reason that holds: no key, an unreadable one, a bad value, an unknown parent."""
+    typed = _typed_keys(spec)
+    given = [F.col(_text(c) if c in typed else c) for c in spec.natural_key]
+    rules = {"missing_key": F.greatest(*[c.isNull() for c in given], F.lit(False))}
+    rules |= {f"bad_{c}": F.col(c).isNull() for c in typed}
+    rules |= _unreadable(spec)
     rules |= {f"unknown_{lk.dim}": F.col(lk.output).isNull() for lk in spec.lookups if lk.required}
     return rules
 
 
+def _unreadable(spec: FactSpec) -> dict[str, Column]:
+    """The rules that a row can be judged by alone."""
+    rules = {"bad_date": F.col(_DAY).isNull()} if spec.date_source else {}
+    return rules | {f"bad_{c}": F.col(c).isNull() for c in spec.required}
+
+
+def _typed_keys(spec: FactSpec) -> list[str]:
+    """Columns of the natural key that may be unreadable."""
+    return [c for c in spec.natural_key if spec.columns[c] != "string"]
+
+
+def _text(name: str) -> str:
+    return f"_{name}_text"
+
+
 def _evidence(spec: FactSpec) -> list[str]:
-    """Staged values that explain a reject: the ids looked up and the date as it came."""
+    """Staged values that explain a reject: the ids looked up, the date and typed keys as they came."""
     ids = [c for lk in spec.lookups for c in lk.source if c not in spec.columns]
     dates = [_DATE_TEXT] if spec.date_source else []
-    return list(dict.fromkeys([*ids, *dates]))
+    return list(dict.fromkeys([*ids, *dates, *map(_text, _typed_keys(spec))]))
 
 
 def order_amounts(orders: DataFrame) -> DataFrame:
-    """Discount, tax and net amount of order lines that carry only a discount percentage."""
+    """Discount, tax and net amount of order lines that carry only a discount percentage; NULL where too large for the column."""
     typed = orders.withColumns(
         {
             "quantity": try_as("quantity", MONEY),
@@ -122,5 +166,5 @@ def order_amounts(orders: DataFrame) -> DataFrame:
     priced = typed.withColumn("discount_amount", order_discount(F.col("quantity"), F.col("unit_price"), F.col("discount_pct")))
     net = F.col("quantity") * F.col("unit_price") - F.col("discount_amount")
     return priced.withColumns(
-        {"net_amount": net.cast(MONEY), "tax_amount": F.lit(0).cast(MONEY), "order_line_number": F.lit(1)}
+        {"net_amount": net.try_cast(MONEY), "tax_amount": F.lit(0).cast(MONEY), "order_line_number": F.lit(1)}
     )

@@ -208,7 +208,8 @@ def _retail_product(wave: int) -> str:
         FROM {{part}} WHERE {_sold(wave)}"""
 
 
-_LINE_MEASURES = f"""
+def _line_measures(net: str = money("l_extendedprice * (1 - l_discount)")) -> str:
+    return f"""
                CAST(o_custkey AS STRING) AS customer_id, CAST(l_partkey AS STRING) AS product_id,
                CAST(l_suppkey AS STRING) AS employee_id, CAST(l_linenumber AS STRING) AS location_id,
                CASE WHEN l_returnflag = 'A' THEN 'EUR' WHEN l_returnflag = 'R' THEN 'XXX' END AS currency_code,
@@ -216,7 +217,8 @@ _LINE_MEASURES = f"""
                {money("l_extendedprice")} AS unit_price,
                CASE WHEN l_discount > 0 THEN {money("l_extendedprice * l_discount")} END AS discount_amount,
                CASE WHEN l_tax > 0 THEN {money("l_extendedprice * l_tax")} END AS tax_amount,
-               {money("l_extendedprice * (1 - l_discount)")} AS net_amount"""
+               {net} AS net_amount"""
+
 
 _ORDER_DAY = f"CASE WHEN o_orderstatus = 'P' AND l_linenumber = 7 THEN 'pending' ELSE {day('o_orderdate')} END"
 
@@ -225,16 +227,44 @@ def _sales(wave: int) -> str:
     return f"""
         SELECT '{SOURCE}' AS source_system,
                CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS sale_id,
-               {_ORDER_DAY} AS sale_date, {_LINE_MEASURES}
-        FROM {_LINES}"""
+               {_ORDER_DAY} AS sale_date, {_line_measures()}
+        FROM {_LINES}
+        UNION ALL
+        SELECT '{SOURCE}' AS source_system,
+               CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS sale_id,
+               'pending' AS sale_date, {_line_measures()}
+        FROM {_LINES} WHERE o_orderstatus = 'P' AND l_linenumber = 1"""
 
 
-def _orders(wave: int) -> str:
+def _order_lines(
+    where: str = "true", source: str = f"'{SOURCE}'", order_id: str = "CAST(l_orderkey AS STRING)",
+    line: str = "CAST(l_linenumber AS STRING)", date: str = _ORDER_DAY, **measures: str,
+) -> str:
     return f"""
-        SELECT '{SOURCE}' AS source_system, CAST(l_orderkey AS STRING) AS order_id,
-               CAST(l_linenumber AS STRING) AS order_line_number, {_ORDER_DAY} AS order_date,
-               o_orderstatus AS order_status, {_LINE_MEASURES}
-        FROM {_LINES}"""
+        SELECT {source} AS source_system, {order_id} AS order_id, {line} AS order_line_number, {date} AS order_date,
+               o_orderstatus AS order_status, {_line_measures(**measures)}
+        FROM {_LINES} WHERE {where}"""
+
+
+def _orders(wave: int) -> str:
+    return _order_lines()
+
+
+def _damaged_orders(wave: int) -> str:
+    """All order lines, and some of them again without a date, without or with unreadable keys, and with too large an amount."""
+    return " UNION ALL ".join(
+        [
+            _order_lines(),
+            _order_lines("o_orderstatus = 'P' AND l_linenumber = 1", date="'pending'"),
+            _order_lines("l_linenumber = 2 AND l_returnflag = 'R'", line="'x' || CAST(l_linenumber AS STRING)"),
+            _order_lines("l_linenumber = 3 AND l_returnflag = 'A'", order_id="CAST(NULL AS STRING)"),
+            _order_lines("l_linenumber = 4 AND l_returnflag = 'N'", source="CAST(NULL AS STRING)"),
+            _order_lines("l_linenumber = 5 AND l_returnflag = 'R'", order_id="CAST(l_orderkey AS STRING) || 'B'", net="'99999999999999999999'"),
+        ]
+    )
+
+
+_TOO_LARGE = "l_linenumber = 6 AND o_orderstatus = 'P' AND l_discount > 0"
 
 
 def _retail_orders(wave: int) -> str:
@@ -243,7 +273,8 @@ def _retail_orders(wave: int) -> str:
                'ORD' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS order_id,
                {_ORDER_DAY} AS order_date, o_orderstatus AS order_status,
                'CUST' || CAST(o_custkey AS STRING) AS customer_id, 'PROD' || CAST(l_partkey AS STRING) AS product_id,
-               {money("l_quantity")} AS quantity, {money("l_extendedprice")} AS unit_price,
+               CASE WHEN {_TOO_LARGE} THEN '99999999999999' ELSE {money("l_quantity")} END AS quantity,
+               CASE WHEN {_TOO_LARGE} THEN '99999999999999' ELSE {money("l_extendedprice")} END AS unit_price,
                CASE WHEN l_discount > 0 THEN CAST(CAST(l_discount * 100 AS DECIMAL(9,4)) AS STRING) END AS discount_pct,
                o_orderpriority AS channel
         FROM {_LINES}"""
@@ -319,6 +350,7 @@ STAGING = {
     "retail_product": _retail_product,
     "sales": _sales,
     "orders": _orders,
+    "damaged_orders": _damaged_orders,
     "retail_orders": _retail_orders,
     "inventory": _inventory,
     "transactions": _transactions,

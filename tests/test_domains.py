@@ -79,7 +79,7 @@ def test_delivery(spark, tmp_path, domain, facts, dims):
     assert {n.split("_")[1]: c["rows_inserted"] for n, c in counts.items() if n.split("_")[1] in dims} == dims
     for name, spec in facts.items():
         loaded = staged(house, domain, root, name)
-        assert counts[name] == {"rows_inserted": loaded.count(), "rows_rejected": 0}
+        assert counts[name] == {"rows_inserted": loaded.count(), "rows_rejected": 0, "rows_set_aside": 0}
         assert {r.check_result for r in check_fact(house, loaded, spec).collect()} == {"PASS"}
     again = load_delivery(house, domain, root, DAY2, 2)
     assert all(n == 0 for c in again.values() for n in c.values())

@@ -76,8 +76,24 @@ def test_repeated_key_in_a_batch(text, dims):
         facts.load_facts(staged, generic.SALES, dims, STAMP, on_dup="error")
 
 
-def test_unkeyed_rows_are_left_out(text, dims):
-    assert facts.resolve_facts(sales(text, {"sale_id": None}), generic.SALES, dims, STAMP).isEmpty()
+def test_a_readable_row_wins_over_an_unreadable_one_of_its_key(text, dims):
+    staged = sales(
+        text, {"sale_date": "pending", "net_amount": "9"}, {"sale_date": "2024-01-05", "net_amount": "1"},
+        {"sale_date": "2024-01-09", "net_amount": "?"}, {"sale_id": "2", "sale_date": "pending"},
+    )
+    resolved = facts.resolve_facts(staged, generic.SALES, dims, STAMP)
+    assert rows(resolved, "sale_id", "date_key", REJECT) == [("1", 20240105, None), ("2", None, "bad_date")]
+    assert rows(facts.batch_outcomes(staged, resolved)) == [("accepted", 1), ("bad_date", 1), ("set_aside", 2)]
+
+
+def test_rows_without_a_readable_key_are_rejected_each(text, dims):
+    staged = sales(text, {"sale_id": None}, {"sale_id": None}, {"source_system": None}, {})
+    resolved = facts.resolve_facts(staged, generic.SALES, dims, STAMP)
+    assert rows(facts.batch_outcomes(staged, resolved)) == [("accepted", 1), ("missing_key", 3), ("set_aside", 0)]
+    line = text("source_system order_id order_line_number order_date order_status " + " ".join(COLUMNS.split()[3:]),
+                ("S", "1", "x1", "2024-01-01", "paid", "C1", "P1", None, None, None, "2", "3.5", "1", "0", "6"))
+    resolved = facts.resolve_facts(line, generic.ORDERS, dims, STAMP)
+    assert rows(resolved, "order_id", "_order_line_number_text", REJECT) == [("1", "x1", "bad_order_line_number")]
 
 
 def test_order_amounts(text, dims):
@@ -86,6 +102,7 @@ def test_order_amounts(text, dims):
         ("S", "1", "2024-01-01", "paid", "C1", "P1", "3", "19.99", "15"),
         ("S", "2", "2024-01-01", "paid", "C1", "P1", "3", "19.99", None),
         ("S", "3", "2024-01-01", "paid", "C1", "P1", "many", "19.99", "5"),
+        ("S", "4", "2024-01-01", "paid", "C1", "P1", "9" * 14, "9" * 14, "99999"),
     )
     priced = facts.order_amounts(staged)
     loaded = facts.load_facts(priced, retail.RETAIL_ORDERS, dims, STAMP)
@@ -94,6 +111,8 @@ def test_order_amounts(text, dims):
         ("1", 1, Decimal("8.9955"), Decimal("0.0000"), Decimal("50.9745"), None),
         ("2", 1, Decimal("0.0000"), Decimal("0.0000"), Decimal("59.9700"), None),
     ]
+    refused = facts.rejected(facts.resolve_facts(priced, retail.RETAIL_ORDERS, dims, STAMP))
+    assert rows(refused, "order_id", REJECT) == [("3", "bad_quantity"), ("4", "bad_net_amount")]
 
 
 def test_inventory_is_keyed_by_the_load_date_and_a_later_snapshot_adds_nothing(text, dims):
