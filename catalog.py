@@ -26,7 +26,15 @@ from starloom.session import materialize, scratch_dir
 from starloom.sources import files, maintenance
 from starloom.sources.tables import Layout
 from starloom.spec import DimSpec, FactSpec, Lookup
-from starloom.streaming import stream_bronze, stream_failed_runs, stream_files, stream_upsert
+from starloom.streaming import (
+    read_alerts,
+    stream_bronze,
+    stream_failed_runs,
+    stream_files,
+    stream_metric,
+    stream_upsert,
+    write_windows,
+)
 from starloom.streaming.bronze import read_raw
 from starloom.streaming.upsert import CleansedTable
 
@@ -867,7 +875,7 @@ def stream_bronze_query(spark, sf_dir):
     path, checkpoint = fresh_folder(spark, "bronze"), fresh_folder(spark, "bronze-checkpoint")
     for _ in range(2):
         stream_bronze(event_stream(spark, sf_dir), path, checkpoint).awaitTermination()
-    raw = read_raw(spark, path)
+    raw = read_raw(spark, path).drop(files.ARRIVAL)
     return raw.withColumn(files.LINEAGE_FILE, F.element_at(F.split(files.LINEAGE_FILE, "/"), -1))
 
 
@@ -880,11 +888,29 @@ def stream_upsert_query(spark, sf_dir):
     for attempt in ("first", "second", "replay"):
         checkpoint = f"{root}/_checkpoints/{'replay' if attempt == 'replay' else 'stream'}"
         stream_upsert(
-            event_stream(spark, sf_dir).select(*schema.names), target, ["user_id", "event_type"], checkpoint, ["ts"]
+            event_stream(spark, sf_dir), target, ["user_id", "event_type"], checkpoint, ["ts"]
         ).awaitTermination()
     return target.read()
 
 
+@query("stream_upsert_files")
+def stream_upsert_files(spark, sf_dir):
+    """Events that arrive in files by the hour of day, upserted with one file a micro-batch and with all in one."""
+    folder = fresh_folder(spark, "arrivals")
+    events = read(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    for eight_hours in range(3):  # one after the other, as they would arrive
+        some = events.where(F.floor(F.hour("ts") / 8) == eight_hours)
+        some.coalesce(1).write.mode("append").parquet(folder)
+    results = []
+    for most in (1, 500):
+        root = fresh_folder(spark, f"silver-{most}")
+        target = CleansedTable(spark, Layout(root), "events", events.schema)
+        arriving = stream_files(spark, folder, events.schema, "parquet", STAMPS[1], "*.parquet", max_files=most)
+        stream_upsert(arriving, target, ["user_id", "event_type"], f"{root}/_checkpoints/stream", ["ts"]).awaitTermination()
+        results.append(target.read().withColumn("files_a_batch", F.lit(most)))
+    return results[0].unionByName(results[1])
+
+
 @query("sink_overwrite")
 def sink_overwrite(spark, sf_dir):
     """Conformed events published twice in full: the last purchase of every user replaces the last event."""
@@ -895,15 +921,26 @@ def sink_overwrite(spark, sf_dir):
     return target.read()
 
 
-@query("stream_alerts")
-def stream_alerts(spark, sf_dir):
-    """The failed-run alerts of a stream: the windows its watermark has closed."""
+def alert_stream(spark: SparkSession, sf_dir: str, windows_of, over: float) -> DataFrame:
     path, checkpoint = fresh_folder(spark, "alerts"), fresh_folder(spark, "alerts-checkpoint")
     status = F.when(F.col("event_type") == "error", F.lit("FAILED")).otherwise(F.lit("SUCCESS"))
-    events = event_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("end_time"), status.alias("status"))
-    alerts = stream_failed_runs(events, "end_time")
-    stream_bronze(alerts, path, checkpoint).awaitTermination()
-    return spark.read.schema(alerts.schema).parquet(path)
+    exact = F.col("value").cast("decimal(18,2)").alias("value")
+    events = event_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("end_time"), status.alias("status"), exact)
+    windows = windows_of(events)
+    write_windows(windows, path, checkpoint).awaitTermination()
+    return read_alerts(spark, path, windows.schema, over)
+
+
+@query("stream_alerts")
+def stream_alerts(spark, sf_dir):
+    """The failed-run alerts of a stream: every window with a failure, the last ones too."""
+    return alert_stream(spark, sf_dir, lambda e: stream_failed_runs(e, "end_time"), control.FAILED_RUNS_OVER)
+
+
+@query("stream_metric")
+def stream_metric_query(spark, sf_dir):
+    """The metric alerts of a stream."""
+    return alert_stream(spark, sf_dir, lambda e: stream_metric(e, "end_time", "value"), control.METRIC_OVER)
 
 
 @query("expire_versions")

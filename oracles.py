@@ -995,8 +995,8 @@ def control_checks() -> dict[str, str]:
         "purge_logs": """SELECT event_id AS run_key, event_type AS procedure_name, CAST(ts AS VARCHAR) AS start_time,
             CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status, value
             FROM events WHERE ts >= TIMESTAMP '2024-04-15 12:00:00' - INTERVAL 90 DAY""",
-        "stream_alerts": f"""SELECT * FROM ({alerts("count(*)", "WHERE event_type = 'error'", 0)})
-            WHERE CAST(window_end AS TIMESTAMP) <= (SELECT max(ts) - INTERVAL 15 MINUTE FROM events)""",
+        "stream_alerts": alerts("count(*)", "WHERE event_type = 'error'", 0),
+        "stream_metric": alerts("CAST(sum(CAST(value AS DECIMAL(18,2))) / count(*) AS DOUBLE)", "", 80),
         "load_routing": f"""SELECT source_system, object_name,
             CASE WHEN load_type = 'INCREMENTAL' THEN 'incremental' ELSE 'full' END AS route
             FROM ({metadata()}) WHERE is_active""",
@@ -1163,6 +1163,10 @@ def file_checks() -> dict[str, str]:
         "sink_overwrite": """SELECT user_id, event_id, event_type, CAST(ts AS VARCHAR) AS ts FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
             FROM events WHERE event_type = 'purchase') WHERE rn = 1""",
+        "stream_upsert_files": """SELECT user_id, event_type, event_id, CAST(ts AS VARCHAR) AS ts, value, files_a_batch
+            FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+                ORDER BY hour(ts) // 8, ts DESC, event_id DESC, value DESC) AS rn FROM events),
+                 (VALUES (CAST(1 AS INTEGER)), (500)) AS v(files_a_batch) WHERE rn = 1""",
         "stream_upsert": """SELECT user_id, event_type, event_id, CAST(ts AS VARCHAR) AS ts, value FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id, event_type
                 ORDER BY ts DESC, event_id DESC, value DESC) AS rn FROM events) WHERE rn = 1""",

@@ -27,14 +27,16 @@ def drop_null_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(keys))
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()) -> DataFrame:
-    """Keep one row per key: the latest, ties settled by all other columns.
+def dedup_latest(
+    df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = (), first_by: Sequence[str] = ()
+) -> DataFrame:
+    """Keep one row per key: the first by ``first_by``, then the latest, ties settled by all other columns.
 
     Spark limits each key to one row per task before the shuffle, so a key that
     holds a large share of the rows sends one row per task and no more.
     """
-    rest = [c for c in df.columns if c not in keys and c not in latest_by]
-    order = [F.col(c).desc_nulls_last() for c in (*latest_by, *rest)]
+    rest = [c for c in df.columns if c not in (*keys, *latest_by, *first_by)]
+    order = [F.col(c).asc_nulls_last() for c in first_by] + [F.col(c).desc_nulls_last() for c in (*latest_by, *rest)]
     if not order:
         return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -176,26 +176,23 @@ def purge_logs(log: DataFrame, time_column: str, as_of: dt.datetime, days: int =
     return log.where(F.col(time_column) >= F.lit(utc_text(cutoff)).cast("timestamp"))
 
 
+def window_measures(
+    rows: DataFrame, time_column: str, measure: Column, window: str = ALERT_WINDOW, every: str = ALERT_EVERY
+) -> DataFrame:
+    """An aggregate over overlapping windows; works on streams too."""
+    windows = rows.groupBy(F.window(time_column, window, every).alias("w")).agg(measure.alias("measure"))
+    return windows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "measure")
+
+
 def alert_windows(
     rows: DataFrame, time_column: str, measure: Column, over: float, window: str = ALERT_WINDOW, every: str = ALERT_EVERY
 ) -> DataFrame:
-    """Overlapping windows in which an aggregate is over its threshold; works on streams too."""
-    return (
-        rows.groupBy(F.window(time_column, window, every).alias("w"))
-        .agg(measure.alias("measure"))
-        .where(F.col("measure") > over)
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "measure")
-    )
+    """Overlapping windows in which an aggregate is over its threshold."""
+    return window_measures(rows, time_column, measure, window, every).where(F.col("measure") > over)
 
 
 def failed_run_alerts(runs: DataFrame, time_column: str = "end_time") -> DataFrame:
-    """Windows with failed runs, and how many.
-
-    On a stream the other runs must reach the aggregate too: it is they that
-    move the watermark on and so close the window of the last failure.
-    """
-    if runs.isStreaming:
-        return alert_windows(runs, time_column, F.count_if(F.col("status") == "FAILED"), FAILED_RUNS_OVER)
+    """Windows with failed runs, and how many."""
     return alert_windows(runs.where("status = 'FAILED'"), time_column, F.count("*"), FAILED_RUNS_OVER)
 
 

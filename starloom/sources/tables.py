@@ -75,19 +75,21 @@ class Table:
         marker.write.mode("overwrite").parquet(f"{self.path}/published/load_id={load_id}")
 
     def append(self, rows: DataFrame, published_at: dt.datetime) -> int:
-        """Add plain rows as one load; gives how many were added."""
-        last = self.marker() or NOTHING
-        return self._write(rows, last.load_id + 1, last.base_load_id, published_at)
+        """Add plain rows as one load; gives how many were added. Without any, nothing is published."""
+        last = self.marker()
+        base = last or NOTHING
+        return self._write(rows, base.load_id + 1, base.base_load_id, published_at, empty=last is None)
 
     def replace(self, rows: DataFrame, published_at: dt.datetime) -> int:
         """Plain rows in place of all earlier ones; readers see the old rows until the new are published."""
         load_id = (self.marker() or NOTHING).load_id + 1
         return self._write(rows, load_id, load_id, published_at)
 
-    def _write(self, rows: DataFrame, load_id: int, base: int, published_at: dt.datetime) -> int:
+    def _write(self, rows: DataFrame, load_id: int, base: int, published_at: dt.datetime, empty: bool = True) -> int:
         write_rows(rows, self.rows_path(load_id))
         written = self.spark.read.schema(rows.schema).parquet(self.rows_path(load_id)).count()
-        self.publish(load_id, published_at, base=base, rows_inserted=written)
+        if written or empty:
+            self.publish(load_id, published_at, base=base, rows_inserted=written)
         return written
 
     def read(self) -> DataFrame:

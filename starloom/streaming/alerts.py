@@ -1,20 +1,52 @@
-"""The alert rules on a stream."""
+"""The alert rules on a stream.
+
+Every window that a micro-batch touches is written with its new measure, so an alert is there with the failure itself
+and late rows still count. Nothing waits for a watermark. The state is one row per window, 288 a day, however many
+rows there are.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from starloom.operators.control import FAILED_RUNS_OVER, METRIC_OVER, window_measures
+from starloom.session import exists
+from starloom.sources.tables import read_or_none, write_rows
+from starloom.streaming.bronze import trigger
+
+
+def stream_failed_runs(runs: DataFrame, time_column: str = "end_time") -> DataFrame:
+    """Failed runs by window."""
+    return window_measures(runs.where("status = 'FAILED'"), time_column, F.count("*"))
+
+
+def stream_metric(metrics: DataFrame, time_column: str, value: str) -> DataFrame:
+    """Average of ``value`` by window."""
+    return window_measures(metrics, time_column, F.avg(value))
+
+
+def write_windows(windows: DataFrame, path: str, checkpoint: str, seconds: int | None = None) -> StreamingQuery:
+    """Write the windows of each micro-batch to a directory of its own, which a batch that is run again replaces."""
+    if exists(windows.sparkSession, path) and not exists(windows.sparkSession, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} holds the batches of another checkpoint")
 
-from starloom.operators.control import METRIC_OVER, failed_run_alerts, metric_alerts
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_rows(batch, f"{path}/batch_id={batch_id}")
 
-LATENESS = "15 minutes"
+    writer = windows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger(seconds)).start()
 
 
-def stream_failed_runs(runs: DataFrame, time_column: str, lateness: str = LATENESS) -> DataFrame:
-    """Windows with failed runs, each given once the watermark has passed its end."""
-    return failed_run_alerts(runs.withWatermark(time_column, lateness), time_column)
+def read_alerts(spark: SparkSession, path: str, schema: T.StructType, over: float) -> DataFrame:
+    """Windows whose latest measure is over the threshold (FAILED_RUNS_OVER, METRIC_OVER)."""
+    written = read_or_none(spark, path, T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
+    if written is None:
+        return spark.createDataFrame([], schema)
+    latest = written.groupBy("window_start", "window_end").agg(F.max_by("measure", "batch_id").alias("measure"))
+    return latest.where(F.col("measure") > over)
 
 
-def stream_metric(
-    metrics: DataFrame, time_column: str, value: str, over: float = METRIC_OVER, lateness: str = LATENESS
-) -> DataFrame:
-    return metric_alerts(metrics.withWatermark(time_column, lateness), time_column, value, over)
+__all__ = ["FAILED_RUNS_OVER", "METRIC_OVER", "read_alerts", "stream_failed_runs", "stream_metric", "write_windows"]

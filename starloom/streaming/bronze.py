@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom.session import exists
-from starloom.sources.files import CSV, read_evolving, with_lineage
+from starloom.sources.files import ARRIVAL, CSV, read_evolving, with_lineage
 from starloom.sources.tables import write_rows
 from starloom.spec import LoadStamp
 
@@ -33,12 +34,13 @@ def stream_files(
     pattern: str = "*",
     max_files: int = MAX_FILES,
 ) -> DataFrame:
-    """Files as they arrive, with lineage columns. A csv file with another header fails the stream."""
+    """Files as they arrive, the oldest first, with lineage columns and the file's time (ARRIVAL). A csv file with
+    another header fails the stream."""
     reader = spark.readStream.format(file_format).schema(schema)
     if file_format == "csv":
         reader = reader.options(**CSV, enforceSchema="false")
     rows = reader.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files).load(folder)
-    return with_lineage(rows, stamp)
+    return with_lineage(rows.select("*", F.col("_metadata.file_modification_time").alias(ARRIVAL), "_metadata"), stamp).drop("_metadata")
 
 
 def trigger(seconds: int | None) -> dict:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starloom.operators.clean import conform, conform_trim, drop_null_key
-from starloom.operators.facts import fact_append
+from starloom.operators.clean import conform, conform_trim, dedup_latest, drop_null_key
+from starloom.operators.facts import not_loaded
+from starloom.sources.files import ARRIVAL, LINEAGE_FILE
 from starloom.sources.tables import Layout, Table
 from starloom.streaming.bronze import trigger
 
@@ -28,15 +29,18 @@ class CleansedTable:
         """The batch form: all raw rows conformed anew, in place of what was there."""
         return self.table.replace(conform(rows, keys, latest_by).select(*self.table.schema.names), at)
 
-    def append_new(self, rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> int:
-        """Append the rows whose key is not in the table yet.
+    def append_new(
+        self, rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str], first_by: Sequence[str] = ()
+    ) -> int:
+        """Append the rows whose key is not in the table yet, one per key: the first by ``first_by``, then the latest.
 
         A batch that failed before its marker is invisible and is simply written
         again; one that got through adds nothing the second time.
         """
         before = self.table.marker()
         loaded = None if before is None else self.table.current(before)
-        fresh = fact_append(loaded, drop_null_key(conform_trim(rows), keys), keys, latest_by)
+        rows = drop_null_key(conform_trim(rows), keys)
+        fresh = not_loaded(dedup_latest(rows, keys, latest_by, first_by), loaded, keys, batch=rows)
         return self.table.append(fresh.select(*self.table.schema.names), dt.datetime.now(dt.timezone.utc))
 
 
@@ -47,11 +51,20 @@ def stream_upsert(
     checkpoint: str,
     latest_by: Sequence[str] = ("_ingest_timestamp",),
     seconds: int | None = None,
+    arrival: Sequence[str] = (ARRIVAL, LINEAGE_FILE),
 ) -> StreamingQuery:
-    """Trim, drop rows without a key, keep the latest per key, insert the keys not there yet."""
+    """Trim, drop rows without a key, insert the keys not there yet, one row each.
+
+    The table is insert-only, so the first file that brings a key decides, within a micro-batch too: how many files a
+    micro-batch holds does not change the result. Within a file the latest row counts. ``arrival`` names the
+    columns of the order of arrival, which ``stream_files`` gives.
+    """
+    missing = set(arrival) - set(stream.columns)
+    if missing:
+        raise ValueError(f"columns of the order of arrival are missing: {sorted(missing)}")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        target.append_new(batch, keys, [c for c in latest_by if c in batch.columns])
+        target.append_new(batch, keys, [c for c in latest_by if c in batch.columns], arrival)
 
     writer = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger(seconds)).start()

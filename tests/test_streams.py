@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from conftest import at, rows
@@ -7,7 +8,16 @@ from test_files import put
 from starloom.sources.files import text_schema
 from starloom.sources.maintenance import compact_cluster
 from starloom.sources.tables import Layout
-from starloom.streaming import stream_bronze, stream_evolving, stream_failed_runs, stream_files, stream_upsert
+from starloom.streaming import (
+    read_alerts,
+    stream_bronze,
+    stream_evolving,
+    stream_failed_runs,
+    stream_files,
+    stream_metric,
+    stream_upsert,
+    write_windows,
+)
 from starloom.streaming.bronze import read_raw
 from starloom.streaming.upsert import CleansedTable
 
@@ -91,15 +101,37 @@ def test_batch_form_replaces_the_whole_table(spark, tmp_path, text):
     assert rows(target.read()) == [("2", "b"), ("3", "c")]
 
 
-def test_alerts_of_a_stream_come_once_their_window_is_closed(spark, tmp_path):
+@pytest.mark.parametrize("most", [1, 500])
+def test_first_file_of_a_key_decides_whatever_a_batch_holds(spark, tmp_path, most):
+    folder, layout, schema = tmp_path / "in", Layout(str(tmp_path / "lake")), text_schema(["id", "v"])
+    for number, (name, lines) in enumerate([("b.csv", ["1,m", "1,n"]), ("a.csv", ["1,z", "2,y"])]):
+        put(folder, name, "id,v", *lines)
+        os.utime(folder / name, (1_700_000_000 + number, 1_700_000_000 + number))
+    target = CleansedTable(spark, layout, "things", schema)
+    stream = stream_files(spark, str(folder), schema, stamp=DAY, max_files=most)
+    stream_upsert(stream, target, ["id"], layout.checkpoint("silver", "main")).awaitTermination()
+    assert rows(target.read()) == [("1", "n"), ("2", "y")]
+    with pytest.raises(ValueError, match="arrival"):
+        stream_upsert(stream.select("id", "v"), target, ["id"], layout.checkpoint("silver", "other"))
+
+
+def test_alerts_of_a_stream_come_at_once_and_count_late_rows(spark, tmp_path):
     base = dt.datetime(2024, 1, 1, 10)
-    data = [(base + dt.timedelta(minutes=7), "FAILED"), (base + dt.timedelta(minutes=8), "SUCCESS"),
-            (base + dt.timedelta(hours=2), "SUCCESS")]
-    schema = "end_time timestamp, status string"
-    path, out = str(tmp_path / "runs"), str(tmp_path / "alerts")
-    spark.createDataFrame(data, schema).coalesce(1).write.parquet(path)
-    alerts = stream_failed_runs(spark.readStream.schema(schema).parquet(path), "end_time")
-    writer = alerts.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "checkpoint"))
-    writer.trigger(availableNow=True).format("parquet").start(out).awaitTermination()
-    starts = sorted(r.window_start.strftime("%H:%M") for r in spark.read.parquet(out).collect())
-    assert starts == ["09:55", "10:00", "10:05"]
+    schema = "end_time timestamp, status string, v double"
+    path = str(tmp_path / "runs")
+
+    def alerts_after(name, windows_of, over, *data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(path)
+        windows = windows_of(spark.readStream.schema(schema).parquet(path))
+        write_windows(windows, str(tmp_path / name), str(tmp_path / f"{name}-checkpoint")).awaitTermination()
+        found = read_alerts(spark, str(tmp_path / name), windows.schema, over).collect()
+        return sorted((r.window_start.strftime("%H:%M"), r.measure) for r in found)
+
+    failed = lambda rows: stream_failed_runs(rows, "end_time")
+    last = (base + dt.timedelta(minutes=7), "FAILED", 90.0)
+    assert alerts_after("failed", failed, 0, last, (base, "SUCCESS", 1.0)) == [("09:55", 1), ("10:00", 1), ("10:05", 1)]
+    day_later, late = (base + dt.timedelta(days=1), "SUCCESS", 0.0), (base + dt.timedelta(minutes=8), "FAILED", 0.0)
+    assert alerts_after("failed", failed, 0, day_later) == [("09:55", 1), ("10:00", 1), ("10:05", 1)]
+    assert alerts_after("failed", failed, 0, late) == [("09:55", 2), ("10:00", 2), ("10:05", 2)]
+    metric = lambda rows: stream_metric(rows, "end_time", "v")
+    assert alerts_after("metric", metric, 44, (base + dt.timedelta(days=2), "SUCCESS", 0.0)) == [("10:05", 45.0)]
