@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from starloom import functions as fn
 from starloom.operators import clean, control, facts, keys, lookups, marts, quality, scd
 from starloom.operators.calendar import dim_date
-from starloom.plans import banking, generic, healthcare, retail
+from starloom.plans import banking, deliveries, generic, healthcare, retail
 from starloom.plans.loads import Warehouse
 from starloom.plans.shared_tables import SOURCE, STAMPS, read, stage
 from starloom.session import materialize, scratch_dir
@@ -821,10 +821,11 @@ def lineage_cols(spark, sf_dir):
 
 @query("schema_evolve")
 def schema_evolve(spark, sf_dir):
-    """Two deliveries, the second with a new column in front: matched by name, NULL where absent."""
+    """Three deliveries, the later ones with a new column in front: matched by name, NULL where absent."""
     folder = fresh_folder(spark, "evolve")
     landed_csv(spark, sf_dir, "F", f"{folder}/a")
     landed_csv(spark, sf_dir, "O", f"{folder}/b", "order_date")
+    landed_csv(spark, sf_dir, "P", f"{folder}/c", "order_date")
     listed = files.list_files(spark, f"{folder}/*/*.csv")
     rows = files.read_evolving(spark, sorted(r.path for r in listed.select("path").toLocalIterator()))
     return rows.drop(files.LINEAGE_FILE, files.LINEAGE_TIME)
@@ -838,6 +839,7 @@ def incremental_gate(spark, sf_dir):
     rows, mark = files.incremental_gate(spark, folder, ORDER_COLUMNS, control.NEVER)
     first = materialize(rows.withColumn("run", F.lit(1)), "gate_1")
     landed_csv(spark, sf_dir, "O", folder)
+    landed_csv(spark, sf_dir, "P", folder)
     rows, mark = files.incremental_gate(spark, folder, ORDER_COLUMNS, mark)
     second = materialize(rows.withColumn("run", F.lit(2)), "gate_2")
     if files.incremental_gate(spark, folder, ORDER_COLUMNS, mark) is not None:
@@ -845,6 +847,22 @@ def incremental_gate(spark, sf_dir):
     return first.unionByName(second)
 
 
+@query("incremental_delivery")
+def incremental_delivery(spark, sf_dir):
+    """Products delivered, looked at again unchanged, and delivered anew: the loads that were run."""
+    house, root = Warehouse(spark, fresh_folder(spark, "incremental")), fresh_folder(spark, "delivered")
+    shop = deliveries.RETAIL
+    plan = deliveries.metadata_rows(spark, shop).where("object_name = 'retail_product'")
+    plan = plan.withColumn("load_type", F.lit("INCREMENTAL"))
+    columns = shop.objects["retail_product"].columns
+    for batch, wave in enumerate((1, None, 2), 1):
+        if wave:
+            rows = stage(spark, sf_dir, "retail_product", wave).withColumn("created_date", F.lit("2024-01-01"))
+            rows.select(*columns).write.mode("append").options(**files.CSV).csv(f"{root}/{shop.folder}/products.csv")
+        deliveries.load_delivery(house, shop, root, STAMPS[wave or 1], batch, plan)
+    return house.runs().select("procedure_name", "status", "rows_inserted", "rows_updated")
+
+
 @query("sink_full")
 def sink_full(spark, sf_dir):
     """A staging table loaded twice in full holds the second snapshot."""

@@ -1144,13 +1144,18 @@ def file_checks() -> dict[str, str]:
             FROM orders""",
         "schema_evolve": query(
             [staged("orders")],
-            f"""SELECT {line}, CASE WHEN order_status = 'O' THEN order_date END AS order_date FROM stg_orders_1
-                WHERE order_status IN ('F', 'O')""",
+            f"SELECT {line}, CASE WHEN order_status <> 'F' THEN order_date END AS order_date FROM stg_orders_1",
         ),
         "incremental_gate": query(
             [staged("orders")],
-            f"""SELECT {line}, CAST(CASE WHEN order_status = 'F' THEN 1 ELSE 2 END AS INTEGER) AS run FROM stg_orders_1
-                WHERE order_status IN ('F', 'O')""",
+            f"SELECT {line}, CAST(CASE WHEN order_status = 'F' THEN 1 ELSE 2 END AS INTEGER) AS run FROM stg_orders_1",
+        ),
+        "incremental_delivery": query(
+            retail_product_ctes(),
+            f"""SELECT 'load_dim_product' AS procedure_name, 'SUCCESS' AS status,
+                    (SELECT count(*) FROM dim_product_1) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated
+                UNION ALL SELECT 'load_dim_product', 'SUCCESS', count(*) FILTER (WHERE effective_date = {D2}),
+                    count(*) FILTER (WHERE NOT is_current) FROM dim_product_2""",
         ),
         "sink_full": query([staged("customer", 2)], f"SELECT {customer} FROM stg_customer_2"),
         "sink_append": query(

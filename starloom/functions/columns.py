@@ -96,3 +96,8 @@ def _col(column: str | Column) -> Column:
 def utc_text(value: dt.datetime) -> str:
     """A time as text in UTC, the zone of the sessions; one without a zone is taken as UTC, whatever the driver's zone is."""
     return (value if value.tzinfo is None else value.astimezone(dt.timezone.utc).replace(tzinfo=None)).isoformat(sep=" ")
+
+
+def utc_time(value: dt.datetime) -> Column:
+    """A time as a literal, whatever the driver's zone is; sessions run in UTC."""
+    return F.lit(utc_text(value)).cast("timestamp")

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from starloom.functions.columns import utc_text
+from starloom.functions.columns import utc_time
 from starloom.operators.scd import scd1_changes
 from starloom.spec import DimSpec, LoadStamp, struct_of
 
@@ -108,12 +108,10 @@ def get_watermarks(requests: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def get_watermark(marks: DataFrame, source_system: str, object_name: str) -> dt.datetime:
-    row = (
-        marks.where((F.col("source_system") == source_system) & (F.col("object_name") == object_name))
-        .agg(F.max("last_watermark_value"))
-        .first()
-    )
-    return row[0] or NEVER
+    """The mark of one object in UTC, NEVER if it has none."""
+    own = marks.where((F.col("source_system") == source_system) & (F.col("object_name") == object_name))
+    mark = own.agg(F.max("last_watermark_value").cast("string")).first()[0]
+    return NEVER if mark is None else dt.datetime.fromisoformat(mark)
 
 
 def set_watermarks(marks: DataFrame, updates: DataFrame, stamp: LoadStamp) -> DataFrame:
@@ -129,7 +127,7 @@ def set_watermarks(marks: DataFrame, updates: DataFrame, stamp: LoadStamp) -> Da
 
 def above_watermark(rows: DataFrame, column: str, watermark: dt.datetime) -> DataFrame:
     """Rows past a mark, the mark itself excluded; a plain filter, so it reaches the scan."""
-    return rows.where(F.col(column) > F.lit(watermark))
+    return rows.where(F.col(column) > utc_time(watermark))
 
 
 def above_watermarks(rows: DataFrame, column: str, marks: DataFrame) -> DataFrame:
@@ -173,7 +171,7 @@ def run_log(
 def purge_logs(log: DataFrame, time_column: str, as_of: dt.datetime, days: int = LOG_RETENTION_DAYS) -> DataFrame:
     """Log rows to keep: those not older than ``days``."""
     cutoff = as_of - dt.timedelta(days=days)
-    return log.where(F.col(time_column) >= F.lit(utc_text(cutoff)).cast("timestamp"))
+    return log.where(F.col(time_column) >= utc_time(cutoff))
 
 
 def window_measures(

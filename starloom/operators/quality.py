@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import pass_fail
+from starloom.functions.columns import utc_time
 from starloom.operators.clean import duplicate_keys
 from starloom.spec import struct_of
 
@@ -87,7 +88,7 @@ def validate_facts(loads: Mapping[str, tuple[DataFrame, DataFrame, str, Sequence
 def as_log(checks: DataFrame, checked_at: dt.datetime, first_key: int = 1) -> DataFrame:
     """Checks as rows of the quality log."""
     key = F.monotonically_increasing_id() + F.lit(first_key)
-    return checks.withColumns({"check_key": key, "check_date": F.lit(checked_at)}).select(*LOG_SCHEMA.names)
+    return checks.withColumns({"check_key": key, "check_date": utc_time(checked_at)}).select(*LOG_SCHEMA.names)
 
 
 def _count(df: DataFrame) -> DataFrame:
