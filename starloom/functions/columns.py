@@ -12,7 +12,7 @@ MONEY = "decimal(18,4)"
 RATE = "decimal(9,4)"
 
 # What a NULL counts as when NULL and "empty" are to compare equal.
-NULL_DEFAULTS = {"string": "", "number": -1, "date": "1900-01-01"}
+NULL_DEFAULTS = {"string": "", "number": -1, "date": "1900-01-01", "timestamp": "1900-01-01", "boolean": "false"}
 
 
 def try_as(column: str | Column, type_name: str) -> Column:

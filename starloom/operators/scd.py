@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import changed
-from starloom.operators.clean import drop_null_key, one_per_key, typed_project
+from starloom.operators.clean import REJECT, drop_null_key, flag_rejects, one_per_key, typed_project
 from starloom.operators.keys import last_key, surrogate_keys
 from starloom.operators.lookups import lookup_all
 from starloom.session import materialize
@@ -33,15 +33,35 @@ def dim_source(
     latest_by: tuple[str, ...] = (),
     on_dup: str = "latest",
 ) -> DataFrame:
-    """Staged rows as rows of the dimension: keyed, one per key, cast, parent keys fetched."""
+    """Staged rows as rows of the dimension: keyed, one per key, cast, parent keys fetched.
+
+    Rows without a mandatory parent are left out; ``dim_rejects`` gives them.
+    """
+    rows = _with_parents(staged, spec, dims, latest_by, on_dup)
+    rows = rows.where(F.col(REJECT).isNull())
+    rows = rows.withColumns({c: F.lit(None).cast(spec.columns[c]) for c in spec.absent})
+    return rows.select(*spec.natural_key, *spec.attributes)
+
+
+def dim_rejects(
+    staged: DataFrame, spec: DimSpec, dims: Mapping[str, DataFrame] | None = None, latest_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Staged rows whose mandatory parent is unknown: natural key, parent ids and the reason."""
+    rows = _with_parents(staged, spec, dims, latest_by)
+    ids = dict.fromkeys(c for lk in spec.lookups for c in lk.source if c in rows.columns and c not in spec.natural_key)
+    return rows.where(F.col(REJECT).isNotNull()).select(*spec.natural_key, *ids, REJECT)
+
+
+def _with_parents(
+    staged: DataFrame, spec: DimSpec, dims: Mapping[str, DataFrame] | None, latest_by: tuple[str, ...], on_dup: str = "latest"
+) -> DataFrame:
     staged = drop_null_key(staged, spec.natural_key)
     parents = [c for lk in spec.lookups for c in lk.source if c not in spec.typed_columns()]
     types = spec.typed_columns() | dict.fromkeys(dict.fromkeys(parents), "string")
     kept = [c for c in latest_by if c not in types]
     rows = one_per_key(staged.select(*types, *kept), spec.natural_key, latest_by, on_dup)
-    rows = lookup_all(typed_project(rows, types), spec.lookups, dims or {})
-    rows = rows.withColumns({c: F.lit(None).cast(spec.columns[c]) for c in spec.absent})
-    return rows.select(*spec.natural_key, *spec.attributes)
+    rows = lookup_all(typed_project(rows, types), spec.lookups, dims or {}, keep_unmatched=True)
+    return flag_rejects(rows, {f"unknown_{lk.dim}": F.col(lk.output).isNull() for lk in spec.lookups if lk.required})
 
 
 def scd1_changes(target: DataFrame, source: DataFrame, spec: DimSpec, stamp: LoadStamp) -> DataFrame:

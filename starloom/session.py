@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,7 @@ RECOMMENDED = {
 }
 
 _local_scratch: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def build_session(app: str = "starloom", master: str | None = None, **extra: str) -> SparkSession:
@@ -58,10 +62,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (scope := _scope.get()) is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside once it is left; what is built on them must be written by then."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables, once nothing reads from them any more."""
     path = scratch_dir(spark)

@@ -8,11 +8,14 @@ import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
+from starloom.functions import changed
 from starloom.operators import scd
+from starloom.operators.clean import REJECT
 from starloom.operators.control import PIPELINE_METADATA
 from starloom.plans import banking, generic, healthcare, retail
 from starloom.plans.deliveries import BANKING, HEALTHCARE, RETAIL, check_fact, load_delivery, metadata_rows
 from starloom.plans.loads import Warehouse
+from starloom.session import exists, materialize, scratch_scope
 from starloom.sources.files import read_csv, stage_stamp
 
 DAY1, DAY2 = at("2024-01-01"), at("2024-02-01")
@@ -117,10 +120,37 @@ def test_changed_delivery_cascades_from_customer_to_account(spark, tmp_path):
     load_delivery(house, BANKING, write_delivery(tmp_path / "one", BANKING), DAY1, 1)
     second = load_delivery(house, BANKING, write_delivery(tmp_path / "two", BANKING, ["email", "city"]), DAY2, 2)
     assert second["banking_customer"] == {
-        "locations_inserted": 0, "locations_updated": 1, "rows_inserted": 1, "rows_updated": 1,
+        "locations_inserted": 0, "locations_updated": 1, "rows_inserted": 1, "rows_updated": 1, "rows_rejected": 0,
     }
-    assert second["banking_account"] == {"rows_inserted": 2, "rows_updated": 2}
-    assert second["banking_loan"] == {"rows_inserted": 0, "rows_updated": 0}
+    assert second["banking_account"] == {"rows_inserted": 2, "rows_updated": 2, "rows_rejected": 0}
+    assert second["banking_loan"] == {"rows_inserted": 0, "rows_updated": 0, "rows_rejected": 0}
+
+
+def test_rows_without_their_mandatory_parent_are_kept_with_the_reason(spark, tmp_path, text):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    people = spark.createDataFrame([("C1", "S", 1, True)], "customer_id string, source_system string, customer_key bigint, is_current boolean")
+    currency = spark.createDataFrame([], "currency_code string, currency_key bigint")
+    staged = text("source_system account_id customer_id account_type account_status open_date currency_code",
+                  ("S", "A1", "C1", "x", "y", "2024-01-01", "EUR"), ("S", "A2", "C9", "x", "y", "2024-01-01", "EUR"))
+    with scratch_scope(spark):
+        counts = house.load_dim(staged, banking.ACCOUNT, DAY1, {"dim_customer": people, "dim_currency": currency})
+    assert counts == {"rows_inserted": 1, "rows_updated": 0, "rows_rejected": 1}
+    assert rows(house.dim_rejects(banking.ACCOUNT), "account_id", "customer_id", REJECT) == [("A2", "C9", "unknown_dim_customer")]
+
+
+def test_null_can_equal_the_default_of_every_type(spark):
+    one = "named_struct('b', CAST(NULL AS BOOLEAN), 't', CAST(NULL AS TIMESTAMP), 'n', CAST(NULL AS INT))"
+    two = "named_struct('b', false, 't', TIMESTAMP '1900-01-01', 'n', -1)"
+    test = changed("one", "two", "btn", {"b": "boolean", "t": "timestamp", "n": "int"}, null_as_default=True)
+    assert not spark.sql(f"SELECT {one} AS one, {two} AS two").selectExpr(f"{test} AS c").first().c
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    before = materialize(spark.range(1), "outside")
+    with scratch_scope(spark):
+        inside = materialize(spark.range(2), "inside")
+        assert inside.count() == 2
+    assert before.count() == 1 and not exists(spark, inside.inputFiles()[0])
 
 
 def test_bank_and_shop_share_the_customer_table_without_touching_each_other(spark, tmp_path):
