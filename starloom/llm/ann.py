@@ -153,10 +153,17 @@ def scanned(index: Index, ids: np.ndarray, vectors: np.ndarray, blocks: list[np.
     total = index.dimensions
     turned = query @ index.rotation
     alive = np.flatnonzero(ids != query_id)
-    bound = np.inf
+    bound, allowed = np.inf, 0.0
+    sure = np.zeros(len(ids), dtype=bool)
     if len(alive) > 4 * k:  # the first few vectors, by all dimensions, set the bound
         first = alive[: 4 * k]
-        bound = np.partition(((vectors[first] - query) ** 2).sum(axis=1), k - 1)[k - 1] * (1 + 1e-9)
+        far = ((vectors[first] - query) ** 2).sum(axis=1)
+        best = np.lexsort((ids[first], far))[:k]
+        sure[first[best]] = True  # they are the answer unless nearer ones are found
+        bound = far[best[-1]] * (1 + 1e-9)
+        # Rotated vectors and queries are rounded apart, so equal ones differ a little; no vector within the bound is longer than this sum.
+        length = np.sqrt((query**2).sum())
+        allowed = 1e-9 * (length**2 + (length + np.sqrt(bound)) ** 2)
     partial = np.zeros(len(alive))
     done = 0
     for block in blocks:
@@ -165,7 +172,7 @@ def scanned(index: Index, ids: np.ndarray, vectors: np.ndarray, blocks: list[np.
         done += len(block)
         if done < total and np.isfinite(bound):
             # The distance of a random projection lies within (1 + doubt / sqrt(done)) of the whole one, scaled.
-            keep = partial * (total / done) <= bound * (1 + DOUBT / np.sqrt(done)) ** 2
+            keep = (partial * (total / done) <= bound * (1 + DOUBT / np.sqrt(done)) ** 2 + allowed) | sure[alive]
             alive, partial = alive[keep], partial[keep]
     if not len(alive):
         return ids[:0], partial

@@ -59,6 +59,31 @@ def test_an_abandoning_scan_finds_what_a_full_one_does():
     assert same >= 985
 
 
+@pytest.mark.parametrize("dimensions", [32, 96, 384])
+def test_copies_are_found_in_the_order_of_their_ids(dimensions):
+    rng = np.random.default_rng(dimensions)
+    index = ann.fitted(rng.standard_normal((600, dimensions)), 512, 10)
+    for step in (0.0, 0.3):  # copies of the query, copies of a neighbour
+        points = rng.standard_normal((512, dimensions)) * 100
+        asked = points[7].copy()
+        copies = np.sort(rng.choice(np.arange(8, 512), 200, replace=False))
+        points[copies] = asked + step * rng.standard_normal(dimensions)
+        turned = points @ index.rotation
+        blocks = [np.ascontiguousarray(turned[:, a : a + ann.COLUMNS].T) for a in range(0, dimensions, ann.COLUMNS)]
+        ids, far = ann.scanned(index, np.arange(512), points, blocks, 7, asked, 10)
+        want = brute(list(enumerate(points)), [(7, asked)], 10)[7]
+        assert ids.tolist() == [i for _, i in want] and far == pytest.approx([d for d, _ in want])
+
+
+def test_copies_in_a_table(spark):
+    rng = np.random.default_rng(6)
+    points = rng.standard_normal((400, 32))
+    points[10:210] = points[5]
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    got = ann.neighbours(table(spark, rows), table(spark, [rows[5], rows[150]])).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r[2], r.score) for r in got] == [(5, i, 0.0) for i in range(10, 20)] + [(150, i, 0.0) for i in (5, *range(10, 19))]
+
+
 def test_held_out_quality(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     learn = labels.where("doc_id % 3 > 0")
