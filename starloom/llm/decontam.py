@@ -3,7 +3,7 @@
 A stretch of n characters that is found again with at most e edits shares n - q + 1 - q * e of its q-grams, and all of
 them lie on diagonals (place in the document less place in the item) at most e apart. Shared q-grams are counted in
 bins of diagonals; two neighbouring bins are a band, and bands overlap by a bin. Bands that reach the bound are
-verified by an alignment that stays in the band. Items are held against documents in blocks of bounded size.
+verified by an alignment that stays in the band: of the whole item, else of every PASSAGE characters of it that share enough q-grams. Items are held against documents in blocks of bounded size.
 
 Texts are compared with ASCII and Latin-1 letters folded to lower case, and runs of other ASCII characters as one blank.
 """
@@ -28,6 +28,7 @@ LEAST = 24  # shorter items are not looked for
 BIN = 8  # diagonals per bin, a power of two and more than the edits of a passage
 BLOCK_BYTES = 8 << 20  # benchmark text held against the documents at a time
 MOST_HITS = 1_000_000  # shared q-grams of a run of documents that are counted at a time
+MOST_CELLS = 1 << 18  # windows times diagonals that are aligned at a time
 _MAP_BITS = 22
 
 _BASE = 0xB5297A4D3F84D5B5
@@ -181,6 +182,49 @@ def _aligned(pattern: bytes, text: np.ndarray, low: int, high: int) -> tuple[int
     return edits, end - min(length, len(part)), end
 
 
+def _aligned_ends(patterns: np.ndarray, text: np.ndarray, low: np.ndarray, width: int, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """aligned_end for patterns of equal length, a row each, on ``width`` diagonals from low and within first..last of the text."""
+    lanes = np.arange(width)
+    first, last = first[:, None], last[:, None]
+    place = low[:, None] + lanes
+    most = patterns.shape[1] + 1
+    cost = np.where((place >= first) & (place <= last), 0, most)
+    beyond = np.full((len(patterns), 1), most)
+    for letters in patterns.T:
+        valid = (place >= first) & (place < last)
+        step = np.where(valid, cost + (text[np.clip(place, 0, len(text) - 1)] != letters[:, None]), most)
+        skip = np.append(cost[:, 1:] + 1, beyond, axis=1)
+        cost = np.minimum.accumulate(np.minimum(step, skip) - lanes, axis=1) + lanes
+        place = place + 1
+    lane = np.argmin(cost, axis=1)
+    row = np.arange(len(patterns))
+    return cost[row, lane], np.clip(place[row, lane], first[:, 0], last[:, 0])
+
+
+def _windows(pattern: bytes, text: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int, int, int]]:
+    """Every PASSAGE characters of a longer item that are found on diagonals low..high: where they begin in the item, edits, start and end in the text."""
+    letters = np.frombuffer(pattern, np.uint8)
+    most = int(EDITS * PASSAGE)
+    # Only windows that share enough q-grams with the text can be found.
+    shared_grams = np.concatenate([[0], np.cumsum(np.isin(gram_hashes(letters), gram_hashes(text)))])
+    grams = PASSAGE - Q + 1
+    starts = np.flatnonzero(shared_grams[grams:] - shared_grams[:-grams] >= max(1, grams - Q * most))
+    every, width = np.lib.stride_tricks.sliding_window_view(letters, PASSAGE), high - low + 1
+    rows = max(1, MOST_CELLS // width)
+    for k in range(0, len(starts), rows):
+        at = starts[k : k + rows]
+        zero = np.zeros(len(at), dtype=np.int64)
+        edits, end = _aligned_ends(every[at], text, at + low, width, zero, zero + len(text))
+        good = edits <= most
+        at, edits, end = at[good], edits[good], end[good]
+        if not len(at):
+            continue
+        # Backwards from where it ends, a window shows where it begins.
+        head = len(text) - end
+        back = _aligned_ends(every[at][:, ::-1], text[::-1], head - most, 2 * most + 2, head, np.minimum(head + PASSAGE + edits, len(text)))[1]
+        yield from zip(at.tolist(), edits.tolist(), (len(text) - back).tolist(), end.tolist(), strict=True)
+
+
 def verified(items: Items, text: np.ndarray, item: int, low: int, high: int) -> list[tuple[int, int, int, int]]:
     """Passages of an item in one folded document, in a band: start, end, edits, characters of the item."""
     pattern = items.texts[item]
@@ -194,16 +238,14 @@ def verified(items: Items, text: np.ndarray, item: int, low: int, high: int) ->
     if b > a:
         return [(begin + a, begin + b, edits, len(pattern))]
     found: list[tuple[int, int, int, int]] = []
-    if len(pattern) > PASSAGE:
-        for at in sorted({*range(0, len(pattern) - PASSAGE, PASSAGE // 4), len(pattern) - PASSAGE}):
-            edits, a, b = _aligned(pattern[at : at + PASSAGE], part, low - begin + at - BIN, high - begin + at + BIN)
-            if b <= a:
-                continue
-            if found and begin + a <= found[-1][1]:
-                s, e, n, m = found[-1]
-                found[-1] = (s, begin + b, max(n, edits), m + (begin + b - e))
-            else:
-                found.append((begin + a, begin + b, edits, PASSAGE))
+    last = 0  # where the item's characters end that are found so far
+    for at, edits, a, b in _windows(pattern, part, low - begin - BIN, high - begin + BIN) if len(pattern) > PASSAGE else ():
+        if found and begin + a <= found[-1][1]:
+            s, e, n, m = found[-1]
+            found[-1] = (min(s, begin + a), max(e, begin + b), max(n, edits), m + at + PASSAGE - max(at, last))
+        else:
+            found.append((begin + a, begin + b, edits, PASSAGE))
+        last = at + PASSAGE
     return found
 
 

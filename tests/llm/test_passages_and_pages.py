@@ -73,6 +73,34 @@ def test_a_part_of_a_long_item_is_found(spark, documents):
     assert decontam.leaks(documents((1, item)), bench.limit(0)).collect() == []
 
 
+def test_stretches_of_long_items_are_found_wherever_they_begin(spark, documents):
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    items = {i: words(60)[: 260 + i].strip() for i in range(30)}
+    rows, asked = [], []
+    for offset in range(30):
+        for size in (120, 125, 130, 135, 149):
+            for spoilt in (0, 3, 6):
+                at = min(30 * rng.randint(0, 3) + offset, len(items[offset]) - size)
+                stretch = list(items[offset][at : at + size])
+                for _ in range(spoilt):
+                    k = rng.randrange(len(stretch))
+                    stretch[k : k + 1] = rng.choice([[], ["z"], [stretch[k], "q"]])
+                before, middle = words(20), "".join(stretch)
+                rows.append((len(rows), f"{before} z{middle}z {words(20)}"))
+                asked.append((offset, at, size, spoilt, len(before) + 2, len(middle)))
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontam.leaks(documents(*rows), bench).collect()}
+    missed = [asked[i][:4] for i in range(len(rows)) if (i, asked[i][0]) not in found]
+    assert not missed, (len(missed), len(rows), missed[:5])
+    assert len(found) == len(rows)
+    for (i, _), r in found.items():
+        _, _, size, _, begin, length = asked[i]
+        # Six edits reach a few letters beyond the stretch, more where some of those agree by chance.
+        assert abs(r.start - begin) <= 24 and abs(r.end - begin - length) <= 24 and r.edits <= 6
+        assert 120 <= r.passage_chars <= size + 48
+
+
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("a.com", "", "block"), ("b.com", "/x.y+", "allow"), ("same.net", "/p", "allow"), ("p.same.net", "/", "block")]
 URLS = [
     "http://example.org/es/1", "https://www.EXAMPLE.org/en/17?x=://", "http://notexample.org/es/", "http://example.org", "http://example.org?x=/es/", "http://a.com", "http://a.com/q#z",
