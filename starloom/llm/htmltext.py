@@ -3,7 +3,8 @@
 A page with an article or main element has its text there, less the menus, forms, adverts and comments inside it. On other pages,
 blocks that no element marks are doubtful. The token streams of a host's pages are concatenated without the
 settled articles, and their suffixes are sorted by prefix doubling as far as LONG tokens, which shows all long substrings that
-occur on different pages. What they cover is boilerplate; the unique runs of doubtful blocks are kept.
+occur on different articles. A doubtful block is boilerplate, and goes whole, if substrings cover it that each occur on SHARE of the
+host's distinct articles and on LEAST_ARTICLES at least; other blocks are kept whole. Near copies, found by minhashes of the pages' texts, are one article.
 
 A large host is sorted in shards of bounded size. A long substring that repeats only across shards is found by exchanging
 the windows of LONG tokens that begin it, so the outcome does not depend on the shards.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,11 @@ from starloom.llm.urlrules import host_and_path
 from starloom.session import materialize
 
 LONG = 6  # tokens of a repeated substring
+SHARE = 0.5  # of a host's distinct articles, that boilerplate is on
+LEAST_ARTICLES = 3  # distinct articles that boilerplate is on
+HASHES = 24  # minhashes of a page's text
+BAND = 4  # minhashes that two pages share to be compared
+ALIKE = 15  # minhashes that near copies share
 SHARD_TOKENS = 200_000
 
 # Fixed values of HTML: elements without an end tag, elements that begin a block, elements that hold no article text.
@@ -141,13 +148,32 @@ def _last(stack: list[tuple[str, bool, bool]], name: str) -> int:
 _BLOCK = T.ArrayType(T.StructType().add("status", "integer").add("text", "string"))
 
 
+_SEEDS = np.random.default_rng(11).integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _minhashes(text: str, known: dict[str, int]) -> list[int] | None:
+    """Minhashes of a text's runs of LONG tokens, or of all of a shorter text; none of an empty one."""
+    numbers = []
+    for t in text.split():
+        if (n := known.get(t)) is None:
+            n = known[t] = zlib.crc32(t.encode())
+        numbers.append(n)
+    if not numbers:
+        return None
+    if len(numbers) < LONG:
+        numbers += [0] * (LONG - len(numbers))
+    hashes = _window_hashes(np.array(numbers, dtype=np.uint64))
+    return [int(((hashes * seed) >> np.uint64(33)).min()) for seed in _SEEDS]
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces the page by the article's text, whether that settles the page, and the other blocks."""
+    """Replaces the page by the article's text, whether that settles the page, the other blocks, and minhashes of what may be its text."""
     kind = pa.list_(pa.struct([("status", pa.int32()), ("text", pa.string())]))
     for batch in batches:
         for at in range(0, len(batch), 128):
             some = batch.slice(at, 128)
-            texts, settled, others, sizes, same = [], [], [], [], []
+            texts, settled, others, sizes, hashes = [], [], [], [], []
+            known: dict[str, int] = {}
             for page in some.column(4).fill_null("").to_pylist():
                 found = blocks_of(page)
                 rest = [{"status": s, "text": t} for s, t in found if s != ARTICLE]
@@ -155,9 +181,31 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 settled.append(all(b["status"] != DOUBTFUL for b in rest))
                 others.append(rest)
                 sizes.append(sum(b["text"].count(" ") + 1 for b in rest))
-                same.append(int.from_bytes(hashlib.blake2b("\n".join(b["text"] for b in rest).encode(), digest_size=8).digest(), "little", signed=True))
-            made = [pa.array(texts, pa.string()), pa.array(settled, pa.bool_()), pa.array(others, kind), pa.array(sizes, pa.int64()), pa.array(same, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*some.columns[:4], *made], names=["row", "id", "url", "host", "article", "settled", "others", "tokens", "same"])
+                hashes.append(_minhashes(texts[-1] or "\n".join(b["text"] for b in rest if b["status"] == DOUBTFUL), known))
+            made = [pa.array(texts, pa.string()), pa.array(settled, pa.bool_()), pa.array(others, kind), pa.array(sizes, pa.int64()), pa.array(hashes, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*some.columns[:4], *made], names=["row", "id", "url", "host", "article", "settled", "others", "tokens", "hashes"])
+
+
+def _articles(parsed: DataFrame) -> DataFrame:
+    """row, host, same: near copies on a host have the same number, and pages without text none.
+
+    Pages that share a band of minhashes are compared with the first of them.
+    """
+    pages = materialize(parsed.where("hashes is not null").select("row", "host", "hashes"), "minhashes")
+    slices = [F.xxhash64(F.lit(i), F.slice("hashes", i + 1, BAND)) for i in range(0, HASHES, BAND)]
+    bands = pages.select("row", "host", F.explode(F.array(*slices)).alias("band"))
+    firsts = bands.groupBy("host", "band").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    met = bands.join(materialize(firsts, "bands"), ["host", "band"]).where("row <> first").select("row", "first").distinct()
+    met = met.join(pages.select("row", "hashes"), "row").join(pages.select(F.col("row").alias("first"), F.col("hashes").alias("theirs")), "first")
+    equal = F.size(F.filter(F.zip_with("hashes", "theirs", lambda a, b: a == b), lambda x: x))
+    links = materialize(met.where(equal >= ALIKE).select("row", "first"), "links")
+    numbers = links.groupBy("row").agg(F.min("first").alias("same"))
+    for _ in range(3):  # what a page and the first ones it is like are called, by turns
+        back = links.join(numbers, "row").groupBy(F.col("first").alias("at")).agg(F.min("same").alias("least"))
+        named = links.join(back, F.col("first") == F.col("at")).groupBy("row").agg(F.min("least").alias("same"))
+        own = back.select(F.col("at").alias("row"), F.least("at", "least").alias("same"))
+        numbers = materialize(named.unionByName(own).groupBy("row").agg(F.min("same").alias("same")), "articles")
+    return materialize(pages.select("row", "host").join(numbers, "row", "left").select("row", "host", F.coalesce("same", "row").alias("same")), "same")
 
 
 def _streams(table: pa.Table) -> tuple[list[list[list[str]]], np.ndarray, np.ndarray, np.ndarray]:
@@ -175,8 +223,8 @@ def _streams(table: pa.Table) -> tuple[list[list[list[str]]], np.ndarray, np.nda
     return pages, numbers, page, left
 
 
-def _starts(numbers: np.ndarray, page: np.ndarray, left: np.ndarray, same: np.ndarray) -> np.ndarray:
-    """Whether LONG tokens that occur on pages of different content begin at each token.
+def _starts(numbers: np.ndarray, page: np.ndarray, left: np.ndarray, same: np.ndarray, need: int) -> np.ndarray:
+    """Whether LONG tokens that occur on ``need`` different articles begin at each token.
 
     Suffixes are ranked by ever longer prefixes; neighbours of equal rank at the end share LONG tokens.
     """
@@ -191,12 +239,11 @@ def _starts(numbers: np.ndarray, page: np.ndarray, left: np.ndarray, same: np.nd
         rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
         size += step
     order = np.lexsort((same[page], rank))
-    whole = left[order] >= LONG
+    order = order[(left[order] >= LONG) & (same[page][order] >= 0)]
     group, content = rank[order], same[page][order]
-    low, high = np.full(len(rank) + 1, np.iinfo(np.int64).max), np.full(len(rank) + 1, np.iinfo(np.int64).min)
-    np.minimum.at(low, group[whole], content[whole])
-    np.maximum.at(high, group[whole], content[whole])
-    return (low[rank] != high[rank]) & (left >= LONG)
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (group[1:] != group[:-1]) | (content[1:] != content[:-1])
+    return (np.bincount(group[new], minlength=len(rank) + 1)[rank] >= need) & (left >= LONG)
 
 
 def _covered(starts: np.ndarray) -> np.ndarray:
@@ -206,18 +253,15 @@ def _covered(starts: np.ndarray) -> np.ndarray:
     return np.cumsum(cover)[: len(starts)] > 0
 
 
-def _unique_runs(blocks: list[dict], words: list[list[str]], starts: np.ndarray) -> str:
-    """The doubtful blocks without what repeats. A block that repeated substrings cover whole goes; of another one only those
-    substrings go that lie in it, and not what a substring reaches over from the next block."""
+def _unique_blocks(blocks: list[dict], words: list[list[str]], starts: np.ndarray) -> str:
+    """The doubtful blocks that repeated substrings do not cover whole."""
     covered, kept, at = _covered(starts), [], 0
     for block, tokens in zip(blocks, words, strict=True):
         end = at + len(tokens)
         if block["status"] == DOUBTFUL and not covered[at:end].all():
-            inner = starts[at:end].copy()
-            inner[max(0, len(tokens) - LONG + 1) :] = False
-            kept.append(" ".join(t for t, c in zip(tokens, _covered(inner), strict=True) if not c))
+            kept.append(block["text"])
         at = end
-    return "\n".join(filter(None, kept))
+    return "\n".join(kept)
 
 
 def _window_hashes(numbers: np.ndarray) -> np.ndarray:
@@ -230,15 +274,15 @@ def _window_hashes(numbers: np.ndarray) -> np.ndarray:
 def _sorted_shard(table: pa.Table) -> pa.Table:
     """Per page its text, and for hosts of several shards the windows that begin at uncovered doubtful tokens or could cover others."""
     pages, numbers, page, left = _streams(table)
-    same = table["same"].to_numpy()
-    starts = _starts(numbers, page, left, same) if len(numbers) else np.zeros(0, bool)
+    same = table["same"].fill_null(-1).to_numpy()
+    starts = _starts(numbers, page, left, same, table["need"][0].as_py()) if len(numbers) else np.zeros(0, bool)
     ends = np.concatenate([[0], np.cumsum(np.bincount(page, minlength=len(pages)))]).astype(int)
     hashes = _window_hashes(numbers)
     several = table["shards"][0].as_py() > 1
     texts, flags, windows = [], [], []
     for i, (blocks, words) in enumerate(zip(table["others"].to_pylist(), pages, strict=True)):
         a, b = ends[i], ends[i + 1]
-        texts.append(_unique_runs(blocks or [], words, starts[a:b]))
+        texts.append(_unique_blocks(blocks or [], words, starts[a:b]))
         flags.append(starts[a:b].tolist())
         windows.append(hashes[a : max(a, b - LONG + 1)].view(np.int64).tolist() if several else [])
     return pa.table(
@@ -258,30 +302,36 @@ def _settled_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             begins = np.array(starts or [], dtype=bool)
             if windows and repeated:
                 begins[: len(windows)] |= np.isin(np.array(windows, np.int64), np.array(repeated, np.int64))
-            texts.append(_unique_runs(blocks, [b["text"].split(" ") for b in blocks], begins))
+            texts.append(_unique_blocks(blocks, [b["text"].split(" ") for b in blocks], begins))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "doubtful"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: id and url as given, text (blocks joined by a line feed) and n_chars.
 
-    A null or empty page has an empty text. Pages whose blocks outside the article are the same count as one page, so copies of a page do not
-    make each other boilerplate. A page without a host shares one with all others of that kind. Rows that repeat are
-    extracted each; other columns are not looked at.
+    A null or empty page has an empty text. Near copies count as one article, so they do not make each other boilerplate. Nothing is
+    boilerplate on pages without a host. Rows that repeat are extracted each; other columns are not looked at.
     """
     given = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     given = given.select("row", "id", "url", host_and_path(F.col("url"))[0].alias("host"), "html")
-    shape = given.drop("html").schema.add("article", "string").add("settled", "boolean").add("others", _BLOCK).add("tokens", "long").add("same", "long")
+    shape = given.drop("html").schema.add("article", "string").add("settled", "boolean").add("others", _BLOCK).add("tokens", "long").add("hashes", T.ArrayType(T.IntegerType()))
     parsed = materialize(given.mapInArrow(_parsed, shape), "blocks")
-    totals = parsed.groupBy("host").agg(F.sum("tokens").alias("n"))
-    shards = materialize(totals.select("host", F.greatest(F.lit(1), F.ceil(F.col("n") / SHARD_TOKENS)).cast("int").alias("shards")), "shards")
-    dealt = parsed.join(shards, "host").withColumn("shard", F.expr("cast(pmod(xxhash64(row), shards) as int)"))
+    same = _articles(parsed)
+    # Pages without a host have nothing in common: no number of articles is enough for them.
+    least = F.when(F.col("host") != "", F.greatest(F.lit(LEAST_ARTICLES), F.ceil(F.col("articles") * SHARE))).otherwise(F.lit(2**62)).cast("long")
+    need = same.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("articles")).select("host", least.alias("need"))
+    totals = parsed.groupBy("host").agg(F.sum("tokens").alias("n")).join(need, "host", "left")
+    shards = F.greatest(F.lit(1), F.ceil(F.col("n") / SHARD_TOKENS)).cast("int").alias("shards")
+    hosts = materialize(totals.select("host", shards, F.coalesce("need", F.lit(2**62)).alias("need")), "shards")
+    dealt = parsed.select("row", "host", "others").join(hosts, "host").join(same.select("row", "same"), "row", "left")
+    dealt = dealt.withColumn("shard", F.expr("cast(pmod(xxhash64(row), shards) as int)"))
     result = "row long, host string, same long, doubtful string, starts array<boolean>, windows array<long>"
-    done = dealt.select("row", "host", "same", "others", "shards", "shard").groupBy("host", "shard").applyInArrow(_sorted_shard, result)
+    done = dealt.select("row", "host", "same", "others", "shards", "need", "shard").groupBy("host", "shard").applyInArrow(_sorted_shard, result)
     done = materialize(done, "runs")
-    # Windows of large hosts that lie on pages of different content.
+    # Windows of large hosts that lie on enough articles.
     spread = done.where(F.size("windows") > 0).select("row", "host", "same", F.explode("windows").alias("window"))
-    repeated = spread.groupBy("host", "window").agg(F.min("same").alias("lo"), F.max("same").alias("hi")).where("lo <> hi").select("host", "window")
+    counts = spread.where("same is not null").select("host", "window", "same").distinct().groupBy("host", "window").agg(F.count("*").alias("n"))
+    repeated = counts.join(hosts, "host").where("n >= need").select("host", "window")
     mine = spread.join(materialize(repeated, "windows"), ["host", "window"]).groupBy("row").agg(F.collect_set("window").alias("repeated"))
     open_pages = parsed.where("not settled").select("row", "others")
     again = open_pages.join(done.where(F.size("windows") > 0).select("row", "starts", "windows"), "row").join(mine, "row", "left")

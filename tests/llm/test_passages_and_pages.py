@@ -167,3 +167,24 @@ def test_repeated_runs_go_and_unique_ones_stay(spark, monkeypatch, shard):
     got = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     text = [re.sub("<[^>]*>", "", o) for o in own]
     assert got == {**dict(enumerate(text)), 50: text[0], 51: f"{text[3]}\n{re.sub('<[^>]*>', '', frame)}", None: "alone here"}
+
+
+@pytest.mark.parametrize("shard", [300, 10**6])
+def test_near_copies_and_shared_quotes_stay(spark, monkeypatch, shard):
+    monkeypatch.setattr(htmltext, "SHARD_TOKENS", shard)
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) for _ in range(n))
+    menu, frame, quote, licence, article = prose(12), prose(10), prose(25), prose(8), [prose(60), prose(40)]
+    shown = lambda host, i, parts: (i, f"http://{host}/{i}", "<body>" + "".join(f"<div>{t}</div>" for t in [menu, *parts, frame]) + "</body>")
+    want = {i: [prose(30), prose(40) + (f" {licence} " if i < 8 else " ") + prose(5), *([quote] if i < 3 else []), prose(20)] for i in range(20)}
+    want |= {i: [*article, prose(10)] for i in range(20, 30)}  # an article beside ten comments
+    rows = [shown("one.x", i, parts) for i, parts in want.items()]
+    copies = {i: [*article, prose(10)] for i in range(30, 36)}  # a host that has nothing but near copies
+    rows += [shown("two.x", i, parts) for i, parts in copies.items()]
+    rows += [(i, None, f"<p>{quote}</p><p>{prose(10)}</p>") for i in range(40, 46)]
+    got = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, parts in want.items():
+        assert got[i] == "\n".join(parts), i
+    for i, parts in copies.items():
+        assert got[i] == "\n".join([menu, *parts, frame]), i
+    assert all(got[i].startswith(quote) for i in range(40, 46))
