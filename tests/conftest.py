@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -8,7 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from starloom.session import build_session  # noqa: E402
 from starloom.sources.files import text_schema  # noqa: E402
-from starloom.spec import LoadStamp  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -39,16 +37,3 @@ def text(spark):
         return spark.createDataFrame(list(rows), text_schema(columns.split()))
 
     return build
-
-
-def day(text):
-    return dt.date.fromisoformat(text)
-
-
-def at(text):
-    return LoadStamp(dt.datetime.fromisoformat(text + " 06:00:00"), "tester")
-
-
-def rows(df, *columns):
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -5,7 +5,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import at, rows
+from helpers import at, rows
 from pyspark.sql import functions as F
 
 from starloom.functions import changed

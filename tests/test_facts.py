@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import at, rows
+from helpers import at, rows
 
 from starloom.operators import facts
 from starloom.operators.clean import REJECT

@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import at, rows
+from helpers import at, rows
 
 from starloom.operators.control import NEVER
 from starloom.sources import files

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import last_key, load_unique_keys, surrogate_keys

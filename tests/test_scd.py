@@ -1,7 +1,7 @@
 from dataclasses import replace
 
 import pytest
-from conftest import at, day, rows
+from helpers import at, day, rows
 
 from starloom.operators import scd
 from starloom.plans import banking, generic, healthcare

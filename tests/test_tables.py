@@ -2,7 +2,7 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
-from conftest import at, day, rows
+from helpers import at, day, rows
 from test_scd import PERSON, person
 
 from starloom.operators.clean import REJECT
