@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import ann, decontam, htmltext, langid, minhash, packing, pii, quality, shared, tokencount, urlrules
+from starloom.llm import ann, bestfit, decontam, htmltext, infill, langid, minhash, packing, pii, quality, shared, tokencount, urlrules, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,23 @@ def op10_host_suffix_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_chunked_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.infilled(_table(spark, sf_dir, "documents"))
+    back = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    )
+
+
+def op12_bin_completion_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bestfit.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"), components=8)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: run for name, run in globals().items() if name.startswith("op")}
 
@@ -104,5 +121,36 @@ def _url_sql() -> str:
         FROM urls LEFT JOIN best USING (n) LEFT JOIN method USING (n)"""
 
 
+def _infill_sql() -> str:
+    """op11 with the units as a list. The text comes back from the output by the places of the sentinels."""
+    blank = r"\x20\x09-\x0D"
+    return rf"""
+        WITH given AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS hashed,
+                   regexp_extract_all(coalesce(text, ''), '[{blank}]*[^{blank}]+|[{blank}]+') AS units
+            FROM documents),
+        drawn AS (
+            SELECT doc_id, text, units, len(units) AS n, ('0x' || hashed[1:8])::BIGINT % (len(units) + 1) AS one,
+                   ('0x' || hashed[9:16])::BIGINT % (len(units) + 1) AS two,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR ('0x' || hashed[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+                        WHEN ('0x' || hashed[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM given),
+        cut AS (
+            SELECT doc_id, text, n, form, coalesce(array_to_string(units[1 : least(one, two)], ''), '') AS p,
+                   coalesce(array_to_string(units[least(one, two) + 1 : greatest(one, two)], ''), '') AS m,
+                   coalesce(array_to_string(units[greatest(one, two) + 1 : n], ''), '') AS s
+            FROM drawn),
+        made AS (
+            SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                                ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output
+            FROM cut),
+        parts AS (SELECT *, CASE WHEN form <> 'plain' THEN string_split_regex(output, '<[PSM]>') END AS q FROM made)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(output) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN q[2] || q[4] || q[3] ELSE q[3] || q[4] || q[2] END) AS restored_sha256
+        FROM parts"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_rarest_token_url_rules": _url_sql()}
+    return {"op9_rarest_token_url_rules": _url_sql(), "op11_chunked_infill": _infill_sql()}
