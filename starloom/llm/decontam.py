@@ -27,7 +27,8 @@ PASSAGE = 120  # characters of an item that must be found again, or all of a sho
 LEAST = 24  # shorter items are not looked for
 BIN = 8  # diagonals per bin, a power of two and more than the edits of a passage
 BLOCK_BYTES = 8 << 20  # benchmark text held against the documents at a time
-MOST_HITS = 1_000_000  # shared q-grams of a run of documents that are counted at a time
+MOST_HITS = 1_000_000  # places in items that are counted at a time
+STRETCH = 1 << 20  # characters whose q-grams are looked up at a time
 MOST_CELLS = 1 << 18  # windows times diagonals that are aligned at a time
 _MAP_BITS = 22
 
@@ -108,48 +109,77 @@ def indexed(rows: list[tuple[int, str]]) -> Items | None:
     )
 
 
-def _bands(items: Items, text: np.ndarray, ends: np.ndarray, first: int, stop: int) -> list[tuple[int, int, int, int]]:
-    """Document, item, lowest and highest diagonal of the bands of documents first..stop-1 that reach the bound."""
-    start = int(ends[first - 1]) if first else 0
-    grams = gram_hashes(text[start : ends[stop - 1]])
-    maybe = np.flatnonzero(items.seen[(grams >> np.uint64(64 - _MAP_BITS)).astype(np.int64)])
-    rank = np.searchsorted(items.hashes, grams[maybe])
-    rank[rank == len(items.hashes)] = 0
-    same = items.hashes[rank] == grams[maybe]
-    place, rank = maybe[same] + start, rank[same]
-    doc = np.searchsorted(ends, place, side="right")
-    inside = place + Q <= ends[doc]
-    place, rank, doc = place[inside], rank[inside], doc[inside]
-    count = items.begin[rank + 1] - items.begin[rank]
-    if count.sum() > MOST_HITS and stop - first > 1:
-        middle = (first + stop) // 2
-        return _bands(items, text, ends, first, middle) + _bands(items, text, ends, middle, stop)
-    if not len(place):
-        return []
-    hit = np.repeat(np.arange(len(place)), count)
-    at = np.arange(len(hit)) - np.repeat(np.cumsum(count) - count, count) + items.begin[rank][hit]
+def _hits(items: Items, text: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Document, place in the text and hash number of q-grams that items have too, in the order of their places, so that at most about
+    MOST_HITS places in items go with what is given at a time."""
+    for first in range(0, len(text), STRETCH):
+        grams = gram_hashes(text[first : first + STRETCH + Q - 1])
+        maybe = np.flatnonzero(items.seen[(grams >> np.uint64(64 - _MAP_BITS)).astype(np.int64)])
+        rank = np.searchsorted(items.hashes, grams[maybe])
+        rank[rank == len(items.hashes)] = 0
+        same = items.hashes[rank] == grams[maybe]
+        place, rank = maybe[same] + first, rank[same]
+        doc = np.searchsorted(ends, place, side="right")
+        inside = place + Q <= ends[doc]
+        place, rank, doc = place[inside], rank[inside], doc[inside]
+        part = np.cumsum(items.begin[rank + 1] - items.begin[rank]) // MOST_HITS
+        for some in np.split(np.arange(len(place)), np.flatnonzero(np.diff(part)) + 1):
+            if len(some):
+                yield doc[some], place[some], rank[some]
+
+
+def _bands(items: Items, text: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Document, item, lowest and highest diagonal of the bands that reach the bound.
+
+    Shared q-grams come in the order of their places. A diagonal that lies further back than the longest item gets no more of them,
+    so its bins are judged and forgotten: what is held at a time does not grow with a text.
+    """
     begins = np.concatenate([[0], ends])
     shift = -(-items.longest // BIN) * BIN
-    bins = (place[hit] - begins[doc[hit]] - items.place[at] + shift) // BIN
     room = (np.diff(begins) + shift) // BIN + 3
     base = np.cumsum(room) - room
-    keys, counts = np.unique((base[doc[hit]] + bins) * len(items.ids) + items.item[at], return_counts=True)
-    after = np.searchsorted(keys, keys + len(items.ids))
-    after[after == len(keys)] = 0
-    both = counts + np.where(keys[after] == keys + len(items.ids), counts[after], 0)
-    item = keys % len(items.ids)
-    good = both >= items.least[item]
-    line = keys[good] // len(items.ids)
-    which = np.searchsorted(base, line, side="right") - 1
-    low = (line - base[which]) * BIN - shift
-    found: list[tuple[int, int, int, int]] = []
-    for d, i, a in sorted(zip(which.tolist(), item[good].tolist(), low.tolist(), strict=True)):
-        b = a + 2 * BIN - 1
-        if found and found[-1][:2] == (d, i) and a <= found[-1][3] + 1:
-            found[-1] = (d, i, found[-1][2], b)
-        else:
-            found.append((d, i, a, b))
-    return found
+    number = len(items.ids)
+    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    found: dict[tuple[int, int], list[list[int]]] = {}
+
+    def judge(limit: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Take up the bands whose two bins lie before line ``limit``; what is left is not complete."""
+        after = np.searchsorted(keys, keys + number)
+        after[after == len(keys)] = 0
+        both = counts + np.where(keys[after] == keys + number, counts[after], 0) if len(keys) else counts
+        good = both >= items.least[keys % number]
+        stay = keys >= (limit - 1) * number if limit is not None else np.zeros(len(keys), dtype=bool)
+        take = keys[good & ~stay]
+        line, item = take // number, take % number
+        order = np.lexsort((line, item))
+        line, item = line[order], item[order]
+        doc = np.searchsorted(base, line, side="right") - 1
+        low = (line - base[doc]) * BIN - shift
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] > low[:-1] + 2 * BIN)
+        at = np.flatnonzero(new)
+        last = np.append(at[1:], len(order)) - 1
+        for d, i, a, b in zip(doc[at].tolist(), item[at].tolist(), low[at].tolist(), (low[last] + 2 * BIN - 1).tolist() if len(at) else [], strict=True):
+            mine = found.setdefault((d, i), [])
+            if mine and a <= mine[-1][1] + 1:
+                mine[-1][1] = b
+            else:
+                mine.append([a, b])
+        return keys[stay], counts[stay]
+
+    for doc, place, rank in _hits(items, text, ends):
+        if len(keys):  # no line before this one gets more
+            keys, counts = judge(int(base[doc[0]] + (place[0] - begins[doc[0]] - items.longest + shift) // BIN))
+        count = items.begin[rank + 1] - items.begin[rank]
+        hit = np.repeat(np.arange(len(place)), count)
+        at = np.arange(len(hit)) - np.repeat(np.cumsum(count) - count, count) + items.begin[rank][hit]
+        bins = (place[hit] - begins[doc[hit]] - items.place[at] + shift) // BIN
+        more, times = np.unique((base[doc[hit]] + bins) * number + items.item[at], return_counts=True)
+        every = np.concatenate([keys, more])
+        keys, where = np.unique(every, return_inverse=True)
+        counts = np.bincount(where, weights=np.concatenate([counts, times]), minlength=len(keys)).astype(np.int64)
+    keys, counts = judge(None)
+    return [(d, i, a, b) for (d, i), mine in sorted(found.items()) for a, b in mine]
 
 
 def aligned_end(pattern: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int]:
@@ -210,6 +240,15 @@ def _windows(pattern: bytes, text: np.ndarray, low: int, high: int) -> Iterator[
     grams = PASSAGE - Q + 1
     starts = np.flatnonzero(shared_grams[grams:] - shared_grams[:-grams] >= max(1, grams - Q * most))
     every, width = np.lib.stride_tricks.sliding_window_view(letters, PASSAGE), high - low + 1
+    # A window that is there letter for letter needs no alignment.
+    whole, found, other = text.tobytes(), [], []
+    for at in starts.tolist():
+        place = whole.find(pattern[at : at + PASSAGE], max(0, at + low), max(0, at + high + PASSAGE))
+        if place >= 0:
+            found.append((at, 0, place, place + PASSAGE))
+        else:
+            other.append(at)
+    starts = np.array(other, dtype=np.int64)
     rows = max(1, MOST_CELLS // width)
     for k in range(0, len(starts), rows):
         at = starts[k : k + rows]
@@ -222,7 +261,8 @@ def _windows(pattern: bytes, text: np.ndarray, low: int, high: int) -> Iterator[
         # Backwards from where it ends, a window shows where it begins.
         head = len(text) - end
         back = _aligned_ends(every[at][:, ::-1], text[::-1], head - most, 2 * most + 2, head, np.minimum(head + PASSAGE + edits, len(text)))[1]
-        yield from zip(at.tolist(), edits.tolist(), (len(text) - back).tolist(), end.tolist(), strict=True)
+        found += zip(at.tolist(), edits.tolist(), (len(text) - back).tolist(), end.tolist(), strict=True)
+    yield from sorted(found)
 
 
 def verified(items: Items, text: np.ndarray, item: int, low: int, high: int) -> list[tuple[int, int, int, int]]:
@@ -260,7 +300,7 @@ def _search(items: Items):
                     continue
                 text, origin, stops = folded(data, ends)
                 rows = []
-                for doc, item, low, high in _bands(items, text, stops, 0, len(stops)):
+                for doc, item, low, high in _bands(items, text, stops):
                     begin = int(stops[doc - 1]) if doc else 0
                     head = int(ends[doc - 1]) if doc else 0
                     for a, b, edits, size in verified(items, text[begin : stops[doc]], item, low, high):

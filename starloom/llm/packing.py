@@ -39,6 +39,9 @@ MOST_SOURCES = 10_000
 _SPLIT = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPLIT_SINGLE = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 _TWO_SPACES = re.compile(r"\s\s")
+# The splitting rule looks back over a run of white space, which its engine does for some ten thousands of characters only.
+_WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_WHITE = re.compile(_WHITE + "{1000,}+")
 
 
 class Encoder:
@@ -58,6 +61,7 @@ class Encoder:
         ranks = {bytes(back[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         self.fast = tiktoken.Encoding("single", pat_str=_SPLIT_SINGLE, mergeable_ranks=ranks, special_tokens={})
         self.exact = tiktoken.Encoding("any", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self.library = None
 
     def ids(self, text: str) -> np.ndarray:
@@ -67,8 +71,16 @@ class Encoder:
 
                 self.library = Tokenizer.from_file(self.path)
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        form = self.exact if _TWO_SPACES.search(text) else self.fast
-        return form.encode_to_numpy(text, disallowed_special=())
+        if not _TWO_SPACES.search(text):
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        parts, at = [], 0
+        for run in _LONG_WHITE.finditer(text):
+            # All of the run but the character before a word is one piece; that character goes on with the word.
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            parts += [self.exact.encode_to_numpy(text[at : run.start()], disallowed_special=()), self.whole.encode_to_numpy(run.group()[: end - run.start()], disallowed_special=())]
+            at = end
+        last = self.exact.encode_to_numpy(text[at:] if at else text, disallowed_special=())
+        return np.concatenate([*parts, last]) if parts else last
 
 
 @cache

@@ -51,6 +51,25 @@ def test_a_heap_merges_as_a_scan_does():
         assert counter.merged(word) == scanned(word)
 
 
+def test_long_runs_of_white_space_are_the_librarys():
+    encode, own, rng = packing.encoder(BYTES).ids, Tokenizer.from_file(BYTES), random.Random(2)
+    white = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\x1c\x1f\u200b"
+    texts = ["a" + " " * 100_000 + "b", " " * 50_000, "\n" * 3000 + "'s", " " * 2000 + "\u00e9", "1" + "\t" * 1500 + "!"]
+    texts += ["".join(rng.choice(["a", "'s", "7", "?", "é"]) + rng.choice(white) * rng.choice([1, 2, 999, 1000, 1001, 2500]) for _ in range(6)) for _ in range(60)]
+    texts += ["x" + "".join(rng.choice(white[:14]) for _ in range(1500)) + rng.choice(["", "y", "'ll", "5"]) for _ in range(30)]
+    for text in texts:
+        assert encode(text).tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("piece, number", [(" ", 5_000_000), ("a", 5_000_000), ("word ", 1_000_000)])
+def test_very_long_texts_are_packed(documents, piece, number):
+    text = "a" + piece * number + "b"
+    pieces = packing.packed(documents((1, text), (2, "x")).withColumn("source", F.lit("s")), BYTES).select("doc_id", "length", "doc_tokens").collect()
+    want = {1: len(packing.encoder(BYTES).ids(text)) + 1, 2: 2}
+    assert {p.doc_id: p.doc_tokens for p in pieces} == want
+    assert {i: sum(p.length for p in pieces if p.doc_id == i) for i in want} == want
+
+
 @pytest.fixture(scope="module")
 def packed(spark):
     rng = random.Random(5)

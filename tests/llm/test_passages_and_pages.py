@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -102,6 +103,37 @@ def test_stretches_of_long_items_are_found_wherever_they_begin(spark, documents)
         assert 120 <= r.passage_chars <= size + 48
 
 
+def test_a_text_that_repeats_itself_takes_bounded_memory(monkeypatch):
+    index = decontam.indexed([(1, "ab " * 100), (2, "ab " * 60 + "cd " * 20)])
+    text, _, stops = decontam.folded(np.frombuffer(b"ab " * 20_000 + b"x " + b"ab " * 20_000, np.uint8), np.array([120_002]))
+    want = decontam._bands(index, text, stops)
+    assert [(i, low) for _, i, low, _ in want] == [(0, -288), (1, -168)]
+    monkeypatch.setattr(decontam, "MOST_HITS", 10_000)
+    monkeypatch.setattr(decontam, "STRETCH", 997)
+    tracemalloc.start()
+    assert decontam._bands(index, text, stops) == want
+    assert tracemalloc.get_traced_memory()[1] < 20e6  # all hits together are some hundred megabytes
+    tracemalloc.stop()
+    assert decontam.verified(index, text, 0, *want[0][2:]) == [(0, 299, 0, 299)]
+
+
+def test_bands_do_not_depend_on_the_stretches(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcd") for _ in range(rng.randint(2, 6))) for _ in range(40)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, prose(rng.randint(8, 80))) for i in range(20)]
+    texts = [prose(rng.randint(0, 60)) + " " + rng.choice(items)[1] + " " + prose(rng.randint(0, 300)) for _ in range(60)] + ["", "a"]
+    joined = [t.encode() for t in texts]
+    text, _, stops = decontam.folded(np.frombuffer(b"".join(joined), np.uint8), np.cumsum([len(t) for t in joined]))
+    index = decontam.indexed(items)
+    want = decontam._bands(index, text, stops)
+    assert len(want) >= 60
+    for hits, stretch in ((50, 10**6), (10**6, 100), (7, 33)):
+        monkeypatch.setattr(decontam, "MOST_HITS", hits)
+        monkeypatch.setattr(decontam, "STRETCH", stretch)
+        assert decontam._bands(index, text, stops) == want
+
+
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("a.com", "", "block"), ("b.com", "/x.y+", "allow"), ("same.net", "/p", "allow"), ("p.same.net", "/", "block")]
 URLS = [
     "http://example.org/es/1", "https://www.EXAMPLE.org/en/17?x=://", "http://notexample.org/es/", "http://example.org", "http://example.org?x=/es/", "http://a.com", "http://a.com/q#z",
