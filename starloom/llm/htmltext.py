@@ -53,37 +53,127 @@ MARKS = frozenset(
     "discussion footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion "
     "recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar widget widgets".split()
 )
-_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-_TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b{_ATTRIBUTES}(?:/>|>.*?(?:</\1\s*>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES})(?:>|\Z)",
-    re.DOTALL | re.IGNORECASE,
-)
-_CUT_TAG = re.compile(r"<[a-zA-Z/!?].*\Z", re.DOTALL)  # the page ends within a tag
-_MARKED = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+# Words that turn the mark after them into a setting of the page ("no-sidebar").
+SETTINGS = frozenset("no not non without has have with is hide hidden show toggle enable disable".split())
+_RAW = frozenset(RAW.split("|"))
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in _RAW}
+_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+_TAG_STOP = re.compile(r"""[>"']""")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?+""")
+_JUDGED = frozenset(("class", "id", "role", "itemprop", "hidden", "aria-hidden"))
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ARTICLE, OUTSIDE, DOUBTFUL = 1, 0, 2
 
 
+def _marked(value: str) -> bool:
+    """Whether one of the names in a class, id or role says that the element is no part of the article."""
+    for name in value.lower().split():
+        words = re.split(r"[^a-z0-9]+", name)
+        if not MARKS.isdisjoint(words) and SETTINGS.isdisjoint(words):
+            return True
+    return False
+
+
 def _marks(name: str, attributes: str) -> tuple[bool, bool]:
     """Whether an element is left out for its attributes, and whether they name the main text."""
     out = main = False
-    for kind, value in _MARKED.findall(attributes):
-        kind, words = kind.lower(), set(re.split(r"[^a-z0-9]+", value.lower()))
-        if kind == "hidden" or kind == "aria-hidden" and "true" in words:
+    for found in _ATTRIBUTE.finditer(attributes):
+        kind = found.group(1).lower()
+        if kind not in _JUDGED:
+            continue
+        value = (found.group(2) or "").strip("\"'")
+        if kind == "hidden" or kind == "aria-hidden" and value.strip().lower() == "true":
             out = True
-        elif kind == "itemprop" and "articlebody" in words or kind == "role" and "main" in words:
+        elif kind == "itemprop" and "articlebody" in value.lower().split() or kind == "role" and value.strip().lower() == "main":
             main = True
-        elif kind in ("class", "id", "role") and words & MARKS and name not in ("html", "body", "main"):
+        elif kind in ("class", "id", "role") and name not in ("html", "body", "main") and _marked(value):
             out = True
     return out, main
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it is an end tag, attributes) of the tags; comments, declarations and elements of raw text have no name.
+
+    A quote counts only as the value of an attribute, and only if another one ends it. Every character is looked at a bounded number
+    of times, however broken the markup is; a tag that never ends reaches to the end of the page.
+    """
+    last = {q: page.rfind(q) for q in "\"'"}
+    raw_ends: dict[str, int] = {}
+    at = page.find("<")
+    while 0 <= at < len(page) - 1:
+        letter = page[at + 1]
+        if letter in "!?":
+            if page.startswith("<!--", at):
+                close = page.find("-->", at + 4)
+                end = close + 3 if close >= 0 else len(page)
+            else:
+                close = page.find(">", at)
+                end = close + 1 if close >= 0 else len(page)
+            yield at, end, "", False, ""
+            at = page.find("<", end)
+            continue
+        ends = letter == "/"
+        name = _NAME.match(page, at + 1 + ends)
+        if not name:
+            at = page.find("<", at + 1)
+            continue
+        end = look = name.end()
+        while True:
+            stop = _TAG_STOP.search(page, look)
+            if not stop:
+                end, attributes = len(page), page[name.end() :]
+                break
+            if stop.group() == ">":
+                end, attributes = stop.end(), page[name.end() : stop.start()]
+                break
+            look = stop.end()
+            before = stop.start() - 1
+            while before > at and page[before].isspace():
+                before -= 1
+            if page[before] == "=" and look <= last[stop.group()]:
+                look = page.index(stop.group(), look) + 1
+        kind = name.group().lower()
+        if kind in _RAW and not ends:
+            if not attributes.endswith("/"):
+                if end > raw_ends.get(kind, -1):
+                    close = _RAW_END[kind].search(page, end)
+                    raw_ends[kind] = close.end() if close else len(page)
+                end = raw_ends[kind]
+            yield at, end, "", False, ""
+        else:
+            yield at, end, kind, ends, attributes
+        at = page.find("<", end)
+
+
+# What leaves an element out: nothing, its own mark, or what it is.
+_IN, _BY_MARK, _BY_KIND = 0, 1, 2
+
+
 def blocks_of(page: str) -> list[tuple[int, str]]:
-    """(status, text) of a page's blocks in order: white space is one blank, character references are decoded."""
+    """(status, text) of a page's blocks in order: white space is one blank, character references are decoded.
+
+    Classes of the elements around the main text decide nothing about it, nor does a form around it: an article or main element
+    within them counts if it holds more words than all that would count without it.
+    """
+    found, inner = _read(page, -1)
+    if inner:
+        counted = sum(t.count(" ") + 1 for s, t in found if s == ARTICLE)
+        words, which = max((n, -k) for k, n in inner.items())
+        if words > counted:
+            found = _read(page, -which)[0]
+    return found
+
+
+def _read(page: str, freed: int) -> tuple[list[tuple[int, str]], dict[int, int]]:
+    """The blocks, if what is around the article or main element at ``freed`` does not count; and the words of such elements that
+    are left out by what is around them, by where they begin."""
     found: list[tuple[int, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, left out, within the main text
+    # Element, left out for what, within the main text, where the outermost article or main element begins that is left out by others.
+    stack: list[tuple[str, int, bool, int]] = []
     parts: list[str] = []
-    out = main = any_main = False
+    is_open: dict[str, int] = {}
+    inner: dict[int, int] = {}
+    out, main, lost, any_main = _IN, False, -1, False
 
     def flush() -> None:
         text = "".join(parts)
@@ -91,16 +181,21 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
         text = " ".join((html.unescape(text) if "&" in text else text).split())
         if text:
             found.append((OUTSIDE if out else ARTICLE if main else DOUBTFUL, text))
+            if lost >= 0:
+                inner[lost] = inner.get(lost, 0) + text.count(" ") + 1
+
+    def drop(first: int) -> None:
+        for e in stack[first:]:
+            is_open[e[0]] -= 1
+        del stack[first:]
 
     at = 0
-    for tag in _TAG.finditer(page):
-        if tag.start() > at:
-            parts.append(page[at : tag.start()])
-        at = tag.end()
-        name = tag.group(3)
+    for start, end, name, ends, attributes in tags(page):
+        if start > at:
+            parts.append(page[at:start])
+        at = end
         if not name:
             continue
-        name = name.lower()
         if name == "br":
             parts.append(" ")
             continue
@@ -108,41 +203,49 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             if name in BLOCKS:
                 flush()
             continue
-        if tag.group(2):
-            if all(name != e[0] for e in stack):
+        if ends:
+            if not is_open.get(name):
                 continue
-            if name in BLOCKS or any(e[0] in BLOCKS for e in stack[_last(stack, name) :]):
+            k = len(stack) - 1
+            while stack[k][0] != name:
+                k -= 1
+            if any(e[0] in BLOCKS for e in stack[k:]):
                 flush()
-            del stack[_last(stack, name) :]
+            drop(k)
         else:
             if name in BLOCKS or name in LEFT_OUT:
                 flush()
             closes = _CLOSES.get(name)
             if closes and stack and stack[-1][0] in closes:
-                stack.pop()
+                drop(len(stack) - 1)
             elif name in BLOCKS:  # a block ends a paragraph that was left open, with what is inline in it
                 k = len(stack)
                 while k and stack[k - 1][0] not in BLOCKS:
                     k -= 1
                 if k and stack[k - 1][0] == "p":
-                    del stack[k - 1 :]
-            marked, named = _marks(name, tag.group(4)) if tag.group(4) else (False, False)
-            upper_out, upper_main = stack[-1][1:] if stack else (False, False)
-            left_out = upper_out or marked or name in LEFT_OUT
-            within = upper_main or not left_out and (named or name in ("article", "main"))
+                    drop(k - 1)
+            marked, named = _marks(name, attributes) if attributes else (False, False)
+            upper_out, upper_main, lost = stack[-1][1:] if stack else (_IN, False, -1)
+            is_main = named or name in ("article", "main")
+            if start == freed:
+                upper_out, lost = _IN, -1
+            own = _BY_MARK if marked or name == "form" else _BY_KIND if name in LEFT_OUT else _IN
+            if is_main and not own and upper_out == _BY_MARK and lost < 0:
+                lost = start
+            left_out = max(upper_out, own)
+            within = upper_main or not left_out and is_main
             any_main = any_main or within
-            if not tag.group(4).rstrip().endswith("/") or name in BLOCKS:
-                stack.append((name, left_out, within))
-        out, main = stack[-1][1:] if stack else (False, False)
-    parts.append(_CUT_TAG.sub("", page[at:]))
+            if own:
+                lost = -1
+            if not attributes.rstrip().endswith("/") or name in BLOCKS:
+                stack.append((name, left_out, within, lost))
+                is_open[name] = is_open.get(name, 0) + 1
+        out, main, lost = stack[-1][1:] if stack else (_IN, False, -1)
+    parts.append(page[at:])
     flush()
     if any_main:
-        return [(s if s != DOUBTFUL else OUTSIDE, t) for s, t in found]
-    return found
-
-
-def _last(stack: list[tuple[str, bool, bool]], name: str) -> int:
-    return max(i for i, e in enumerate(stack) if e[0] == name)
+        found = [(s if s != DOUBTFUL else OUTSIDE, t) for s, t in found]
+    return found, inner
 
 
 _BLOCK = T.ArrayType(T.StructType().add("status", "integer").add("text", "string"))

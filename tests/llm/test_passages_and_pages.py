@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -177,8 +178,16 @@ PAGES = {
                "<!-- <p>no</p> --><ul><li>a<li>b&#33;</ul></main><footer>no</footer></body>", "T & x\nOne two three\nFour bold\na\nb!"),
     "cut": ("<article><p>text goes <b>on and on", "text goes on and on"),
     "cut in a tag": ("<article><p>text <a href='x", "text"),
+    "cut behind a sign": ("<article>1 < 2 <", "1 < 2 <"),
     "no page": (None, ""),
     "empty": ("", ""),
+    "setting of the page": ("<div class='layout no-sidebar'><article><p>One<p>Two</article></div><div class='has-comments with-header'><p>more</div>", "One\nTwo"),
+    "form around all": ("<form id='aspnetForm'><div id=header>Site</div><article><p>One</p><form><p>vote</form></article><p>Log in</p></form>", "One"),
+    "marked around": ("<div class='site-header widget'><nav>menu</nav><main><h1>Title</h1><p>Long text of the page</main></div><div class=teaser><article>Short</article></div>", "Title\nLong text of the page"),
+    "comments": ("<article><p>One two three four</p></article><section id=comments><article><p>I think</p></article><article><p>No</p></article></section>", "One two three four"),
+    "aside is no form": ("<aside><article><p>One two three four</p></article></aside><article>Five</article>", "Five"),
+    "other attributes": ("<article data-x='class=\"sidebar\"'><p title='id=ad'>One</p><p title=\"a > b\">Two</p><p don't>Three</p><p title=\"x>Four</p></article>", "One\nTwo\nThree\nFour"),
+    "raw text": ("<article>a<script>'</article>'</script>b<STYLE>x</Style >c<script/>d<textarea>e", "abcd"),
     "text only": ("just some\ttext &lt;here&gt;", "just some text <here>"),
 }
 
@@ -190,6 +199,13 @@ def test_markup(spark):
     assert htmltext.main_text(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("broken", ["<a ", "<a '", "<a=\"", "<a b=\"", "<", "</", "<!", "<!--", "<script>", "<script ", "<p title=' ", "<title", "<a\n\n\n'", "<div class=\"ad ", "<div></p>", "<b></i>", "<p><b></div>", "<article>", "<li><form>"])
+def test_broken_markup_takes_linear_time(broken):
+    began = time.perf_counter()
+    htmltext.blocks_of("<article><p>One</p>" + broken * (5_000_000 // len(broken)) + "\"'")
+    assert time.perf_counter() - began < 30
+
+
 @pytest.mark.parametrize("shard", [40, 10**6])
 def test_repeated_runs_go_and_unique_ones_stay(spark, monkeypatch, shard):
     monkeypatch.setattr(htmltext, "SHARD_TOKENS", shard)
