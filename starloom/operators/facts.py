@@ -41,49 +41,71 @@ def fact_append(
     return not_loaded(one_per_key(rows, keys, latest_by, on_dup), loaded, keys, batch=rows)
 
 
-def resolve_facts(
-    staged: DataFrame,
-    spec: FactSpec,
-    dims: Mapping[str, DataFrame],
-    stamp: LoadStamp,
-    loaded: DataFrame | None = None,
-    on_dup: str = "latest",
-) -> DataFrame:
-    """New facts with their keys and the reason a row cannot be loaded, if there is one.
-
-    Deduplication and the check against loaded facts share one shuffle on the
-    natural key and come before the lookups, which then see new rows only. Of the
-    rows of a key one that can be read wins over one that cannot, then the latest
-    by its typed date. Rows without a readable natural key are all rejected: they
-    take no part in the shuffle, and no lookup is made for them.
-    """
-    parents = [c for lk in spec.lookups for c in lk.source if c not in spec.columns]
-    ordered_by = [c for c in spec.latest_by if c != spec.date_source]
-    kept = [c for c in ordered_by if c not in spec.columns]
-    types = {**spec.columns, **dict.fromkeys([*parents, *kept], "string")}
+def typed_batch(staged: DataFrame, spec: FactSpec) -> DataFrame:
+    """The staged rows that ``resolve_typed`` needs, cast, and whether each can be read. All rows stay."""
+    kept = [c for c in _ordered_by(spec) if c not in spec.columns]
+    types = {**spec.columns, **dict.fromkeys([*_parents(spec), *kept], "string")}
     sources = dict(spec.sources)
     if spec.date_source:
         types[_DATE_TEXT] = "string"
         sources[_DATE_TEXT] = spec.date_source
-        ordered_by = [_DAY, *ordered_by]
     for name in _typed_keys(spec):
         types[_text(name)] = "string"
         sources[_text(name)] = spec.sources.get(name, name)
     typed = typed_project(staged, types, sources, spec.zero)
     if spec.date_source:
         typed = typed.withColumn(_DAY, try_as(_DATE_TEXT, "date"))
-    typed = typed.withColumn(_SOUND, ~F.greatest(*_unreadable(spec).values(), F.lit(False)))
+    return typed.withColumn(_SOUND, ~F.greatest(*_unreadable(spec).values(), F.lit(False)))
+
+
+def resolve_typed(
+    typed: DataFrame,
+    spec: FactSpec,
+    dims: Mapping[str, DataFrame],
+    stamp: LoadStamp,
+    loaded: DataFrame | None = None,
+    on_dup: str = "latest",
+) -> DataFrame:
+    """``resolve_facts`` of rows that are typed already; a key they have is kept."""
     rows = drop_null_key(typed, spec.natural_key)
     unkeyed = typed.where(F.greatest(*[F.col(c).isNull() for c in spec.natural_key], F.lit(False)))
-
-    rows = fact_append(loaded, rows, spec.natural_key, [_SOUND, *ordered_by], on_dup)
+    day = [_DAY] if spec.date_source else []
+    rows = fact_append(loaded, rows, spec.natural_key, [_SOUND, *day, *_ordered_by(spec)], on_dup)
     rows = lookup_all(rows, spec.lookups, dims, keep_unmatched=True)
     unkeyed = unkeyed.withColumns({lk.output: F.lit(None).cast(rows.schema[lk.output].dataType) for lk in spec.lookups})
     rows = rows.unionByName(unkeyed.select(*rows.columns))
     key = date_key(_DATE_TEXT) if spec.date_source else snapshot_key(stamp.load_date)
     rows = rows.withColumn(spec.date_key, key)
     rows = rows.withColumns({c: F.lit(None).cast("bigint") for c in spec.null_keys})
-    return flag_rejects(rows, reject_rules(spec)).select(*spec.output_columns, *_evidence(spec), REJECT)
+    own = [spec.key] if spec.key in typed.columns else []
+    return flag_rejects(rows, reject_rules(spec)).select(*own, *spec.output_columns, *_evidence(spec), REJECT)
+
+
+def resolve_facts(
+    staged: DataFrame,
+    spec: FactSpec,
+    dims: Mapping[str, DataFrame],
+    stamp: LoadStamp,
+    loaded: DataFrame | None = None,
+    on_dup: str = "latest",
+) -> DataFrame:
+    """New facts with their keys and the reason a row cannot be loaded, if there is one.
+
+    Deduplication and the check against loaded facts share one shuffle on the
+    natural key and come before the lookups, which then see new rows only. Of the
+    rows of a key one that can be read wins over one that cannot, then the latest
+    by its typed date. Rows without a readable natural key are all rejected: they
+    take no part in the shuffle, and no lookup is made for them.
+    """
+    return resolve_typed(typed_batch(staged, spec), spec, dims, stamp, loaded, on_dup)
+
+
+def _parents(spec: FactSpec) -> list[str]:
+    return [c for lk in spec.lookups for c in lk.source if c not in spec.columns]
+
+
+def _ordered_by(spec: FactSpec) -> list[str]:
+    return [c for c in spec.latest_by if c != spec.date_source]
 
 
 def batch_outcomes(staged: DataFrame, resolved: DataFrame) -> DataFrame:

@@ -37,33 +37,61 @@ def dim_source(
 
     Rows without a mandatory parent are left out; ``dim_rejects`` gives them.
     """
-    rows = _with_parents(staged, spec, dims, latest_by, on_dup)
-    rows = rows.where(F.col(REJECT).isNull())
-    rows = rows.withColumns({c: F.lit(None).cast(spec.columns[c]) for c in spec.absent})
-    return rows.select(*spec.natural_key, *spec.attributes)
+    return dim_accepted(flagged_source(staged, spec, dims, latest_by, on_dup), spec)
 
 
 def dim_rejects(
     staged: DataFrame, spec: DimSpec, dims: Mapping[str, DataFrame] | None = None, latest_by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Staged rows whose mandatory parent is unknown: natural key, parent ids and the reason."""
-    rows = _with_parents(staged, spec, dims, latest_by)
-    ids = dict.fromkeys(c for lk in spec.lookups for c in lk.source if c in rows.columns and c not in spec.natural_key)
-    return rows.where(F.col(REJECT).isNotNull()).select(*spec.natural_key, *ids, REJECT)
+    """Staged rows left out: those without a natural key, all of them, and those whose mandatory parent is unknown. Natural key,
+    parent ids and the reason."""
+    flagged = flagged_source(staged, spec, dims, latest_by)
+    return dim_refused(flagged, spec).unionByName(keyless(staged, spec))
+
+
+def dim_accepted(flagged: DataFrame, spec: DimSpec) -> DataFrame:
+    rows = flagged.where(F.col(REJECT).isNull())
+    rows = rows.withColumns({c: F.lit(None).cast(spec.columns[c]) for c in spec.absent})
+    return rows.select(*spec.natural_key, *spec.attributes)
+
+
+def dim_refused(flagged: DataFrame, spec: DimSpec) -> DataFrame:
+    return flagged.where(F.col(REJECT).isNotNull()).select(*_reject_columns(spec), REJECT)
 
 
-def _with_parents(
-    staged: DataFrame, spec: DimSpec, dims: Mapping[str, DataFrame] | None, latest_by: tuple[str, ...], on_dup: str = "latest"
+def keyless(staged: DataFrame, spec: DimSpec) -> DataFrame:
+    """Staged rows that lack a part of the natural key, as rejects."""
+    rows = staged.where(F.greatest(*[F.col(c).isNull() for c in spec.natural_key], F.lit(False)))
+    return rows.select(*_reject_columns(spec), F.lit("missing_key").alias(REJECT))
+
+
+def _reject_columns(spec: DimSpec) -> list[str]:
+    fetched = {lk.output for lk in spec.lookups}
+    return list(dict.fromkeys([*spec.natural_key, *[c for lk in spec.lookups for c in lk.source if c not in fetched]]))
+
+
+def needed_columns(staged: DataFrame, spec: DimSpec, latest_by: tuple[str, ...] = ()) -> DataFrame:
+    """The staged columns that a dimension's load looks at; every row stays."""
+    types = _types(spec)
+    return staged.select(*types, *[c for c in latest_by if c not in types])
+
+
+def flagged_source(
+    staged: DataFrame, spec: DimSpec, dims: Mapping[str, DataFrame] | None, latest_by: tuple[str, ...] = (), on_dup: str = "latest"
 ) -> DataFrame:
-    staged = drop_null_key(staged, spec.natural_key)
-    parents = [c for lk in spec.lookups for c in lk.source if c not in spec.typed_columns()]
-    types = spec.typed_columns() | dict.fromkeys(dict.fromkeys(parents), "string")
-    kept = [c for c in latest_by if c not in types]
-    rows = one_per_key(staged.select(*types, *kept), spec.natural_key, latest_by, on_dup)
-    rows = lookup_all(typed_project(rows, types), spec.lookups, dims or {}, keep_unmatched=True)
+    """Staged rows as rows of the dimension, one per key, with the reason a row cannot be taken, if there is one."""
+    rows = needed_columns(drop_null_key(staged, spec.natural_key), spec, latest_by)
+    rows = one_per_key(rows, spec.natural_key, latest_by, on_dup)
+    rows = lookup_all(typed_project(rows, _types(spec)), spec.lookups, dims or {}, keep_unmatched=True)
     return flag_rejects(rows, {f"unknown_{lk.dim}": F.col(lk.output).isNull() for lk in spec.lookups if lk.required})
 
 
+def _types(spec: DimSpec) -> dict[str, str]:
+    own = spec.typed_columns()
+    parents = [c for lk in spec.lookups for c in lk.source if c not in own]
+    return own | dict.fromkeys(dict.fromkeys(parents), "string")
+
+
 def scd1_changes(target: DataFrame, source: DataFrame, spec: DimSpec, stamp: LoadStamp) -> DataFrame:
     """Every row of the merged dimension with what happened to it; inserted rows lack a key."""
     differs = "true" if spec.always_update else _differs(spec)

@@ -93,6 +93,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none of one that is not there."""
+    target, system = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target, system = _file_system(spark, path)
     system.delete(target, True)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.scd import ACTION, KEEP
-from starloom.session import delete, exists
-from starloom.sources.tables import ACCEPTED, MARKER, NUMBERED, Table, read_or_none, write_rows
+from starloom.functions.columns import utc_text
+from starloom.session import children, delete, exists
+from starloom.sources.tables import ACCEPTED, BUCKET, EPOCH, MARKER, Table, numbered_children, read_or_none, write_rows
 
 # Fixed value: hours a superseded load stays readable, at least.
 RETENTION_HOURS = 168
@@ -45,35 +45,45 @@ def compact_cluster(
         rows = rows.withColumns({"status": F.lit(ACCEPTED), "date_month": month})
         parts = ["status", "date_month"]
     write_rows(cluster(rows, column, spread_by, files), table.rows_path(load_id), *parts)
-    table.publish(load_id, now, base=load_id, last_key=last.last_key)
+    table.publish(load_id, now, last, base_load_id=load_id, rows_inserted=0)
     return load_id
 
 
 def superseded(table: Table, now: dt.datetime, retention_hours: int = RETENTION_HOURS) -> list[str]:
-    """Directories no reader of the last load needs, superseded longer ago than the retention.
+    """Directories no reader needs: superseded by a load that was itself published longer ago than the retention.
 
-    Rejected rows and expired versions are part of the table's history and always stay.
+    Such readers see the newest load older than the retention, or a later one. What its marker does not name, and is
+    not younger, is out of use: a marker holds the whole state, so this one is all that is read. Rejected rows and expired versions are
+    part of the table's history and always stay. Older markers go by epochs.
     """
     if retention_hours < RETENTION_HOURS:
         raise ValueError(f"retention must be at least {RETENTION_HOURS} hours")
-    markers = read_or_none(table.spark, f"{table.path}/published", MARKER)
-    if markers is None:
+    oldest = _newest_before(table, now - dt.timedelta(hours=retention_hours))
+    if oldest is None:
         return []
-    # One marker per load, not data.
-    loads = sorted(markers.collect(), key=lambda m: m.load_id)
-    last, cutoff = loads[-1], now - dt.timedelta(hours=retention_hours)
-    paths = []
-    for marker, following in zip(loads, loads[1:]):
-        if table.kind in ("fact", "rows"):
-            replaced_at = next((m.published_at for m in loads if m.base_load_id > marker.load_id), None)
-            part = f"status={ACCEPTED}" if table.kind == "fact" else ""
-            parts = [part] if marker.load_id < last.base_load_id else []
-        else:
-            replaced_at = following.published_at
-            parts = [f"{ACTION}={part}" for part in (KEEP, "update", "insert", NUMBERED)]
-        if replaced_at is not None and replaced_at < cutoff:
-            paths += [f"{table.rows_path(marker.load_id)}/{part}".rstrip("/") for part in parts]
-    return [p for p in paths if exists(table.spark, p)]
+    spark, paths = table.spark, []
+    for load_id in numbered_children(spark, f"{table.path}/rows", "load_id"):
+        path = table.rows_path(load_id)
+        if table.kind.startswith("dim"):
+            if load_id <= oldest.load_id:
+                paths += [f"{path}/{BUCKET}={b}" for b in numbered_children(spark, path, BUCKET) if (oldest.bucket_loads or {}).get(b) != load_id]
+        elif load_id < oldest.base_load_id:
+            paths.append(f"{path}/status={ACCEPTED}" if table.kind == "fact" else path)
+    named = {f"run={run.first}-{run.last}" for run in oldest.key_runs or []}
+    runs = [name for name in children(spark, f"{table.path}/keys") if name.startswith("run=")]
+    paths += [f"{table.path}/keys/{name}" for name in runs if name not in named and int(name.split("-")[1]) <= oldest.load_id]
+    paths += [f"{table.path}/published/epoch={epoch}" for epoch in table.epochs() if epoch < oldest.load_id // EPOCH]
+    return [p for p in paths if exists(spark, p)]
+
+
+def _newest_before(table: Table, cutoff: dt.datetime) -> Row | None:
+    """The last marker that was published before a time. Epochs are read from the last one back, until one has such a marker."""
+    for epoch in table.epochs():
+        markers = read_or_none(table.spark, f"{table.path}/published/epoch={epoch}", MARKER)
+        past = None if markers is None else markers.where(F.col("published_at") < F.lit(utc_text(cutoff)).cast("timestamp"))
+        if past is not None and (row := past.orderBy(F.desc("load_id")).first()):
+            return row
+    return None
 
 
 def expire_versions(table: Table, now: dt.datetime, retention_hours: int = RETENTION_HOURS) -> list[str]:

@@ -1,24 +1,29 @@
 """Published tables: plain parquet, one directory per load, visible once its marker is written.
 
-A load writes ``rows/load_id=N`` and then a one-row marker ``published/load_id=N``.
-Readers take the last marker and the loads it names, so a load that died is never
-seen and its retry overwrites only its own directory. One writer per table.
+A load writes directories of its own and then a one-row marker. A marker holds the whole state: which loads' rows count,
+which load each bucket of a dimension was last written by, and the runs of the key index. So the last marker alone is
+read. Markers lie in epochs of EPOCH loads, so finding the last one lists the epochs and one of them, however
+many loads there were. A load that died is never seen and its retry overwrites only its own directories. One writer per table.
+
+The current rows of a dimension lie in buckets by a hash of the natural key. A load writes the buckets it changes anew,
+whole, in its own directory; the marker goes on naming the older directories of the others.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.columns import utc_text
 from starloom.operators.clean import REJECT
-from starloom.operators.scd import ACTION, EXPIRE, KEEP
+from starloom.session import children
+from starloom.sources.keyindex import KEYS_PER_BUCKET, RUN_TYPE, KeyIndex
 from starloom.spec import struct_of
 
 MARKER = struct_of(
@@ -30,10 +35,15 @@ MARKER = struct_of(
         "rows_updated": "bigint",
         "rows_rejected": "bigint",
         "published_at": "timestamp",
+        "rows_current": "bigint",
+        "buckets": "int",
     }
 )
-NOTHING = Row(load_id=0, base_load_id=0, last_key=0)
-NUMBERED = "numbered"
+MARKER.add("bucket_loads", T.MapType(T.IntegerType(), T.LongType())).add("key_runs", T.ArrayType(RUN_TYPE))
+NOTHING = Row(load_id=0, base_load_id=0, last_key=0, rows_current=0, buckets=0, bucket_loads={}, key_runs=[])
+CARRIED = ("base_load_id", "last_key", "rows_current", "buckets", "bucket_loads", "key_runs")
+EPOCH = 100  # loads whose markers lie in one folder
+BUCKET = "bucket"
 ACCEPTED, REJECTED = "accepted", "rejected"
 
 
@@ -59,70 +69,106 @@ class Table:
     schema: T.StructType
     kind: str
     clustered_by: str | None = None
+    keys_per_bucket: int = KEYS_PER_BUCKET
 
     def rows_path(self, load_id: int) -> str:
         return f"{self.path}/rows/load_id={load_id}"
 
-    def marker(self) -> Row | None:
-        markers = read_or_none(self.spark, f"{self.path}/published", MARKER)
-        if markers is None:
-            return None
-        return markers.orderBy(F.col("load_id").desc()).first()
+    def history_path(self, load_id: int) -> str:
+        return f"{self.path}/history/load_id={load_id}"
 
-    def publish(self, load_id: int, published_at: dt.datetime, base: int = 0, **counts: int) -> None:
-        row = counts | {"base_load_id": base, "published_at": published_at}
+    def marker_path(self, load_id: int) -> str:
+        return f"{self.path}/published/epoch={load_id // EPOCH}/load_id={load_id}"
+
+    def marker(self) -> Row | None:
+        """The last marker. Folders of a marker that was not finished hold no row and are passed over."""
+        for epoch in self.epochs():
+            for load_id in numbered_children(self.spark, f"{self.path}/published/epoch={epoch}", "load_id"):
+                found = read_or_none(self.spark, self.marker_path(load_id), MARKER)
+                if found is not None and (row := found.withColumn("load_id", F.lit(load_id).cast("bigint")).first()):
+                    return row
+        return None
+
+    def epochs(self) -> list[int]:
+        """Epochs that have markers, the last first."""
+        return numbered_children(self.spark, f"{self.path}/published", "epoch")
+
+    def publish(self, load_id: int, published_at: dt.datetime, before: Row | None = None, **state) -> None:
+        """Make a load visible. What ``state`` does not give is as ``before``."""
+        row = {name: getattr(before or NOTHING, name) for name in CARRIED} | state | {"published_at": published_at}
         marker = one_row(self.spark, row, T.StructType([f for f in MARKER.fields if f.name != "load_id"]))
-        marker.write.mode("overwrite").parquet(f"{self.path}/published/load_id={load_id}")
+        marker.write.mode("overwrite").parquet(self.marker_path(load_id))
+
+    def key_index(self, keys: Sequence[str]) -> KeyIndex:
+        return KeyIndex(self.spark, f"{self.path}/keys", T.StructType([self.schema[k] for k in keys]), self.keys_per_bucket)
 
-    def append(self, rows: DataFrame, published_at: dt.datetime) -> int:
-        """Add plain rows as one load; gives how many were added. Without any, nothing is published."""
+    def append(self, rows: DataFrame, published_at: dt.datetime, keys: Sequence[str] = ()) -> int:
+        """Add plain rows as one load; gives how many were added. Without any, nothing is published. ``keys`` go to the key index."""
         last = self.marker()
-        base = last or NOTHING
-        return self._write(rows, base.load_id + 1, base.base_load_id, published_at, empty=last is None)
+        load_id = (last or NOTHING).load_id + 1
+        written = self._write(rows, load_id)
+        if written or last is None:
+            runs = (last or NOTHING).key_runs or []
+            if keys and not runs and last is not None and written:  # rows that came without keys
+                runs = self.key_index(keys).rebuilt(last.load_id, self.current(last))
+            if keys and written:
+                added = self.spark.read.schema(rows.schema).parquet(self.rows_path(load_id))
+                runs = self.key_index(keys).added(runs, load_id, added, written)
+            self.publish(load_id, published_at, last, rows_inserted=written, key_runs=runs)
+        return written
 
     def replace(self, rows: DataFrame, published_at: dt.datetime) -> int:
         """Plain rows in place of all earlier ones; readers see the old rows until the new are published."""
-        load_id = (self.marker() or NOTHING).load_id + 1
-        return self._write(rows, load_id, load_id, published_at)
+        last = self.marker()
+        load_id = (last or NOTHING).load_id + 1
+        written = self._write(rows, load_id)
+        self.publish(load_id, published_at, last, base_load_id=load_id, rows_inserted=written, key_runs=[])
+        return written
 
-    def _write(self, rows: DataFrame, load_id: int, base: int, published_at: dt.datetime, empty: bool = True) -> int:
+    def _write(self, rows: DataFrame, load_id: int) -> int:
         write_rows(rows, self.rows_path(load_id))
-        written = self.spark.read.schema(rows.schema).parquet(self.rows_path(load_id)).count()
-        if written or empty:
-            self.publish(load_id, published_at, base=base, rows_inserted=written)
-        return written
+        return self.spark.read.schema(rows.schema).parquet(self.rows_path(load_id)).count()
 
     def read(self) -> DataFrame:
         """The whole table; of a versioned dimension, history included."""
-        if self.kind == "dim2":
-            return self.current().unionByName(self.history())
-        return self.current()
+        last = self.marker()
+        rows = self.current(last) if last else self.empty()
+        return rows.unionByName(self.history(last)) if last and self.kind == "dim2" else rows
 
-    def current(self, last: Row | None = None, months: list[int] | None = None) -> DataFrame:
+    def current(self, last: Row | None = None, months: list[int] | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
         """Facts and in-place dimensions: all rows; versioned dimensions: current versions.
 
-        As of the last load, or of the load whose marker is given. Facts can be
-        limited to some months, the others' files are then not opened.
+        As of the last load, or of the load whose marker is given. Facts can be limited to some months, dimensions to some
+        buckets; the others' files are then not opened.
         """
-        last, rows = last or self.marker(), self._rows()
-        if last is None or rows is None:
+        last = last or self.marker()
+        if last is None:
+            return self.empty()
+        if self.kind.startswith("dim"):
+            return self._bucket_rows(last, buckets)
+        rows = self._rows()
+        if rows is None:
             return self.empty()
-        appended = F.col("load_id").between(last.base_load_id, last.load_id)
-        if self.kind == "rows":
-            visible = appended
-        elif self.kind == "fact":
-            visible = appended & (F.col("status") == ACCEPTED)
+        visible = F.col("load_id").between(last.base_load_id, last.load_id)
+        if self.kind == "fact":
+            visible = visible & (F.col("status") == ACCEPTED)
             visible = visible if months is None else visible & F.col("date_month").isin(months)
-        else:
-            visible = (F.col("load_id") == last.load_id) & F.col(ACTION).isin(KEEP, "update", NUMBERED)
         return rows.where(visible).select(*self.schema.names)
 
-    def history(self) -> DataFrame:
+    def _bucket_rows(self, last: Row, buckets: Sequence[int] | None) -> DataFrame:
+        """Only the directories that the marker names are listed."""
+        paths = [f"{self.rows_path(load)}/{BUCKET}={b}" for b, load in sorted(last.bucket_loads.items()) if buckets is None or b in buckets]
+        if not paths:
+            return self.empty()
+        return self.spark.read.schema(self.schema).parquet(*paths).select(*self.schema.names)
+
+    def history(self, last: Row | None = None) -> DataFrame:
         """Expired versions: each is written once, by the load that expired it."""
-        last, rows = self.marker(), self._rows()
+        last = last or self.marker()
+        rows = read_or_none(self.spark, f"{self.path}/history", T.StructType(self.schema.fields + struct_of({"load_id": "bigint"}).fields))
         if last is None or rows is None:
             return self.empty()
-        return rows.where((F.col("load_id") <= last.load_id) & (F.col(ACTION) == EXPIRE)).select(*self.schema.names)
+        return rows.where(F.col("load_id") <= last.load_id).select(*self.schema.names)
 
     def rejects(self) -> DataFrame | None:
         """Rows that facts' loads refused, with the reason and the load. Only their files are listed and read."""
@@ -140,11 +186,19 @@ class Table:
         parts = {"load_id": "bigint"}
         if self.kind == "fact":
             parts |= {"status": "string", "date_month": "int"}
-        elif self.kind != "rows":
-            parts[ACTION] = "string"
         return read_or_none(self.spark, f"{self.path}/rows", T.StructType(self.schema.fields + struct_of(parts).fields))
 
 
+def numbered_children(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers of the folders ``name=number`` in a folder, the largest first."""
+    names = [c.removeprefix(f"{name}=") for c in children(spark, path) if c.startswith(f"{name}=")]
+    return sorted(map(int, names), reverse=True)
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
 def read_or_none(
     spark: SparkSession, path: str, schema: T.StructType | None = None, base: str | None = None
 ) -> DataFrame | None:
@@ -161,13 +215,17 @@ def read_or_none(
 
 def one_row(spark: SparkSession, values: Mapping, schema: T.StructType) -> DataFrame:
     """A single row of literals; columns without a value are NULL."""
-    columns = [F.lit(_literal(values.get(f.name))).cast(f.dataType).alias(f.name) for f in schema.fields]
+    columns = [_literal(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
     return spark.range(1, numPartitions=1).select(*columns)
 
 
-def _literal(value):
+def _literal(value) -> Column:
     """Times as text, to be read in the zone of the session."""
-    return utc_text(value) if isinstance(value, dt.datetime) else value
+    if isinstance(value, dict):
+        return F.map_from_arrays(F.array(*map(F.lit, value)), F.array(*map(F.lit, value.values()))) if value else F.create_map()
+    if isinstance(value, list):
+        return F.array(*[F.struct(*map(F.lit, entry)) for entry in value])
+    return F.lit(utc_text(value) if isinstance(value, dt.datetime) else value)
 
 
 def write_rows(df: DataFrame, path: str, *parts: str) -> None:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom.operators.clean import conform, conform_trim, dedup_latest, drop_null_key
 from starloom.operators.facts import not_loaded
+from starloom.session import materialize, scratch_scope
 from starloom.sources.files import ARRIVAL, LINEAGE_FILE
 from starloom.sources.tables import Layout, Table
 from starloom.streaming.bronze import trigger
@@ -38,10 +39,17 @@ class CleansedTable:
         again; one that got through adds nothing the second time.
         """
         before = self.table.marker()
-        loaded = None if before is None else self.table.current(before)
         rows = drop_null_key(conform_trim(rows), keys)
-        fresh = not_loaded(dedup_latest(rows, keys, latest_by, first_by), loaded, keys, batch=rows)
-        return self.table.append(fresh.select(*self.table.schema.names), dt.datetime.now(dt.timezone.utc))
+        with scratch_scope(self.table.spark):
+            rows = materialize(dedup_latest(rows, keys, latest_by, first_by), "micro-batch")
+            fresh = not_loaded(rows, None if before is None else self._loaded(before, rows, keys), keys)
+            return self.table.append(fresh.select(*self.table.schema.names), dt.datetime.now(dt.timezone.utc), keys)
+
+    def _loaded(self, before: Row, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The keys the batch must be compared with: what the index has near them. A table written without an index is read whole."""
+        if before.key_runs:
+            return self.table.key_index(keys).near(before.key_runs, batch)
+        return self.table.current(before)
 
 
 def stream_upsert(

@@ -98,7 +98,7 @@ def test_incremental_objects_load_newer_files_once_and_a_failed_load_leaves_the_
     plan = metadata_rows(spark, RETAIL).where("object_name = 'retail_product'").withColumn("load_type", F.lit("INCREMENTAL"))
     file = tmp_path / "in" / RETAIL.folder / "products.csv"
     load = lambda stamp, batch: load_delivery(house, RETAIL, root, stamp, batch, plan)["retail_product"]
-    assert load(DAY1, 1) == {"rows_inserted": 8, "rows_updated": 0}
+    assert load(DAY1, 1) == {"rows_inserted": 8, "rows_updated": 0, "rows_rejected": 0}
     mark = house.watermark(RETAIL.source, "retail_product")
     assert load(DAY1, 2) == {} and house.watermark(RETAIL.source, "retail_product") == mark
     os.utime(file, (file.stat().st_mtime + 60,) * 2)
@@ -107,7 +107,7 @@ def test_incremental_objects_load_newer_files_once_and_a_failed_load_leaves_the_
         with pytest.raises(ZeroDivisionError):
             load(DAY2, 3)
     assert house.watermark(RETAIL.source, "retail_product") == mark
-    assert load(DAY2, 3) == {"rows_inserted": 0, "rows_updated": 0}
+    assert load(DAY2, 3) == {"rows_inserted": 0, "rows_updated": 0, "rows_rejected": 0}
     assert house.watermark(RETAIL.source, "retail_product") > mark
     house.purge_logs(dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=1))
     assert house.runs().count() == 2
@@ -120,7 +120,7 @@ def test_changed_delivery_cascades_from_customer_to_account(spark, tmp_path):
     load_delivery(house, BANKING, write_delivery(tmp_path / "one", BANKING), DAY1, 1)
     second = load_delivery(house, BANKING, write_delivery(tmp_path / "two", BANKING, ["email", "city"]), DAY2, 2)
     assert second["banking_customer"] == {
-        "locations_inserted": 0, "locations_updated": 1, "rows_inserted": 1, "rows_updated": 1, "rows_rejected": 0,
+        "locations_inserted": 0, "locations_updated": 1, "locations_rejected": 0, "rows_inserted": 1, "rows_updated": 1, "rows_rejected": 0,
     }
     assert second["banking_account"] == {"rows_inserted": 2, "rows_updated": 2, "rows_rejected": 0}
     assert second["banking_loan"] == {"rows_inserted": 0, "rows_updated": 0, "rows_rejected": 0}

@@ -1,7 +1,8 @@
 from helpers import rows
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import last_key, load_unique_keys, surrogate_keys
+from starloom.operators.keys import last_key, numbered, placed, surrogate_keys, task_counts
+from starloom.session import materialize
 
 
 def test_keys_follow_the_order_and_continue_after_the_last(spark):
@@ -26,6 +27,16 @@ def test_no_rows(spark):
     assert surrogate_keys(spark.range(0).selectExpr("cast(id AS string) AS k"), "sk", ["k"]).count() == 0
 
 
-def test_load_unique_keys(spark):
-    keyed = load_unique_keys(spark.range(100, numPartitions=4), "sk", 10)
-    assert keyed.select("sk").distinct().count() == 100 and keyed.agg(F.min("sk")).first()[0] == 11
+def test_written_rows_are_numbered_without_gaps_and_alike_whenever_they_are_read(spark):
+    made = spark.range(100, numPartitions=4).selectExpr("uuid() AS k")  # other rows each time the plan is run
+    written = materialize(placed(made), "placed")
+    keyed = numbered(written, "sk", 10)
+    assert keyed.columns == ["k", "sk"] and sorted(r.sk for r in keyed.collect()) == list(range(11, 111))
+    assert rows(keyed) == rows(keyed.repartition(3)) == rows(numbered(written, "sk", 10, task_counts(written)))
+
+
+def test_some_rows_of_each_task_are_numbered(spark):
+    ordered = spark.range(1000).selectExpr("id", "id % 3 = 0 AS new").repartitionByRange(5, "new").sortWithinPartitions(F.desc("new"), "id")
+    written = materialize(placed(ordered), "placed")
+    new = numbered(written.where("new"), "sk", 7, task_counts(written, "new"))
+    assert sorted(r.sk for r in new.collect()) == list(range(8, 8 + 334))
