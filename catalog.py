@@ -561,17 +561,50 @@ def ext_view_fact(spark, sf_dir):
     return house.fact(generic.SALES).read().drop("sale_key", "created_date")
 
 
-@query("compact_cluster")
-def compact_cluster(spark, sf_dir):
-    """Sales of two deliveries after compaction: the same rows in one load, clustered by date."""
+def compacted_sales(spark: SparkSession, sf_dir: str, column: str | list[str] | None = None) -> Warehouse:
+    """Sales of two deliveries, compacted."""
     dims = build_dims(spark, sf_dir, GENERIC, [lk.dim for lk in generic.SALES.lookups], waves=1)
     house = Warehouse(spark, fresh_folder(spark, "compact"))
     sales = stage(spark, sf_dir, "sales")
     house.load_fact(sales.where("currency_code = 'EUR'"), generic.SALES, STAMPS[1], dims)
     house.load_fact(sales.where("currency_code IS DISTINCT FROM 'EUR'"), generic.SALES, STAMPS[2], dims)
+    maintenance.compact_cluster(house.fact(generic.SALES), ["sale_id"], STAMPS[2].load_ts, column=column)
+    return house
+
+
+@query("compact_cluster")
+def compact_cluster(spark, sf_dir):
+    """Sales of two deliveries after compaction: the same rows in one load, clustered by date."""
+    return compacted_sales(spark, sf_dir).fact(generic.SALES).read().drop("sale_key", "created_date")
+
+
+@query("compact_curve")
+def compact_curve(spark, sf_dir):
+    """Sales of two deliveries compacted along a curve through date and customer, read by the statistics of their files."""
+    house = compacted_sales(spark, sf_dir, ["date_key", "customer_key"])
     table = house.fact(generic.SALES)
-    maintenance.compact_cluster(table, ["sale_id"], STAMPS[2].load_ts)
-    return table.read().drop("sale_key", "created_date")
+    maintenance.analyze_files(table, ["date_key", "customer_key"])
+    return table.current(where={"date_key": (19920101, 19961231), "customer_key": (1, 2**62)}).drop("sale_key", "created_date")
+
+
+@query("analyze_table")
+def analyze_table(spark, sf_dir):
+    """Statistics of the files of the published sales, put together for the table."""
+    table = published_sales(spark, sf_dir).fact(generic.SALES)
+    columns = ["date_key", "customer_key", "employee_key", "quantity"]
+    maintenance.analyze_files(table, columns)
+    return maintenance.table_statistics(table, columns)
+
+
+@query("generic_delivery")
+def generic_delivery(spark, sf_dir):
+    """Sales delivered with their dimensions as files, currencies first, by the seeded load plan."""
+    house, root = Warehouse(spark, fresh_folder(spark, "core")), fresh_folder(spark, "core-files")
+    for name, _, file in generic.LOAD_PLAN:
+        rows = stage(spark, sf_dir, name, 1)
+        rows.select(*deliveries.GENERIC.objects[name].columns).write.options(**files.CSV).csv(f"{root}/{deliveries.GENERIC.folder}/{file}")
+    deliveries.load_delivery(house, deliveries.GENERIC, root, STAMPS[1], 1)
+    return house.fact(generic.SALES).read().drop("sale_key", "created_date")
 
 
 # --- control ---------------------------------------------------------------------
@@ -643,8 +676,8 @@ def get_watermark(spark, sf_dir):
 
 @query("set_watermark")
 def set_watermark(spark, sf_dir):
-    """Marks of the first half of the month, then set from the errors and clicks of the second."""
-    later = read(spark, sf_dir, "events").where((F.col("ts") >= F.lit(MIDDLE)) & F.col("event_type").isin("error", "click"))
+    """Marks of the first half of the month, then set from the second; users without a later event of a type keep their mark."""
+    later = read(spark, sf_dir, "events").where(F.col("ts") >= F.lit(MIDDLE))
     updates = later.select(
         F.col("user_id").cast("string").alias("source_system"),
         F.col("event_type").alias("object_name"),

@@ -871,6 +871,12 @@ def report_checks() -> dict[str, str]:
             published, dim_select("dim_customer", "customer_key", ["customer_id", "source_system"], CUSTOMER_ATTRS)
         ),
         "compact_cluster": query(deliveries_ctes(), shown),
+        "compact_curve": query(deliveries_ctes(), shown + " WHERE date_key BETWEEN 19920101 AND 19961231"),
+        "generic_delivery": query(published, shown),
+        "analyze_table": query(published, " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS null_count,
+                       CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM fact_sales"""
+            for c in ("date_key", "customer_key", "employee_key", "quantity"))),
         "run_log": query(
             published,
             f"""SELECT 'load_dim_currency' AS procedure_name, 'SUCCESS' AS status,
@@ -979,7 +985,7 @@ def control_checks() -> dict[str, str]:
             [
                 EVENT_MARKS,
                 """later AS (SELECT CAST(user_id AS VARCHAR) AS source_system, event_type AS object_name, max(ts) AS mark
-                   FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND event_type IN ('error', 'click') GROUP BY ALL)""",
+                   FROM events WHERE ts >= TIMESTAMP '2024-01-16' GROUP BY ALL)""",
             ],
             """SELECT source_system, object_name, CAST(coalesce(l.mark, m.mark) AS VARCHAR) AS last_watermark_value,
                 CASE WHEN l.mark IS NULL THEN '2024-01-15 06:00:00' ELSE '2024-02-15 06:00:00' END AS updated_date

@@ -188,3 +188,17 @@ TRANSACTIONS = FactSpec(
     required=("account_id", "transaction_type", "transaction_amount"),
     latest_by=("transaction_date",),
 )
+
+# The source system, and object, place in the order and file of each load. Currencies come before all that look them up.
+SOURCE = "CORE"
+LOAD_PLAN = (
+    ("source_system", 1, "source_system.csv"),
+    ("currency", 1, "currency.csv"),
+    ("location", 5, "location.csv"),
+    ("customer", 10, "customer.csv"),
+    ("product", 10, "product.csv"),
+    ("employee", 10, "employee.csv"),
+    ("sales", 30, "sales.csv"),
+    ("orders", 30, "orders.csv"),
+    ("transactions", 30, "transactions.csv"),
+)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -24,7 +23,6 @@ RECOMMENDED = {
     "spark.ui.enabled": "false",
 }
 
-_local_scratch: dict[str, str] = {}
 _scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
@@ -40,18 +38,14 @@ def build_session(app: str = "starloom", master: str | None = None, **extra: str
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables, shared by all executors.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a temporary folder of its own.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local session without that setting has it in its warehouse folder.
     """
-    app_id = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        if app_id not in _local_scratch:
-            _local_scratch[app_id] = tempfile.mkdtemp(prefix="starloom-")
-        base = _local_scratch[app_id]
-    return f"{base.rstrip('/')}/starloom/{app_id}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{base.rstrip('/')}/starloom/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -44,6 +44,7 @@ NOTHING = Row(load_id=0, base_load_id=0, last_key=0, rows_current=0, buckets=0,
 CARRIED = ("base_load_id", "last_key", "rows_current", "buckets", "bucket_loads", "key_runs")
 EPOCH = 100  # loads whose markers lie in one folder
 BUCKET = "bucket"
+FILE, FILE_ROWS = "file", "file_rows"
 ACCEPTED, REJECTED = "accepted", "rejected"
 
 
@@ -77,6 +78,9 @@ class Table:
     def history_path(self, load_id: int) -> str:
         return f"{self.path}/history/load_id={load_id}"
 
+    def stats_path(self, load_id: int) -> str:
+        return f"{self.path}/stats/load_id={load_id}"
+
     def marker_path(self, load_id: int) -> str:
         return f"{self.path}/published/epoch={load_id // EPOCH}/load_id={load_id}"
 
@@ -135,26 +139,51 @@ class Table:
         rows = self.current(last) if last else self.empty()
         return rows.unionByName(self.history(last)) if last and self.kind == "dim2" else rows
 
-    def current(self, last: Row | None = None, months: list[int] | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+    def current(
+        self, last: Row | None = None, months: list[int] | None = None, buckets: Sequence[int] | None = None, where: Mapping[str, tuple] | None = None
+    ) -> DataFrame:
         """Facts and in-place dimensions: all rows; versioned dimensions: current versions.
 
         As of the last load, or of the load whose marker is given. Facts can be limited to some months, dimensions to some
-        buckets; the others' files are then not opened.
+        buckets; the others' files are then not opened. ``where`` keeps rows whose columns lie between two values, both included,
+        and passes over files that can have none by their statistics, where they have been analysed.
         """
         last = last or self.marker()
         if last is None:
             return self.empty()
         if self.kind.startswith("dim"):
             return self._bucket_rows(last, buckets)
-        rows = self._rows()
+        rows = self.rows_with_parts(self._paths_of(last, where) if where else None)
         if rows is None:
             return self.empty()
         visible = F.col("load_id").between(last.base_load_id, last.load_id)
         if self.kind == "fact":
             visible = visible & (F.col("status") == ACCEPTED)
             visible = visible if months is None else visible & F.col("date_month").isin(months)
+        for name, (low, high) in (where or {}).items():
+            visible = visible & F.col(name).between(F.lit(low), F.lit(high))
         return rows.where(visible).select(*self.schema.names)
 
+    def _paths_of(self, last: Row, where: Mapping[str, tuple]) -> list[str]:
+        """Files that can hold rows within the limits, and the folders of loads without statistics. As many paths as Spark would list itself."""
+        stats = self.file_statistics(last)
+        done = set() if stats is None else set(numbered_children(self.spark, f"{self.path}/stats", "load_id"))
+        loads = numbered_children(self.spark, f"{self.path}/rows", "load_id")
+        paths = [self.rows_path(n) for n in loads if last.base_load_id <= n <= last.load_id and n not in done]
+        if stats is not None:
+            fits = F.lit(True)
+            for name, (low, high) in where.items():
+                if f"{name}_min" in stats.columns:
+                    fits = fits & F.coalesce((F.col(f"{name}_min") <= F.lit(high)) & (F.col(f"{name}_max") >= F.lit(low)), F.col(f"{name}_nulls").isNull())
+            paths += [r[0] for r in stats.where(fits).select(FILE).toLocalIterator()]
+        return paths
+
+    def file_statistics(self, last: Row | None = None) -> DataFrame | None:
+        """The statistics of the analysed files in use."""
+        last = last or self.marker()
+        stats = None if last is None else read_or_none(self.spark, f"{self.path}/stats")
+        return None if stats is None else stats.where(F.col("load_id").between(last.base_load_id, last.load_id))
+
     def _bucket_rows(self, last: Row, buckets: Sequence[int] | None) -> DataFrame:
         """Only the directories that the marker names are listed."""
         paths = [f"{self.rows_path(load)}/{BUCKET}={b}" for b, load in sorted(last.bucket_loads.items()) if buckets is None or b in buckets]
@@ -182,11 +211,15 @@ class Table:
     def empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 
-    def _rows(self) -> DataFrame | None:
+    def rows_with_parts(self, paths: list[str] | None = None) -> DataFrame | None:
+        """All rows ever written to a fact or appended table, with the load and, of facts, status and month; or those at some paths."""
         parts = {"load_id": "bigint"}
         if self.kind == "fact":
             parts |= {"status": "string", "date_month": "int"}
-        return read_or_none(self.spark, f"{self.path}/rows", T.StructType(self.schema.fields + struct_of(parts).fields))
+        schema, rows = T.StructType(self.schema.fields + struct_of(parts).fields), f"{self.path}/rows"
+        if paths is None:
+            return read_or_none(self.spark, rows, schema)
+        return self.spark.read.schema(schema).option("basePath", rows).parquet(*paths) if paths else None
 
 
 def numbered_children(spark: SparkSession, path: str, name: str) -> list[int]:

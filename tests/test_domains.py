@@ -13,7 +13,7 @@ from starloom.operators import scd
 from starloom.operators.clean import REJECT
 from starloom.operators.control import PIPELINE_METADATA
 from starloom.plans import banking, generic, healthcare, retail
-from starloom.plans.deliveries import BANKING, HEALTHCARE, RETAIL, check_fact, load_delivery, metadata_rows
+from starloom.plans.deliveries import BANKING, GENERIC, HEALTHCARE, RETAIL, check_fact, load_delivery, metadata_rows, seed
 from starloom.plans.loads import Warehouse
 from starloom.session import exists, materialize, scratch_scope
 from starloom.sources.files import read_csv, stage_stamp
@@ -115,6 +115,32 @@ def test_incremental_objects_load_newer_files_once_and_a_failed_load_leaves_the_
     assert house.runs().isEmpty()
 
 
+def test_the_load_plan_is_seeded_once_and_read_from_its_table(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    root = write_delivery(tmp_path / "in", RETAIL)
+    load_delivery(house, RETAIL, root, DAY1, 1)
+    plan, systems = house.dim(PIPELINE_METADATA), house.dim(generic.SOURCE_SYSTEM)
+    assert plan.current().count() == 4 and [r[0] for r in rows(systems.current(), "source_system_code")] == [RETAIL.source]
+    seed(house, RETAIL, DAY2)  # known rows are written again, the source system stays
+    assert {r[0] for r in rows(plan.current(), "updated_by")} == {"tester"} and rows(systems.current(), "updated_by") == [(None,)]
+    other = Warehouse(spark, str(tmp_path / "other"))
+    some = metadata_rows(spark, RETAIL).withColumn("is_active", F.col("object_name") == "retail_product")
+    seed(other, RETAIL, DAY1, some)
+    seed(other, RETAIL, DAY2)  # what is switched off stays so
+    assert list(load_delivery(other, RETAIL, root, DAY2, 1)) == ["retail_product"]
+
+
+def test_accounts_have_a_currency_once_currencies_are_delivered(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    (tmp_path / "core" / GENERIC.folder).mkdir(parents=True)
+    (tmp_path / "core" / GENERIC.folder / "currency.csv").write_text("currency_code,currency_name,symbol\nEUR,Euro,E\n")
+    only = metadata_rows(spark, GENERIC).where("object_name = 'currency'")
+    load_delivery(house, GENERIC, str(tmp_path / "core"), DAY1, 1, only)
+    load_delivery(house, BANKING, write_delivery(tmp_path / "in", BANKING), DAY1, 1)
+    assert {r[0] for r in rows(house.dim(banking.ACCOUNT).current(), "currency_key")} == {1}
+    assert {r[0] for r in rows(house.fact(banking.BANK_TRANSACTIONS).read(), "currency_key")} == {1}
+
+
 def test_changed_delivery_cascades_from_customer_to_account(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "house"))
     load_delivery(house, BANKING, write_delivery(tmp_path / "one", BANKING), DAY1, 1)

@@ -1,8 +1,9 @@
 import datetime as dt
 import os
+from dataclasses import replace
 
 import pytest
-from helpers import at, rows
+from helpers import at, rows, scanned_files
 from test_files import put
 
 from starloom.sources.files import text_schema
@@ -135,3 +136,20 @@ def test_alerts_of_a_stream_come_at_once_and_count_late_rows(spark, tmp_path):
     assert alerts_after("failed", failed, 0, late) == [("09:55", 2), ("10:00", 2), ("10:05", 2)]
     metric = lambda rows: stream_metric(rows, "end_time", "v")
     assert alerts_after("metric", metric, 44, (base + dt.timedelta(days=2), "SUCCESS", 0.0)) == [("10:05", 45.0)]
+
+
+def test_rows_read_for_a_micro_batch_do_not_grow_with_the_table(spark, tmp_path):
+    schema = text_schema(["id", "v"])
+    target = CleansedTable(spark, Layout(str(tmp_path)), "things", schema)
+    target.table = replace(target.table, keys_per_bucket=100)
+    things = lambda a, b: spark.range(a, b).selectExpr("cast(id AS string) AS id", "'x' AS v")
+    few = things(0, 5).unionAll(things(10**6, 10**6 + 5))
+    read = []
+    for n in (2_000, 20_000):
+        target.append_new(things(0, n), ["id"], [])
+        last = target.table.marker()
+        near = target.table.key_index(["id"]).near(last.key_runs, few)
+        read.append((scanned_files(near), near.count()))
+    assert all(files <= 20 and found == 5 for files, found in read), read
+    assert target.append_new(few, ["id"], []) == 5 and target.append_new(few, ["id"], []) == 0
+    assert target.read().count() == 20_005

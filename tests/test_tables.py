@@ -1,12 +1,14 @@
 import datetime as dt
 import os
 from dataclasses import replace
+from decimal import Decimal
 
 import pytest
-from helpers import at, day, rows
+from helpers import at, day, rows, scanned_files
 from pyspark.sql import functions as F
 from test_scd import PERSON, person
 
+from starloom.operators import control
 from starloom.operators.clean import REJECT
 from starloom.operators.facts import batch_months
 from starloom.plans import generic
@@ -14,7 +16,7 @@ from starloom.plans.loads import Warehouse
 from starloom.plans.shared_tables import STAMPS, stage
 from starloom.session import children
 from starloom.sources import maintenance
-from starloom.sources.tables import write_rows
+from starloom.sources.tables import Table, write_rows
 from starloom.spec import HIGH_DATE
 
 SF = "/root/testdata/sf0.001"
@@ -148,27 +150,6 @@ def test_expired_dimension_loads_keep_the_history(house, text):
     assert segments(house) == before
 
 
-def scanned_files(df):
-    """Files that a plan's scans open, after pruning."""
-    plan = df._jdf.queryExecution().executedPlan()
-    df.collect()
-    total, todo = 0, [plan]
-    while todo:
-        node = todo.pop()
-        name = node.getClass().getSimpleName()
-        if name == "AdaptiveSparkPlanExec":
-            todo.append(node.executedPlan())
-            continue
-        if name.endswith("QueryStageExec"):
-            todo.append(node.plan())
-            continue
-        if name == "FileSourceScanExec":
-            total += node.metrics().apply("numFiles").value()
-        children = node.children()
-        todo += [children.apply(k) for k in range(children.size())]
-    return total
-
-
 KEYS = ["source_system", "sale_id"]
 
 
@@ -300,6 +281,75 @@ def test_the_last_of_ten_thousand_loads_is_found_by_two_listings(house, spark, t
     assert table.marker().load_id == 9_998
 
 
+def test_a_curve_lets_filters_on_either_column_pass_over_files(spark, tmp_path):
+    schema = "day date, customer string, amount decimal(9,2), note string"
+    made = spark.range(20_000).selectExpr(
+        "date_add(DATE '2024-01-01', cast(pmod(hash(id, 1), 365) AS int)) AS day", "format_string('CUST%06d', pmod(hash(id, 2), 5000)) AS customer",
+        "cast(pmod(hash(id), 1000) / 7 AS decimal(9,2)) AS amount", "if(id % 50 = 0, NULL, cast(id AS string)) AS note",
+    )
+    table = Table(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, "rows")
+    table.append(made, DAY1.load_ts)
+    table.append(spark.createDataFrame([(None, None, None, None)] * 10, schema), DAY2.load_ts)
+    before = rows(table.read())
+    maintenance.compact_cluster(table, ["note"], DAY3.load_ts, files=32, column=["day", "customer"])
+    assert rows(table.read()) == before
+    limits = {"day": (day("2024-03-01"), day("2024-03-10")), "customer": ("CUST001000", "CUST001100"), "amount": (Decimal("3.00"), Decimal("4.00"))}
+    files = scanned_files(table.current())
+    assert 24 <= files <= 32
+    asked = {c: table.current(where={c: limit}) for c, limit in limits.items()}
+    want = {c: rows(made.where(F.col(c).between(*limit))) for c, limit in limits.items()}
+    assert all(rows(asked[c]) == want[c] and scanned_files(asked[c]) == files for c in limits)  # not analysed yet
+    assert maintenance.analyze_files(table, ["day", "customer"]) == files and maintenance.analyze_files(table, ["day", "customer"]) == 0
+    asked = {c: table.current(where={c: limit}) for c, limit in limits.items()}
+    assert all(rows(asked[c]) == want[c] for c in limits)
+    opened = {c: scanned_files(df) for c, df in asked.items()}
+    assert opened["day"] <= 12 and opened["customer"] <= 12 and opened["amount"] == files, opened
+    both = table.current(where={"day": limits["day"], "customer": limits["customer"]})
+    assert scanned_files(both) <= 4 and rows(both) == rows(made.where(F.col("day").between(*limits["day"]) & F.col("customer").between(*limits["customer"])))
+    assert table.current(where={"day": (day("1999-01-01"), day("1999-01-02"))}).count() == 0
+    table.append(made.limit(5).withColumn("day", F.lit(day("1999-01-01"))), DAY3.load_ts)  # a load without statistics is read whole
+    assert table.current(where={"day": (day("1999-01-01"), day("1999-01-02"))}).count() == 5
+    shown = maintenance.table_statistics(table, ["day", "customer"]).collect()
+    assert [tuple(r) for r in shown] == [("day", 20_010, 10, "2024-01-01", "2024-12-30"), ("customer", 20_010, 10, "CUST000000", "CUST004999")]
+
+
+def test_a_purge_that_dies_loses_no_log_row(house, text, monkeypatch):
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run = {"procedure_name": "p", "status": "SUCCESS"}
+    for key, age in ((1, 100), (2, 10), (3, 1)):
+        house.append_run(run | {"run_key": key, "start_time": now - dt.timedelta(days=age)})
+    kept = lambda: [r[0] for r in rows(house.runs(), "run_key")]
+    with monkeypatch.context() as patch:
+        patch.setattr("starloom.plans.loads.purge_logs", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            house.purge_logs(now)
+    assert kept() == [1, 2, 3]
+    os.makedirs(house._generation_path("log_etl_run", 1) + "/_temporary")  # of a purge that did not finish
+    assert kept() == [1, 2, 3]
+    with monkeypatch.context() as patch:
+        patch.setattr("starloom.plans.loads.delete", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            house.purge_logs(now)
+    assert kept() == [2, 3]
+    house.append_run(run | {"run_key": 4, "start_time": now})
+    house.purge_logs(now + dt.timedelta(days=85))
+    assert kept() == [3, 4] and len(os.listdir(house.layout.path("audit", "log_etl_run"))) == 1
+
+
+def test_rows_logged_during_a_purge_are_taken_over(house, monkeypatch):
+    now = dt.datetime(2024, 5, 1)
+    house.append_run({"run_key": 1, "start_time": now, "procedure_name": "p", "status": "SUCCESS"})
+    plain = control.purge_logs
+
+    def late(log, *args):
+        house.append_run({"run_key": 2, "start_time": now, "procedure_name": "q", "status": "SUCCESS"})
+        return plain(log, *args)
+
+    monkeypatch.setattr("starloom.plans.loads.purge_logs", late)
+    house.purge_logs(now)
+    assert [r[0] for r in rows(house.runs(), "run_key")] == [1, 2]
+
+
 def test_statistics(spark):
     spark.sql("CREATE TABLE stats_probe USING parquet AS SELECT id AS k FROM range(10)")
     try:
