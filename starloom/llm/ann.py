@@ -49,6 +49,12 @@ class Index:
         return (self.centroids**2).sum(axis=1)[None, :] - 2 * vectors @ self.centroids.T
 
 
+def _home(index: Index, vectors: np.ndarray) -> np.ndarray:
+    """The nearest list of each vector, worked out for some vectors at a time: all distances at once would be hundreds of megabytes."""
+    parts = [np.argmin(index.nearest_lists(vectors[at : at + 1024]), axis=1) for at in range(0, len(vectors), 1024)]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
 def fitted(sample: np.ndarray, rows: int, k: int, seed: int = 7) -> Index:
     """Lists for ``rows`` vectors like those in ``sample``; the probing share reaches RECALL on the sample itself."""
     random = np.random.default_rng(seed)
@@ -57,7 +63,7 @@ def fitted(sample: np.ndarray, rows: int, k: int, seed: int = 7) -> Index:
     lists = int(np.clip(rows // LIST_SIZE, 1, min(MOST_LISTS, max(1, len(sample) // 8))))
     centroids = sample[random.choice(len(sample), lists, replace=False)]
     for _ in range(8):
-        home = np.argmin((centroids**2).sum(axis=1)[None, :] - 2 * sample @ centroids.T, axis=1)
+        home = _home(Index(rotation, centroids, lists), sample)
         counts = np.bincount(home, minlength=lists)
         sums = np.zeros_like(centroids)
         np.add.at(sums, home, sample)
@@ -65,7 +71,7 @@ def fitted(sample: np.ndarray, rows: int, k: int, seed: int = 7) -> Index:
     index = Index(rotation, centroids, lists)
     if lists == 1:
         return index
-    home = np.argmin(index.nearest_lists(sample), axis=1)
+    home = _home(index, sample)
     asked = random.choice(len(sample), min(200, len(sample)), replace=False)
     far = (sample**2).sum(axis=1)[None, :] - 2 * sample[asked] @ sample.T
     far[np.arange(len(asked)), asked] = np.inf
@@ -133,6 +139,7 @@ def _stored_part(index: Index):
         return pa.table(
             {
                 "list": table["list"][:1],
+                "part": table["part"][:1],
                 "ids": pa.array([table["id"].to_numpy().tobytes()], pa.binary()),
                 "vectors": pa.array([vectors.tobytes()], pa.binary()),
                 "blocks": pa.array([blocks], pa.list_(pa.binary())),
@@ -225,8 +232,9 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     asked = usable(queries, id_col, vector_col).where(F.size("vector") == lengths.n).dropDuplicates()
     # Ids hash evenly, so this is a random sample of about SAMPLE vectors, however many there are; it fits the lists only.
     picked = base.where(F.pmod(F.xxhash64("id"), F.lit(lengths["count"])) < SAMPLE)
-    sample = sorted(picked.collect(), key=lambda row: row.id) or base.limit(SAMPLE).collect()
-    index = fitted(np.array([row.vector for row in sample]), lengths["count"], k)
+    sample = picked.toArrow()
+    sample = sample.sort_by("id") if len(sample) else base.limit(SAMPLE).toArrow()
+    index = fitted(_matrix(sample["vector"].combine_chunks()), lengths["count"], k)
 
     shape = "id long, vector array<double>, list int"
     homes = materialize(base.mapInArrow(_homes(index), shape), "homes")
@@ -236,7 +244,7 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     parts = spark.createDataFrame([(i, int(-(-n // PART))) for i, n in enumerate(sizes) if n], "list int, parts int")
     split = homes.join(F.broadcast(parts), "list").withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) as int)"))
     stored = split.select("id", "vector", "list", "part").groupBy("list", "part").applyInArrow(
-        _stored_part(index), "list int, ids binary, vectors binary, blocks array<binary>"
+        _stored_part(index), "list int, part int, ids binary, vectors binary, blocks array<binary>"
     )
     stored = materialize(stored, "parts")
 
@@ -246,7 +254,9 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     grouped = dealt.select("id", "vector", "list", "group").groupBy("list", "group").applyInArrow(_query_group, "list int, queries binary, asked binary")
     grouped = materialize(grouped, "query-groups")
 
-    met = stored.join(grouped, "list").select("ids", "vectors", "blocks", "queries", "asked")
+    # Every part of a list meets the list's groups in a place of its own, so a crowded list is no task's alone.
+    sent = grouped.join(F.broadcast(parts), "list").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    met = stored.join(sent, ["list", "part"]).select("ids", "vectors", "blocks", "queries", "asked")
     found = met.mapInArrow(_search(index, k), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")

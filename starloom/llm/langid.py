@@ -33,22 +33,24 @@ def folded(text: Column) -> Column:
 def learned_dictionaries(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """One dictionary per non-null language of ``rows``, the most frequent language first.
 
-    It holds the middle SAMPLE_CHARS letters of about SAMPLE_TEXTS texts picked by the hash of their id, so its size does not
-    grow with the rows; all rows are counted. Languages without any letter in their texts are left out.
+    It holds the middle SAMPLE_CHARS letters of about SAMPLE_TEXTS texts picked by the hash of id and text, so its size does not
+    grow with the rows; all rows are counted, and rows that repeat are one. Languages without any letter in their texts are left out.
     """
     given = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     given = given.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r.n for r in given.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    given = given.withColumn("draw", F.xxhash64("id", "text"))
+    # How many different rows a language has decides the share that is picked, so a language of any size has some, and one of few has all.
+    kinds = given.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("draw").alias("different")).collect()
+    counts = {r.lang: r.n for r in kinds}
     if not counts:
         return {}
-    # Ids hash evenly, so about SAMPLE_TEXTS rows of each language are picked, however many there are.
-    share = given.sparkSession.createDataFrame(list(counts.items()), "lang string, n long")
-    picked = given.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("id"), F.col("n")) < SAMPLE_TEXTS)
+    share = given.sparkSession.createDataFrame([(r.lang, max(1, r.different)) for r in kinds], "lang string, different long")
+    picked = given.join(F.broadcast(share), "lang").where(F.pmod("draw", F.col("different")) < SAMPLE_TEXTS)
     letters = folded(F.col("text"))
     middle = F.substring(letters, F.greatest(F.lit(1), ((F.length(letters) - SAMPLE_CHARS) / 2).cast("int")), F.lit(SAMPLE_CHARS))
-    pieces = picked.select("lang", "id", middle.alias("piece")).dropDuplicates(["lang", "id"])
+    pieces = picked.select("lang", "id", "draw", middle.alias("piece")).dropDuplicates(["lang", "draw"])
     found: dict[str, list[str]] = {}
-    for row in sorted(pieces.collect(), key=lambda r: (r.lang, r.id)):
+    for row in sorted(pieces.collect(), key=lambda r: (r.lang, r.id, r.draw)):
         found.setdefault(row.lang, []).append(row.piece)
     return {lang: " ".join(found[lang]).encode() for lang in sorted(found, key=lambda x: (-counts[x], x))}
 

@@ -3,7 +3,9 @@
 A logistic classifier of the text gives every document evidence. Grouped sums of it, by host and by path within the host,
 become posterior means of a beta distribution: a path shrinks toward its host and a host toward the whole table, the more
 the fewer documents it has. How strongly is estimated from the spread of the groups (method of moments). A document's score joins
-its own evidence with the posterior of its path, from which its own share has been taken out.
+its own evidence with the posterior of its path, from which its own share has been taken out, as it has from those of the host and of
+the whole table that the path shrinks toward: a document's label says nothing about itself. Only what is fitted on all, the classifier and the two
+strengths, has seen it as one of many.
 """
 
 from __future__ import annotations
@@ -126,16 +128,20 @@ def scored(
 
     by_path = materialize(told.groupBy("host", "path").agg(F.sum("own").alias("s"), F.count("*").alias("n")), "paths")
     by_host = by_path.groupBy("host").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    whole = by_path.agg((F.sum("s") / F.sum("n")).alias("middle")).first().middle
-    middle = 0.5 if whole is None else float(whole)
+    whole = by_path.agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
+    middle = float(whole.s) / whole.n if whole.n else 0.5
     by_host = materialize(by_host.withColumn("middle", F.lit(middle)), "hosts")
     pull = by_host.agg(_strength(by_host, "middle")).first().strength or 1.0
-    hosts = by_host.select("host", ((F.col("s") + F.lit(pull * middle)) / (F.col("n") + F.lit(pull))).alias("host_posterior"))
+    posterior = (F.col("s") + F.lit(pull * middle)) / (F.col("n") + F.lit(pull))
+    hosts = by_host.select("host", F.col("s").alias("host_s"), F.col("n").alias("host_n"), posterior.alias("host_posterior"))
     paths = materialize(by_path.join(hosts, "host"), "path-sums")
     near = paths.agg(_strength(paths, "host_posterior")).first().strength or 1.0
 
     joined = told.join(paths, ["host", "path"])
-    others = (F.col("s") - F.col("own") + F.lit(near) * F.col("host_posterior")) / (F.col("n") - 1 + F.lit(near))
+    own = F.col("own")
+    over_all = (F.lit(float(whole.s or 0.0)) - own) / F.lit(whole.n - 1) if whole.n and whole.n > 1 else F.lit(0.5)
+    on_host = (F.col("host_s") - own + F.lit(pull) * over_all) / (F.col("host_n") - 1 + F.lit(pull))
+    others = (F.col("s") - own + F.lit(near) * on_host) / (F.col("n") - 1 + F.lit(near))
     prior = (F.col("s") + F.lit(near) * F.col("host_posterior")) / (F.col("n") + F.lit(near))
     score = 1 / (1 + F.exp(-(F.col("z") - F.lit(base) + logit(others))))
     out = joined.select(

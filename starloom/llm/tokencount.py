@@ -66,6 +66,7 @@ class MergeCounter:
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.word = regex.compile(split["pattern"]["Regex"])
+        self.path = path
         self.words = _Counts(self.merged)
         self.stretches = _Counts(lambda text: sum(map(self.words.__getitem__, self.word.findall(text))))
 
@@ -122,6 +123,8 @@ class MergeCounter:
         return sum(map(self.stretches.__getitem__, stretches))
 
     def count(self, text: str) -> int:
+        if not text.isascii() and _young().search(text):
+            return len(_library(self.path).encode(text, add_special_tokens=False).ids)
         if self.added is None or not self.added.search(text):
             return self._plain(text)
         return sum(map(self._plain, self.added.split(text))) + len(self.added.findall(text))
@@ -130,6 +133,39 @@ class MergeCounter:
 _CONTROL = re.compile("[\x1c-\x1f]")
 
 
+# Fixed value: the first character after the planes whose tables of letters and of lower case all versions of Unicode in use share.
+_SETTLED = "\u0250"
+_SCRIPTS = (("\u0370", "\u052f"), ("\u0591", "\u06ff"), ("\u0900", "\u0dff"), ("\u0e00", "\u0eff"), ("\u1e00", "\u1fff"), ("\u2000", "\u206f"),
+            ("\u20a0", "\u20bf"), ("\u2100", "\u23ff"), ("\u2500", "\u27bf"), ("\u3000", "\u30ff"), ("\u3400", "\u4dbf"), ("\u4e00", "\u9fff"),
+            ("\uac00", "\ud7a3"), ("\uff00", "\uffef"), ("\U0001f300", "\U0001f64f"), ("\U0001f680", "\U0001f6ff"), ("\U0001f900", "\U0001f9ff"))
+
+
+@cache
+def _young() -> re.Pattern:
+    """Characters whose class may depend on the version of Unicode, so that two libraries can differ on them: those outside the scripts
+    of _SCRIPTS, and those in them that this Python does not know. Texts with one of them are rare; they go to the library."""
+    ranges, first = [], None
+    known = [(0, ord(_SETTLED) - 1), *((ord(a), ord(b)) for a, b in _SCRIPTS)]
+    for low, high in known:
+        for code in range(low, high + 2):
+            odd = code <= high and unicodedata.category(chr(code)) == "Cn"
+            if odd and first is None:
+                first = code
+            elif not odd and first is not None:
+                ranges.append((first, code - 1))
+                first = None
+    ends = [*known, (0x110000, 0x110000)]
+    ranges += [(a[1] + 1, b[0] - 1) for a, b in zip(ends, ends[1:]) if b[0] > a[1] + 1]
+    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in ranges) + "]")
+
+
+@cache
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 @cache
 def counter(path: str) -> MergeCounter:
     return MergeCounter(path)

@@ -29,6 +29,24 @@ def test_counts_are_the_librarys(spark, documents):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+def test_rare_letters_are_counted_as_the_library_does():
+    """Random strings of characters of all planes, settled scripts and rare ones, beside what the rules look at."""
+    count, own, rng = tokencount.counter(WORDS).count, Tokenizer.from_file(WORDS), random.Random(11)
+    beside = ["'LL", "'s", "İ", "a", "Z", " ", "9", "!", "Σ", "\u0301"]
+    codes = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    low = [c for c in codes if c < 0x3100]
+    texts = ["\u209e'LL", "\ua7cb'll", "x\ua7dc's"]
+    for _ in range(20_000):
+        rare = [chr(rng.choice(low if rng.random() < 0.8 else codes)) for _ in range(rng.randint(1, 3))]
+        parts = rare + rng.choices(beside, k=rng.randint(1, 4))
+        rng.shuffle(parts)
+        texts.append("".join(parts))
+    got = [count(t) for t in texts]
+    want = [len(e.ids) for e in own.encode_batch(texts, add_special_tokens=False)]
+    wrong = [(t, g, w) for t, g, w in zip(texts, got, want) if g != w]
+    assert not wrong, (len(wrong), [(ascii(t), g, w) for t, g, w in wrong[:12]])
+
+
 def test_counts_of_nothing(documents):
     assert tokencount.token_counts(documents(), WORDS).collect() == []
 

@@ -35,3 +35,12 @@ def test_learning_from_little(spark):
     none = spark.createDataFrame([(1, None, "en"), (2, "...", "fr"), (3, "text", None), (None, "text", "de")], "doc_id long, text string, lang string")
     assert langid.learned_dictionaries(none) == {}
     assert langid.learned_dictionaries(none.limit(0)) == {}
+
+
+def test_every_language_is_learned_whatever_repeats(spark):
+    rows = [(7, f"english words number {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]} here", "en") for i in range(600)]
+    rows += [(100 + i, "des mots français", "fr") for i in range(98)] + [(3, "immer dasselbe", "de")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = langid.learned_dictionaries(docs)
+    assert list(learned) == ["de", "en", "fr"] and learned["de"] == b"immer dasselbe"
+    assert learned == langid.learned_dictionaries(docs.repartition(9))

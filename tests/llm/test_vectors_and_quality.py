@@ -111,3 +111,33 @@ def test_without_labels_or_rows(spark):
     got = quality.scored(docs, none, F.col("h"), F.col("p")).collect()
     assert [(r.evidence, round(r.score, 6), r.kept) for r in got] == [(0.5, 0.5, True)] * 2
     assert quality.scored(docs.limit(0), none.limit(0), F.col("h"), F.col("p")).collect() == []
+
+
+def test_a_label_says_nothing_about_its_own_document(spark):
+    rows = [(i, "word " * (10 + i % 7), f"h{i % 40}", f"h{i % 40}/{i % 3}") for i in range(2000)] + [(5000, "word " * 12, "alone", "alone/a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h string, p string")
+    known = [(i, float(i % 5 == 0 or i % 2)) for i in range(0, 2000, 3)]
+    scores = []
+    for own in (0.0, 1.0):
+        labels = spark.createDataFrame([*known, (5000, own)], "doc_id long, quality double")
+        scores.append({r.doc_id: r.score for r in quality.scored(docs, labels, F.col("h"), F.col("p")).where("doc_id in (5000, 4)").collect()})
+    assert abs(scores[0][5000] - scores[1][5000]) < 0.02 and abs(scores[0][4] - scores[1][4]) < 0.02
+
+
+def test_the_only_document(spark):
+    docs = spark.createDataFrame([(1, "a b c", "h", "p")], "doc_id long, text string, h string, p string")
+    label = spark.createDataFrame([(1, 1.0)], "doc_id long, quality double")
+    got = quality.scored(docs, label, F.col("h"), F.col("p")).collect()
+    assert [(r.doc_id, round(r.score, 6)) for r in got] == [(1, 0.5)]
+
+
+def test_a_crowded_list_is_searched_whole(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PART", 64)
+    monkeypatch.setattr(ann, "GROUP", 8)
+    rng = np.random.default_rng(5)
+    points = rng.standard_normal((900, 8)) * 0.01
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    asked = rows[::10]
+    got = ann.neighbours(table(spark, rows), table(spark, asked), k=3).collect()
+    want = brute(rows, asked, 3)
+    assert len(got) == 3 * len(asked) and sum(r[2] in {i for _, i in want[r.query_id]} for r in got) >= 0.95 * len(got)
