@@ -20,6 +20,7 @@ def rows(df, *columns):
 
 def scanned_files(df):
     """Files that a plan's scans open, after pruning."""
+    df = df.select("*")  # a plan counts its files when it is run for the first time
     plan = df._jdf.queryExecution().executedPlan()
     df.collect()
     total, todo = 0, [plan]
