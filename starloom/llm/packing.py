@@ -4,6 +4,7 @@ Every source is a queue of token ids. A round grants each source credit in the
 ratio of the target shares and takes as many tokens as the credit covers; what
 is left is carried into the next round, so after any number of windows a source
 is within a token of its target. When a queue is empty the others share its part.
+Sources beyond the OWN_QUEUES largest share SHARED_QUEUES queues, dealt by a hash of their names, so any number of sources is packed.
 A window is a fixed number of sequences; its sources lie one after the other and
 are cut into sequences without gaps, so only the very last sequence is padded.
 
@@ -12,7 +13,8 @@ so any task can take up the round-robin at any window with the deficits carried.
 Documents queue in the order of the tokenised table: one pass writes that table
 with running totals inside each of its parts, the totals of the parts are summed
 up, and a second pass over the table cuts every document where its windows end.
-Token ids are never shuffled.
+Token ids stay where they were written while the queues of all parts can be broadcast; beyond
+Spark's threshold they are shuffled once, evenly, by source and part.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ from starloom.llm import shared
 from starloom.llm.bytelevel import byte_characters
 from starloom.session import materialize
 
-MOST_SOURCES = 10_000
+OWN_QUEUES, SHARED_QUEUES = 8000, 256  # queues of one source each, and of the sources that are smaller than all those
+MOST_SERVED = 1 << 20  # windows times queues that are worked out at a time
 # The vocabulary's splitting rule; the second form is equal on texts without two white-space characters in a row.
 _SPLIT = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPLIT_SINGLE = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
@@ -129,17 +132,25 @@ class Schedule:
         """Pieces of documents that lie at ``start`` in a source's queue: row, from, count, sequence, offset."""
         first = max(0, self._window_of(source, int(start.min())) - 2)
         last = self._window_of(source, int((start + size).max())) + 3
+        step = max(1, MOST_SERVED // max(1, len(self.totals)))
+        parts = [self._cut_windows(source, start, size, length, w, min(w + step, last)) for w in range(first, last, step)]
+        return {name: np.concatenate([part[name] for part in parts]) for name in parts[0]}
+
+    def _cut_windows(self, source: int, start: np.ndarray, size: np.ndarray, length: int, first: int, last: int) -> dict[str, np.ndarray]:
+        """The pieces that lie in the windows first..last-1."""
         served = self.served(np.arange(first, last + 1))
         mine = served[:, source]
         ahead = served[:, :source]
         base = (ahead[1:] - ahead[:-1]).sum(axis=1)  # what earlier sources have in each window
-        one = np.searchsorted(mine, start, side="right") - 1
-        two = np.searchsorted(mine, start + size - 1, side="right") - 1
+        here = np.flatnonzero((start < mine[-1]) & (start + size > mine[0]))
+        head, tail = np.maximum(start[here], mine[0]), np.minimum((start + size)[here], mine[-1])
+        one = np.searchsorted(mine, head, side="right") - 1
+        two = np.searchsorted(mine, tail - 1, side="right") - 1
         row, window = _spread(one, two)
-        begin = np.maximum(start[row], mine[window])
-        stop = np.minimum((start + size)[row], mine[window + 1])
+        begin = np.maximum(head[row], mine[window])
+        stop = np.minimum(tail[row], mine[window + 1])
         full = stop > begin  # a source may have nothing in a window
-        row, window, begin, stop = row[full], window[full], begin[full], stop[full]
+        row, window, begin, stop = here[row[full]], window[full], begin[full], stop[full]
         place = base[window] + begin - mine[window]
         part, sequence = _spread(place // length, (place + stop - begin - 1) // length)
         left = np.maximum(place[part], sequence * length)
@@ -232,17 +243,15 @@ def _pieces(schedule: Schedule, length: int, width: str):
 
 def packed(
     docs: DataFrame, vocabulary: str, length: int = 1024, window_sequences: int = 64, end_id: int = 0, targets: dict[str, float] | None = None,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    power: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
     """One row per piece of a document: id, source, start, length, doc_tokens, sequence_id, offset, ids (little-endian 32-bit).
 
-    Every document's ids, followed by ``end_id``, lie in the pieces once and in order. ``targets`` weighs the sources
-    (default: by their tokens, so that every window has the mixture of the whole); a source without weight gets the
-    smallest one given. A null source is a queue of its own, a null text is empty, rows that repeat are packed each.
-    Sources are the components of a mixture: more than MOST_SOURCES are refused. An empty table gives no rows.
+    Every document's ids, followed by ``end_id``, lie in the pieces once and in order. ``targets`` weighs the sources; one without weight gets the
+    smallest one given. Without targets a source weighs its tokens to the ``power``: 1 gives every window the mixture of the whole, less raises small
+    sources until they run out. A null source is a queue of its own, a null text is empty, rows that repeat are packed each. Sources that share a queue add
+    up their weights. A window has ``window_sequences`` sequences, or more where they could not hold a few tokens of every queue. An empty table gives no rows.
     """
-    if window_sequences * length < 4 * MOST_SOURCES:
-        raise ValueError("a window must hold a few tokens of every source")
     given = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("source"),
         F.col(text_col).cast("string").alias("text"),
@@ -251,20 +260,25 @@ def packed(
     table = materialize(
         given.mapInArrow(_tokenised(vocabulary, end_id, width), "id long, source string, part long, before long, n_tokens long, ids binary"), "tokens"
     )
-    parts = table.groupBy("source", "part").agg(F.sum("n_tokens").alias("n"))
-    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = materialize(parts.select("source", "part", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead")), "parts")
-    totals = parts.groupBy("source").agg(F.sum("n").alias("n")).orderBy("source").limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: map them to the components of a mixture first")
-    names = [row.source for row in totals]
-    counts = np.array([row.n for row in totals], dtype=np.int64)
-    weights = counts.astype(float)
+    parts = materialize(table.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")), "parts")
+    sizes = materialize(parts.groupBy("source").agg(F.sum("n").alias("n")), "sources")
+    own = [row.source for row in sizes.orderBy(F.desc("n"), "source").limit(OWN_QUEUES).collect()]
+    queues = docs.sparkSession.createDataFrame([(name, f"own {name}") for name in own], "source string, queue string")
+    queue = F.coalesce("queue", F.concat(F.lit("shared "), F.pmod(F.xxhash64("source"), F.lit(SHARED_QUEUES)).cast("string")))
+    named = materialize(sizes.join(F.broadcast(queues), "source", "left").select("source", "n", queue.alias("queue")), "queue-names")
+    weight = F.pow("n", F.lit(power))
     if targets:
-        weights = np.array([float(targets.get(name[1:], min(targets.values()))) for name in names])
-    schedule = Schedule(counts, weights, window_sequences * length)
-    numbers = docs.sparkSession.createDataFrame([(name, i) for i, name in enumerate(names)], "source string, number long")
-    queued = materialize(parts.join(F.broadcast(numbers), "source").select("source", "part", "number", "ahead"), "queues")
+        asked = docs.sparkSession.createDataFrame([(f"={name}", float(w)) for name, w in targets.items()], "source string, weight double")
+        named = named.join(F.broadcast(asked), "source", "left")
+        weight = F.coalesce("weight", F.lit(float(min(targets.values()))))
+    totals = named.groupBy("queue").agg(F.sum("n").alias("n"), F.sum(weight).alias("weight")).orderBy("queue").collect()  # OWN_QUEUES + SHARED_QUEUES at most
+    names = [row.queue for row in totals]
+    counts, weights = np.array([row.n for row in totals], dtype=np.int64), np.array([row.weight for row in totals], dtype=np.float64)
+    schedule = Schedule(counts, weights, max(window_sequences, -(-4 * len(names) // length)) * length)
+    numbers = docs.sparkSession.createDataFrame([(name, i) for i, name in enumerate(names)], "queue string, number long")
+    earlier = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = parts.join(named.select("source", "queue"), "source").withColumn("ahead", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    queued = materialize(ahead.join(F.broadcast(numbers), "queue").select("source", "part", "number", "ahead"), "queues")
     placed = table.join(queued, ["source", "part"]).select(
         "id", F.expr("nullif(source, '')").alias("source"), "number", (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "ids"
     )

@@ -26,8 +26,11 @@ def op2_hierarchical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, labels, host=F.col("source"), path=F.concat_ws("/", "source", "lang"))
 
 
+MIXTURE = 0.7  # a source weighs its tokens to this power, so small sources are in the first windows more than their share
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024)
+    pieces = packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024, power=MIXTURE)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
 
 

@@ -1,6 +1,7 @@
 """Token counts and packing against the tokenizers library, and packing as a round trip."""
 
 import random
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -17,8 +18,11 @@ ODD = [
 ]
 
 
+loaded = cache(Tokenizer.from_file)
+
+
 def library(path, text):
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+    return loaded(path).encode(text or "", add_special_tokens=False).ids
 
 
 def test_counts_are_the_librarys(spark, documents):
@@ -141,6 +145,41 @@ def test_schedule_carries_credits(sources):
     assert np.abs(served[:full] - np.arange(full)[:, None] * 65536 * plan.shares).max(initial=0) <= 1
 
 
+def whole_and_gapless(pieces, rows, length):
+    filled = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == filled.get(p.sequence_id, 0) and 0 < p.length
+        filled[p.sequence_id] = p.offset + p.length
+    assert sorted(filled) == list(range(len(filled))) and all(n == length for n in list(filled.values())[:-1]) and max(filled.values()) <= length
+    of = {}
+    for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
+        assert p.start == of.get(p.doc_id, 0)
+        of[p.doc_id] = p.start + p.length
+    assert of == {i: len(packing.encoder(BYTES).ids(text)) + 1 for i, text, _ in rows}
+
+
+@pytest.mark.parametrize("length, own, served", [(64, 5, 300), (512, 8000, 1 << 20), (1, 3, 40)])
+def test_any_number_of_sources_and_any_length(spark, monkeypatch, length, own, served):
+    monkeypatch.setattr(packing, "OWN_QUEUES", own)
+    monkeypatch.setattr(packing, "SHARED_QUEUES", 4)
+    monkeypatch.setattr(packing, "MOST_SERVED", served)
+    rng = random.Random(length)
+    rows = [(i, "word " * rng.randint(0, 60), f"s{rng.randint(0, 40) ** 2}") for i in range(400)] + [(1000, "long " * 3000, "s0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    pieces = packing.packed(docs, BYTES, length=length, power=0.5).collect()
+    whole_and_gapless(pieces, rows, length)
+    assert {p.doc_id: p.source for p in pieces} == {i: s for i, _, s in rows}
+
+
+def test_a_power_raises_small_sources_until_they_run_out(spark):
+    rows = [(i, "word " * 3000, "big") for i in range(90)] + [(100 + i, "word " * 3000, "small") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.packed(docs, BYTES, power=0.5).collect()
+    whole_and_gapless(pieces, rows, 1024)
+    first = sum(p.length for p in pieces if p.source == "small" and p.sequence_id < 64)
+    assert first == 30010 or abs(first - 65536 * 0.25) <= 1  # a quarter: the roots of one and nine
+
+
 def test_targets_and_nothing(spark):
     docs = spark.createDataFrame([(i, "word " * 3000, "ab"[i % 2]) for i in range(80)], "doc_id long, text string, source string")
     pieces = packing.packed(docs, BYTES, targets={"a": 3.0, "b": 1.0}).where("sequence_id < 64").groupBy("source").agg(F.sum("length").alias("n")).collect()
