@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontam, langid, minhash, packing, pii, shared
+from starloom.llm import decontam, langid, minhash, packing, pii, queries, shared
 from starloom.session import materialize
 
 
@@ -45,7 +45,7 @@ def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shared.prepare_workers(spark)
-    pieces = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), length=1024)
+    pieces = packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), length=1024, power=queries.MIXTURE)
     return pieces.select("doc_id", "source", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
