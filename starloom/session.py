@@ -93,6 +93,17 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, read by the driver without a Spark job; None of an empty file."""
+    target, system = _file_system(spark, path)
+    java = spark.sparkContext._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(system.open(target), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target, system = _file_system(spark, path)
     system.delete(target, True)

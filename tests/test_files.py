@@ -75,3 +75,24 @@ def test_staging_replaced_or_accumulated(spark, text, tmp_path):
         files.sink_append(files.stage_stamp(text("id", (str(n),)), "S", n, DAY), path)
     assert spark.read.parquet(path).count() == 2
     assert rows(files.current_batch(spark.read.parquet(path), 2), "id") == [("2",)]
+
+
+def test_headers_are_what_spark_reads(spark, tmp_path):
+    headers = ["id,name", 'id,"a, b",c', " id , name", "a,,b", "a,a,A", '"x ""y""",z', "a\\,b", '"open', "\ufeffid,v", "été,straße", "a;b", "\tx,y", 'a"b,c', "one"]
+    for k, header in enumerate(headers):
+        path = put(tmp_path / "in", f"{k}.csv", header, "1,2,3")
+        assert files.header_of(spark, path) == tuple(spark.read.options(**files.CSV).csv(path).columns), header
+    (tmp_path / "in" / "empty.csv").write_text("")
+    assert files.header_of(spark, str(tmp_path / "in" / "empty.csv")) == ()
+
+
+def test_headers_of_many_files_start_no_job(spark, tmp_path):
+    paths = [put(tmp_path / "in", f"{k}.csv", *(("id,v", f"{k},x") if k % 2 else ("w,id", f"y,{k}"))) for k in range(200)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        read = files.read_evolving(spark, paths)
+        assert len(tracker.getJobIdsForGroup("headers")) <= 2  # listings of the two layouts' files
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(read, "id", "v", "w") == sorted(((str(k), "x", None) if k % 2 else (str(k), None, "y") for k in range(200)), key=repr)
