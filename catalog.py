@@ -930,6 +930,19 @@ def stream_bronze_query(spark, sf_dir):
     return raw.withColumn(files.LINEAGE_FILE, F.element_at(F.split(files.LINEAGE_FILE, "/"), -1))
 
 
+@query("src_file_stream_cont")
+def src_file_stream_cont(spark, sf_dir):
+    """Events taken by a stream that runs on, a micro-batch every second, until all files that are there have been taken."""
+    path, checkpoint = fresh_folder(spark, "continuous"), fresh_folder(spark, "continuous-checkpoint")
+    running = stream_bronze(event_stream(spark, sf_dir), path, checkpoint, seconds=1)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    raw = read_raw(spark, path).drop(files.ARRIVAL)
+    return raw.withColumn(files.LINEAGE_FILE, F.element_at(F.split(files.LINEAGE_FILE, "/"), -1))
+
+
 @query("stream_upsert")
 def stream_upsert_query(spark, sf_dir):
     """Latest event per user and type, inserted by a stream that is then replayed from the start."""

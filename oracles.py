@@ -1169,8 +1169,8 @@ def file_checks() -> dict[str, str]:
             f"""SELECT {customer}, CAST(2 AS BIGINT) AS staging_batch_id,
                 '2024-02-15 06:00:00' AS staging_loaded_date FROM stg_customer_2""",
         ),
-        "stream_bronze": f"""SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props,
-            'events.parquet' AS _ingest_file, {stamp} AS _ingest_timestamp FROM events""",
+        **dict.fromkeys(("stream_bronze", "src_file_stream_cont"), f"""SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id,
+            event_type, value, props, 'events.parquet' AS _ingest_file, {stamp} AS _ingest_timestamp FROM events"""),
         "sink_overwrite": """SELECT user_id, event_id, event_type, CAST(ts AS VARCHAR) AS ts FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
             FROM events WHERE event_type = 'purchase') WHERE rn = 1""",
