@@ -100,6 +100,12 @@ def resolve_facts(
     return resolve_typed(typed_batch(staged, spec), spec, dims, stamp, loaded, on_dup)
 
 
+def given_key(spec: FactSpec) -> Column:
+    """The natural key's id, as it came, in the rows of ``typed_batch``."""
+    name = spec.natural_key[1]
+    return F.col(_text(name) if name in _typed_keys(spec) else name)
+
+
 def _parents(spec: FactSpec) -> list[str]:
     return [c for lk in spec.lookups for c in lk.source if c not in spec.columns]
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import pass_fail
@@ -85,6 +85,56 @@ def validate_facts(loads: Mapping[str, tuple[DataFrame, DataFrame, str, Sequence
     return reduce(DataFrame.unionByName, [validate_fact(*load, name) for name, load in loads.items()])
 
 
+def dq_orphans_of(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]], name: str) -> DataFrame:
+    """``dq_orphans`` of several keys, given as fact column: (dimension, its key), in one pass over the fact."""
+    keys = list(dims)
+    each = fact.select(*[F.col(k).cast("bigint") for k in keys]).unpivot([], keys, "key_name", "key").where("key IS NOT NULL")
+    used = each.groupBy("key_name", "key").agg(F.count("*").alias("rows"))
+    known = reduce(DataFrame.unionAll, [dim.select(F.lit(k).alias("key_name"), F.col(own).cast("bigint").alias("key")) for k, (dim, own) in dims.items()])
+    orphans = used.join(known, ["key_name", "key"], "left_anti").groupBy("key_name").agg(F.sum("rows").alias("actual"))
+    every = fact.sparkSession.createDataFrame([(k,) for k in keys], "key_name string")
+    counted = every.join(F.broadcast(orphans), "key_name", "left").na.fill(0, ["actual"])  # a row a key
+    return _none(counted, F.concat(F.lit("orphaned_"), F.col("key_name")), name)
+
+
+# What a load counts of the rows it writes, while it writes them, and the checks this gives.
+
+STAGED, KEYED = "staged", "keyed"
+ROWS_ACCEPTED, ROWS_REJECTED = "accepted", "rejected"
+_WITHOUT, _NULLS = "without_key", "null_"
+
+
+def staged_metrics(key: Column) -> list[Column]:
+    return [F.count("*").alias(STAGED), F.count_if(key.isNotNull()).alias(KEYED)]
+
+
+def written_metrics(is_rejected: Column, keys: Sequence[str], columns: Sequence[str]) -> list[Column]:
+    """Accepted and rejected rows, accepted rows that lack one of the keys, and NULLs of each column among the accepted ones."""
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    return [
+        F.count_if(~is_rejected).alias(ROWS_ACCEPTED),
+        F.count_if(is_rejected).alias(ROWS_REJECTED),
+        F.count_if(~is_rejected & missing).alias(_WITHOUT),
+        *[F.count_if(~is_rejected & F.col(c).isNull()).alias(_NULLS + c) for c in columns],
+    ]
+
+
+def observed_checks(spark: SparkSession, metrics: Mapping[str, int], rows_current: int, name: str) -> DataFrame:
+    """The checks of a fact load from what it observed and the rows the fact holds after it; reads no table.
+
+    Rows of earlier loads are not changed by a load, and were checked by theirs.
+    """
+    nulls = [(f"not_null_{c.removeprefix(_NULLS)}", 0, n) for c, n in metrics.items() if c.startswith(_NULLS)]
+    counted = [
+        ("staging_vs_fact_row_count", metrics.get(KEYED, 0), rows_current),
+        ("required_dimension_keys_not_null", 0, metrics.get(_WITHOUT, 0)),
+        *nulls,
+    ]
+    rows = spark.createDataFrame(counted, "check_name string, expected bigint, actual bigint")
+    at_least = F.col("check_name") == "staging_vs_fact_row_count"
+    return _check(rows, F.col("check_name"), name, F.when(at_least, F.col("actual") >= F.col("expected")).otherwise(F.col("actual") == F.col("expected")))
+
+
 def as_log(checks: DataFrame, checked_at: dt.datetime, first_key: int = 1) -> DataFrame:
     """Checks as rows of the quality log."""
     key = F.monotonically_increasing_id() + F.lit(first_key)

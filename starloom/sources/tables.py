@@ -12,7 +12,7 @@ whole, in its own directory; the marker goes on naming the older directories of
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -267,13 +267,14 @@ def write_rows(df: DataFrame, path: str, *parts: str) -> None:
     writer.partitionBy(*parts).parquet(path)
 
 
-def write_fact_rows(resolved: DataFrame, table: Table, load_id: int) -> None:
+def write_fact_rows(resolved: DataFrame, table: Table, load_id: int, observed: Callable[[DataFrame, Column], DataFrame] | None = None) -> None:
     """Write accepted and rejected facts in one pass, by month.
 
     Rebalancing by month gives files of even size: adaptive execution splits a
     month that is large and joins small ones. Rows are sorted by date within
     files, so a date filter skips row groups. Rejected rows have no month; the
-    values that explain a reject are kept for them only.
+    values that explain a reject are kept for them only. ``observed`` may count the rows on the way, after the
+    shuffle, so that a task that is run again counts once; it gets them and the test for rejected ones.
     """
     evidence = [c for c in resolved.columns if c not in table.schema.names and c != REJECT]
     is_rejected = F.col(REJECT).isNotNull()
@@ -286,5 +287,6 @@ def write_fact_rows(resolved: DataFrame, table: Table, load_id: int) -> None:
         }
     )
     rows = rows.hint("rebalance", F.col("status"), F.col("date_month"))
+    rows = observed(rows, F.col("status") == REJECTED) if observed else rows
     rows = rows.sortWithinPartitions("status", "date_month", table.clustered_by)
     write_rows(rows, table.rows_path(load_id), "status", "date_month")

@@ -1,6 +1,7 @@
 import datetime as dt
 
 from helpers import rows
+from pyspark.sql import Observation
 
 from starloom.operators import marts, quality
 
@@ -35,6 +36,32 @@ def test_current_versions_and_orphans(spark):
     assert results(quality.dq_orphans(fact, dim, "k", "f")) == [("orphaned_k", "FAIL", "0", "2")]
 
 
+def test_orphans_of_several_keys_in_one_pass(spark):
+    dim = spark.createDataFrame([(1,), (2,)], "k int")
+    other = spark.createDataFrame([(5,)], "own bigint")
+    fact = spark.createDataFrame([(1, 5), (9, 6), (9, 5), (None, None)], "k int, o bigint")
+    found = quality.dq_orphans_of(fact, {"k": (dim, "k"), "o": (other, "own")}, "f")
+    assert results(found) == [("orphaned_k", "FAIL", "0", "2"), ("orphaned_o", "FAIL", "0", "1")]
+    assert {r[1] for r in results(quality.dq_orphans_of(fact.limit(0), {"k": (dim, "k")}, "f"))} == {"PASS"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1
+
+
+def test_observed_checks_equal_those_of_a_scan(spark):
+    fact = spark.createDataFrame([(1, None, "a"), (None, 2, None), (3, 4, None), (5, None, "b")], "a int, b int, c string")
+    bad = quality.F.col("a") == 5
+    seen, staged = Observation(), Observation()
+    counted = fact.observe(staged, *quality.staged_metrics(quality.F.col("a")))
+    counted.observe(seen, *quality.written_metrics(quality.F.coalesce(bad, quality.F.lit(False)), ["a", "b"], ["c"])).collect()
+    metrics = {**staged.get, **seen.get}
+    assert (metrics[quality.ROWS_ACCEPTED], metrics[quality.ROWS_REJECTED], metrics[quality.STAGED]) == (3, 1, 4)
+    kept = fact.where("a IS NULL OR a <> 5")
+    scanned = quality.dq_row_count(fact, kept, "a", "f").unionByName(quality.dq_required_keys(kept, ["a", "b"], "f"))
+    scanned = scanned.unionByName(quality.dq_not_null(kept, ["c"], "f"))
+    assert results(quality.observed_checks(spark, metrics, 3, "f")) == results(scanned)
+    assert results(quality.observed_checks(spark, {}, 0, "f"))[0][1] == "PASS"
+
+
 def test_log_shape(spark):
     check = quality.dq_unique_natural(spark.range(1), ["id"], "f")
     log = quality.as_log(check, dt.datetime(2024, 1, 1), 7)
