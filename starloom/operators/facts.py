@@ -65,13 +65,14 @@ def resolve_typed(
     stamp: LoadStamp,
     loaded: DataFrame | None = None,
     on_dup: str = "latest",
+    hot: Mapping[str, Sequence[int]] | None = None,
 ) -> DataFrame:
-    """``resolve_facts`` of rows that are typed already; a key they have is kept."""
+    """``resolve_facts`` of rows that are typed already; a key they have is kept. ``hot`` has the hashes of hot key values by lookup."""
     rows = drop_null_key(typed, spec.natural_key)
     unkeyed = typed.where(F.greatest(*[F.col(c).isNull() for c in spec.natural_key], F.lit(False)))
     day = [_DAY] if spec.date_source else []
     rows = fact_append(loaded, rows, spec.natural_key, [_SOUND, *day, *_ordered_by(spec)], on_dup)
-    rows = lookup_all(rows, spec.lookups, dims, keep_unmatched=True)
+    rows = lookup_all(rows, spec.lookups, dims, keep_unmatched=True, hot=hot, spread_by=spec.natural_key)
     unkeyed = unkeyed.withColumns({lk.output: F.lit(None).cast(rows.schema[lk.output].dataType) for lk in spec.lookups})
     rows = rows.unionByName(unkeyed.select(*rows.columns))
     key = date_key(_DATE_TEXT) if spec.date_source else snapshot_key(stamp.load_date)

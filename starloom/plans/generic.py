@@ -8,7 +8,7 @@ from starloom.spec import DimSpec, FactSpec, Lookup
 COORDINATE = "decimal(9,6)"
 
 
-def by_id(dim: str, entity: str, required: bool = False, versioned: bool = True, source: str | None = None) -> Lookup:
+def by_id(dim: str, entity: str, required: bool = False, versioned: bool = True, source: str | None = None, salts: int = 1) -> Lookup:
     """Lookup of a dimension by its id and source system."""
     return Lookup(
         dim=dim,
@@ -17,11 +17,12 @@ def by_id(dim: str, entity: str, required: bool = False, versioned: bool = True,
         key=f"{entity}_key",
         required=required,
         current_only=versioned,
+        salts=salts,
     )
 
 
-TO_CUSTOMER = by_id("dim_customer", "customer", required=True)
-TO_PRODUCT = by_id("dim_product", "product", required=True)
+TO_CUSTOMER = by_id("dim_customer", "customer", required=True, salts=16)
+TO_PRODUCT = by_id("dim_product", "product", required=True, salts=16)
 TO_EMPLOYEE = by_id("dim_employee", "employee")
 TO_LOCATION = by_id("dim_location", "location", versioned=False)
 TO_CURRENCY = Lookup("dim_currency", ("currency_code",), ("currency_code",), "currency_key", current_only=False)

@@ -33,7 +33,7 @@ class LoadStamp:
 
 @dataclass(frozen=True)
 class Lookup:
-    """Equi-join from source columns to a dimension, fetching its key."""
+    """Equi-join from source columns to a dimension, fetching its key. With ``salts`` over 1 a load looks for hot key values."""
 
     dim: str
     source: tuple[str, ...]
@@ -42,6 +42,7 @@ class Lookup:
     alias: str | None = None
     required: bool = False
     current_only: bool = True
+    salts: int = 1  # partitions that a load spreads each hot key value over
 
     @property
     def output(self) -> str:

@@ -56,6 +56,29 @@ def test_salting_spreads_a_hot_key_over_partitions(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_hot_values_from_a_sketch_are_spread_and_change_no_row(spark):
+    facts = spark.range(3000, numPartitions=4).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id % 50) END AS code"
+    )
+    dim = spark.range(40).selectExpr("concat('k', id) AS code", "id AS code_key").unionAll(
+        spark.createDataFrame([("hot", 99)], "code string, code_key bigint")
+    )
+    for required in (True, False):
+        by_code = Lookup("d", ("code",), ("code",), "code_key", required=required, current_only=False, salts=8)
+        hot = lookups.hot_hashes(facts.agg(lookups.hot_sketch(by_code)).first()[0], 3000)
+        assert len(hot) == 2, "the hot value and NULL"
+        plain = lookups.lookup_key(facts, dim, by_code)
+        spread = lookups.lookup_key(facts, dim, by_code, hot=hot, spread_by=["id"])
+        assert "_salt" in spread._jdf.queryExecution().analyzed().toString()
+        assert rows(spread.select(*plain.columns)) == rows(plain)
+    numbers = dim.selectExpr("code_key AS code", "code_key")
+    by_number = Lookup("d", ("code",), ("code",), "code_key", current_only=False, salts=8)
+    ids = facts.selectExpr("id", "cast(id % 4 AS int) AS code")
+    other = lookups.lookup_key(ids, numbers, by_number, hot=[1, 2], spread_by=["id"])
+    assert "_salt" not in other._jdf.queryExecution().analyzed().toString(), "types differ, so do hashes"
+    assert lookups.hot_hashes([], 0) == [] and lookups.hot_hashes([(7, 1)], 1) == []
+
+
 def test_hot_values_are_bounded_by_their_share(spark):
     facts = spark.range(1000).selectExpr("if(id < 400, 'a', cast(id AS string)) AS k")
     assert rows(lookups.hot_values(facts, ["k"], 0.1)) == [("a",)]

@@ -4,12 +4,14 @@ from dataclasses import replace
 
 import pytest
 from helpers import at, rows, scanned_files
+from pyspark.sql import types as T
 from test_files import put
 
 from starloom.sources.files import text_schema
 from starloom.sources.maintenance import compact_cluster
 from starloom.sources.tables import Layout
 from starloom.streaming import (
+    alerts,
     read_alerts,
     stream_bronze,
     stream_evolving,
@@ -138,6 +140,39 @@ def test_alerts_of_a_stream_come_at_once_and_count_late_rows(spark, tmp_path):
     assert alerts_after("metric", metric, 44, (base + dt.timedelta(days=2), "SUCCESS", 0.0)) == [("10:05", 45.0)]
 
 
+def test_windows_of_many_micro_batches_are_folded_and_late_ones_still_count(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(alerts, "FOLD", 4)
+    schema = T.StructType([T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()), T.StructField("measure", T.LongType())])
+    path = str(tmp_path / "windows")
+    start = dt.datetime(2024, 1, 1)
+    expected = {}
+    for batch_id in range(19):
+        touched = [batch_id, 0] if batch_id % 3 == 0 else [batch_id]  # window 0 gets late rows all the time
+        expected |= {w: batch_id + 1 for w in touched}
+        data = [(start + dt.timedelta(minutes=5 * w), start + dt.timedelta(minutes=5 * w + 15), batch_id + 1) for w in set(touched)]
+        alerts.write_rows(spark.createDataFrame(data, schema).coalesce(1), f"{path}/batch_id={batch_id}")
+        if batch_id % alerts.FOLD == alerts.FOLD - 1:
+            alerts.fold_windows(spark, path, schema, batch_id)
+            alerts.fold_windows(spark, path, schema, batch_id)  # the batch is run again
+        found = read_alerts(spark, path, schema, 0)
+        assert {int((r.window_start - start).total_seconds()) // 300: r.measure for r in found.collect()} == expected
+    assert len(os.listdir(path)) <= 2 * alerts.FOLD + 2
+    (tmp_path / "windows" / "folded=99").mkdir()  # a fold that died
+    assert read_alerts(spark, path, schema, 0).count() == len(expected)
+
+
+def test_columns_of_a_changing_stream_keep_their_order_after_a_restart(spark, tmp_path):
+    folder, path, checkpoint = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+    headers = [("a.csv", "id,v"), ("b.csv", "w,id"), ("c.csv", "x,V,id")]
+    for number, (name, header) in enumerate(headers):
+        put(folder, name, header, ",".join(f"{number}{c}" for c in header.split(",")))
+        stream_evolving(spark, str(folder), path, checkpoint).awaitTermination()
+    last = spark.read.parquet(f"{path}/batch_id=2")
+    assert last.columns == ["id", "v", "_ingest_file", "_ingest_timestamp", "w", "x"]
+    assert rows(last, "id", "v", "w", "x") == [("2id", "2V", None, "2x")]
+    assert rows(read_raw(spark, path), "id", "v", "w", "x") == [("0id", "0v", None, None), ("1id", None, "1w", None), ("2id", "2V", None, "2x")]
+
+
 def test_rows_read_for_a_micro_batch_do_not_grow_with_the_table(spark, tmp_path):
     schema = text_schema(["id", "v"])
     target = CleansedTable(spark, Layout(str(tmp_path)), "things", schema)

@@ -11,7 +11,7 @@ from test_scd import PERSON, person
 from starloom.operators import control
 from starloom.operators.clean import REJECT
 from starloom.operators.facts import batch_months
-from starloom.plans import generic
+from starloom.plans import generic, loads
 from starloom.plans.loads import Warehouse
 from starloom.plans.shared_tables import STAMPS, stage
 from starloom.session import children
@@ -203,6 +203,30 @@ def test_the_index_takes_up_small_runs_and_is_rebuilt_on_request(spark, tmp_path
     assert load(0, 1103) == 1 and table.read().count() == 1103
 
 
+def test_a_load_takes_hot_keys_and_its_checks_from_what_it_writes(house, spark, text, sale_dims, monkeypatch):
+    seen = {}
+    resolve = loads.resolve_typed
+
+    def spying(*args, **options):
+        seen.update(options["hot"])
+        resolved = resolve(*args, **options)
+        seen["plan"] = resolved._jdf.queryExecution().analyzed().toString()
+        return resolved
+
+    monkeypatch.setattr(loads, "resolve_typed", spying)
+    parents = {"customer_key": (sale_dims["dim_customer"], "customer_key"), "product_key": (sale_dims["dim_product"].where("false"), "product_key")}
+    staged = sale_lines(text, 0, 300)
+    assert house.load_checked_fact(staged, generic.SALES, DAY1, sale_dims, parents) == {"rows_inserted": 300, "rows_rejected": 0, "rows_set_aside": 0}
+    assert len(seen["customer_key"]) == 1 and len(seen["product_key"]) == 1, "every line has the same customer and product"
+    assert "_salt" in seen["plan"]
+    checks = {r.check_name: (r.check_result, r.expected_value, r.actual_value) for r in house.checks().collect()}
+    assert checks["staging_vs_fact_row_count"] == ("PASS", "300", "300")
+    assert checks["required_dimension_keys_not_null"] == ("PASS", "0", "0")
+    assert checks["orphaned_customer_key"] == ("PASS", "0", "0") and checks["orphaned_product_key"] == ("FAIL", "0", "300")
+    assert all(result == "PASS" for name, (result, _, _) in checks.items() if name.startswith("not_null_"))
+    assert house.load_checked_fact(staged.limit(0), generic.SALES, DAY2, sale_dims) == {"rows_inserted": 0, "rows_rejected": 0, "rows_set_aside": 0}
+
+
 def test_fact_keys_do_not_change_when_tasks_are_run_again_and_leave_few_gaps(house, spark, text, sale_dims):
     staged = sale_lines(text, 0, 500).unionAll(sale_lines(text, 0, 100)).repartition(6, F.rand())  # other rows in each task each time
     first = house.load_fact(staged, generic.SALES, DAY1, sale_dims)
