@@ -5,6 +5,8 @@ them lie on diagonals (place in the document less place in the item) at most e a
 bins of diagonals; two neighbouring bins are a band, and bands overlap by a bin. Bands that reach the bound are
 verified by an alignment that stays in the band: of the whole item, else of every PASSAGE characters of it that share enough q-grams. Items are held against documents in blocks of bounded size.
 
+Items too short for the lemma are looked for letter for letter between word borders, by the hash of all of them.
+
 Texts are compared with ASCII and Latin-1 letters folded to lower case, and runs of other ASCII characters as one blank.
 """
 
@@ -23,10 +25,11 @@ from starloom.llm.shingles import mixed
 
 Q = 10
 EDITS = 0.05  # edits per character of a passage
-PASSAGE = 120  # characters of an item that must be found again, or all of a shorter item
-LEAST = 24  # shorter items are not looked for
+PASSAGE = 120  # characters of an item that must be found again, or all of a shorter item, unless told otherwise
+LEAST = 24  # shorter items must be found letter for letter, as whole words
 BIN = 8  # diagonals per bin, a power of two and more than the edits of a passage
 BLOCK_BYTES = 8 << 20  # benchmark text held against the documents at a time
+MOST_STARTS = 1 << 17  # words at which short items are looked for at a time
 MOST_HITS = 1_000_000  # places in items that are counted at a time
 STRETCH = 1 << 20  # characters whose q-grams are looked up at a time
 MOST_CELLS = 1 << 18  # windows times diagonals that are aligned at a time
@@ -66,6 +69,15 @@ def gram_hashes(text: np.ndarray) -> np.ndarray:
     return mixed(value)
 
 
+@dataclass(frozen=True)
+class ShortItems:
+    """Items of one length under LEAST, folded, in the order of their hashes."""
+
+    hashes: np.ndarray
+    letters: np.ndarray  # a row each
+    ids: np.ndarray
+
+
 @dataclass(frozen=True)
 class Items:
     """A block of benchmark items, folded, with their q-grams in the order of their hashes."""
@@ -79,33 +91,57 @@ class Items:
     place: np.ndarray
     seen: np.ndarray  # by the leading bits of a hash: whether any item has it
     longest: int
+    passage: int
+    short: list[ShortItems]
+
 
+def _row_hashes(letters: np.ndarray) -> np.ndarray:
+    """Hash of each row of letters."""
+    value = np.zeros(len(letters), dtype=np.uint64)
+    for column in letters.T:
+        value *= np.uint64(_BASE)
+        value += column
+    return mixed(value)
+
+
+def _short_items(short: list[tuple[int, bytes]]) -> list[ShortItems]:
+    result = []
+    for size in sorted({len(text) for _, text in short}):
+        own = [(i, text) for i, text in short if len(text) == size]
+        letters = np.frombuffer(b"".join(text for _, text in own), np.uint8).reshape(-1, size)
+        hashes = _row_hashes(letters)
+        order = np.argsort(hashes, kind="stable")
+        result.append(ShortItems(hashes[order], letters[order], np.array([i for i, _ in own], dtype=np.int64)[order]))
+    return result
 
-def indexed(rows: list[tuple[int, str]]) -> Items | None:
-    ids, texts, hashes, item, place, least = [], [], [], [], [], []
+
+def indexed(rows: list[tuple[int, str]], passage: int = PASSAGE) -> Items | None:
+    ids, texts, hashes, item, place, least, short = [], [], [], [], [], [], []
     for item_id, text in rows:
         data = np.frombuffer((text or "").encode(), np.uint8)
         out = folded(data, np.array([len(data)]))[0].tobytes().strip() if len(data) else b""
         if len(out) < LEAST:
+            short += [(item_id, out)] if out else []
             continue
         own = gram_hashes(np.frombuffer(out, np.uint8))
-        n = min(len(out), PASSAGE)
+        n = min(len(out), passage)
         least.append(max(1, n - Q + 1 - Q * int(EDITS * n)))
         hashes.append(own)
         item.append(np.full(len(own), len(ids)))
         place.append(np.arange(len(own)))
         ids.append(item_id)
         texts.append(out)
-    if not ids:
+    if not ids and not short:
         return None
-    every, at = np.concatenate(hashes), np.concatenate(place)
+    none = np.empty(0, np.int64)
+    every, at, item = np.concatenate([np.empty(0, np.uint64), *hashes]), np.concatenate([none, *place]), [none, *item]
     order = np.argsort(every, kind="stable")
     distinct, begin = np.unique(every[order], return_index=True)
     seen = np.zeros(1 << _MAP_BITS, dtype=bool)
     seen[(distinct >> np.uint64(64 - _MAP_BITS)).astype(np.int64)] = True
     return Items(
         np.array(ids, dtype=np.int64), texts, np.array(least), distinct, np.append(begin, len(every)), np.concatenate(item)[order], at[order],
-        seen, max(map(len, texts)),
+        seen, max(map(len, texts), default=0), passage, _short_items(short),
     )
 
 
@@ -128,6 +164,36 @@ def _hits(items: Items, text: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np
                 yield doc[some], place[some], rank[some]
 
 
+def _short_hits(items: Items, text: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Document, place in the text and id of the short items of a length that stand there as whole words, and that length."""
+    blank = text == 32
+    first = ~blank
+    first[1:] &= blank[:-1]
+    begins = np.concatenate([[0], ends[:-1]])
+    begins = begins[begins < ends]
+    first[begins] = ~blank[begins]
+    every = np.flatnonzero(first)
+    for some in range(0, len(every), MOST_STARTS):
+        start = every[some : some + MOST_STARTS]
+        doc = np.searchsorted(ends, start, side="right")
+        for short in items.short:
+            size = short.letters.shape[1]
+            stop = start + size
+            whole = (stop == ends[doc]) | ((stop < ends[doc]) & blank[np.minimum(stop, len(text) - 1)])
+            at, of = start[whole], doc[whole]
+            letters = text[at[:, None] + np.arange(size)]
+            hashes = _row_hashes(letters)
+            begin = np.searchsorted(short.hashes, hashes, side="left")
+            count = np.searchsorted(short.hashes, hashes, side="right") - begin
+            part = np.cumsum(count) // MOST_STARTS
+            for rows in np.split(np.arange(len(at)), np.flatnonzero(np.diff(part)) + 1):
+                hit = np.repeat(rows, count[rows])
+                which = np.arange(len(hit)) - np.repeat(np.cumsum(count[rows]) - count[rows], count[rows]) + begin[hit]
+                same = (letters[hit] == short.letters[which]).all(axis=1)
+                if same.any():
+                    yield of[hit[same]], at[hit[same]], short.ids[which[same]], size
+
+
 def _bands(items: Items, text: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Document, item, lowest and highest diagonal of the bands that reach the bound.
 
@@ -231,21 +297,21 @@ def _aligned_ends(patterns: np.ndarray, text: np.ndarray, low: np.ndarray, width
     return cost[row, lane], np.clip(place[row, lane], first[:, 0], last[:, 0])
 
 
-def _windows(pattern: bytes, text: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int, int, int]]:
-    """Every PASSAGE characters of a longer item that are found on diagonals low..high: where they begin in the item, edits, start and end in the text."""
+def _windows(pattern: bytes, text: np.ndarray, low: int, high: int, passage: int) -> Iterator[tuple[int, int, int, int]]:
+    """Every ``passage`` characters of a longer item that are found on diagonals low..high: where they begin in the item, edits, start and end in the text."""
     letters = np.frombuffer(pattern, np.uint8)
-    most = int(EDITS * PASSAGE)
+    most = int(EDITS * passage)
     # Only windows that share enough q-grams with the text can be found.
     shared_grams = np.concatenate([[0], np.cumsum(np.isin(gram_hashes(letters), gram_hashes(text)))])
-    grams = PASSAGE - Q + 1
+    grams = passage - Q + 1
     starts = np.flatnonzero(shared_grams[grams:] - shared_grams[:-grams] >= max(1, grams - Q * most))
-    every, width = np.lib.stride_tricks.sliding_window_view(letters, PASSAGE), high - low + 1
+    every, width = np.lib.stride_tricks.sliding_window_view(letters, passage), high - low + 1
     # A window that is there letter for letter needs no alignment.
     whole, found, other = text.tobytes(), [], []
     for at in starts.tolist():
-        place = whole.find(pattern[at : at + PASSAGE], max(0, at + low), max(0, at + high + PASSAGE))
+        place = whole.find(pattern[at : at + passage], max(0, at + low), max(0, at + high + passage))
         if place >= 0:
-            found.append((at, 0, place, place + PASSAGE))
+            found.append((at, 0, place, place + passage))
         else:
             other.append(at)
     starts = np.array(other, dtype=np.int64)
@@ -260,14 +326,14 @@ def _windows(pattern: bytes, text: np.ndarray, low: int, high: int) -> Iterator[
             continue
         # Backwards from where it ends, a window shows where it begins.
         head = len(text) - end
-        back = _aligned_ends(every[at][:, ::-1], text[::-1], head - most, 2 * most + 2, head, np.minimum(head + PASSAGE + edits, len(text)))[1]
+        back = _aligned_ends(every[at][:, ::-1], text[::-1], head - most, 2 * most + 2, head, np.minimum(head + passage + edits, len(text)))[1]
         found += zip(at.tolist(), edits.tolist(), (len(text) - back).tolist(), end.tolist(), strict=True)
     yield from sorted(found)
 
 
 def verified(items: Items, text: np.ndarray, item: int, low: int, high: int) -> list[tuple[int, int, int, int]]:
     """Passages of an item in one folded document, in a band: start, end, edits, characters of the item."""
-    pattern = items.texts[item]
+    pattern, passage = items.texts[item], items.passage
     slack = int(EDITS * len(pattern)) + 1
     begin = max(0, low - slack)
     part = text[begin : max(0, high + len(pattern) + slack + 1)]
@@ -279,13 +345,13 @@ def verified(items: Items, text: np.ndarray, item: int, low: int, high: int) ->
         return [(begin + a, begin + b, edits, len(pattern))]
     found: list[tuple[int, int, int, int]] = []
     last = 0  # where the item's characters end that are found so far
-    for at, edits, a, b in _windows(pattern, part, low - begin - BIN, high - begin + BIN) if len(pattern) > PASSAGE else ():
+    for at, edits, a, b in _windows(pattern, part, low - begin - BIN, high - begin + BIN, passage) if len(pattern) > passage else ():
         if found and begin + a <= found[-1][1]:
             s, e, n, m = found[-1]
-            found[-1] = (min(s, begin + a), max(e, begin + b), max(n, edits), m + at + PASSAGE - max(at, last))
+            found[-1] = (min(s, begin + a), max(e, begin + b), max(n, edits), m + at + passage - max(at, last))
         else:
-            found.append((begin + a, begin + b, edits, PASSAGE))
-        last = at + PASSAGE
+            found.append((begin + a, begin + b, edits, passage))
+        last = at + passage
     return found
 
 
@@ -299,8 +365,18 @@ def _search(items: Items):
                 if not len(data):
                     continue
                 text, origin, stops = folded(data, ends)
+                if items.short and len(text):
+                    letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int64)])  # code points before each byte
+                    heads = np.concatenate([[0], ends[:-1]])
+                    for docs, places, ids, size in _short_hits(items, text, stops):
+                        head = letters[heads[docs]]
+                        begins, stands = letters[origin[places]] - head, letters[origin[places + size - 1] + 1] - head
+                        same = np.full(len(docs), size)
+                        columns = [begins, stands, np.zeros(len(docs), np.int64), same, same]
+                        own = batch.column(0).take(pa.array(first + docs))
+                        yield pa.RecordBatch.from_arrays([own, pa.array(ids), *[pa.array(c, pa.int64()) for c in columns]], schema=_ROW)
                 rows = []
-                for doc, item, low, high in _bands(items, text, stops):
+                for doc, item, low, high in _bands(items, text, stops) if items.texts else ():
                     begin = int(stops[doc - 1]) if doc else 0
                     head = int(ends[doc - 1]) if doc else 0
                     for a, b, edits, size in verified(items, text[begin : stops[doc]], item, low, high):
@@ -314,14 +390,25 @@ def _search(items: Items):
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    passage: int = PASSAGE,
+) -> DataFrame:
     """One row per benchmark passage found: id, item_id, start and end in the text (code points, end exclusive), edits,
-    passage_chars and item_chars (folded). A passage is a whole item, or PASSAGE characters of a longer one and what joins them, with at most EDITS
-    edits per character.
+    passage_chars and item_chars (folded). A passage is a whole item, or ``passage`` characters of a longer one and what joins them, with at most EDITS
+    edits per character; an item of fewer than LEAST folded characters must stand in the text letter for letter, as whole words, and gives a
+    row for each place, so a benchmark of single common words gives many.
 
-    All of every text and every item is looked at. Null and empty texts and items of fewer than LEAST folded characters give nothing; items of equal
+    All of every text and every item is looked at. Null and empty texts and items without a letter or digit give nothing; items of equal
     text are all reported; rows that repeat are reported each. Other columns are not looked at.
     """
+    if passage < LEAST or int(EDITS * passage) >= BIN:
+        raise ValueError(f"passage must be {LEAST} to {int(BIN / EDITS) - 1} characters")
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
@@ -330,7 +417,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     result = spark.createDataFrame([], "id long, item_id long, start long, end long, edits long, passage_chars long, item_chars long")
     for block in range(blocks):  # each block has a bounded size and is held against all documents
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        index = indexed(sorted((r.item_id, r.text) for r in mine))
+        index = indexed(sorted((r.item_id, r.text) for r in mine), passage)
         if index is not None:
             result = result.union(given.mapInArrow(_search(index), result.schema.simpleString()[7:-1].replace(":", " ")))
     return result.withColumnRenamed("id", id_col)

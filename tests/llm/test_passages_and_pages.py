@@ -55,7 +55,7 @@ def test_planted_passages(spark, documents):
         for item_id, item in items:
             p = plain(item or "")
             if len(p) < decontam.LEAST:
-                assert (i, item_id) not in found
+                assert ((i, item_id) in found) == bool(p and f" {p} " in f" {plain(t)} ")
             elif (n := edits(p, plain(t))) <= 0.05 * len(p) - 1:
                 assert (i, item_id) in found, (i, item_id, n, len(p))
             elif n > 0.6 * len(p):
@@ -66,6 +66,42 @@ def test_planted_passages(spark, documents):
             assert edits(plain(dict(items)[r.item_id]), plain(texts[r.doc_id][r.start : r.end])) <= r.edits
 
 
+def test_short_items_are_found_as_whole_words(spark, documents):
+    rng = random.Random(12)
+    words = ["a", "été", "b1", "ÉTÉ", "straße", "x", "yy", "日本", "a-b"]
+    items = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))) for k in range(60)]
+    items += [(60, "..."), (61, ""), (62, None), (63, "a"), (64, "A!")]
+    items = [(k, t) for k, t in items if len(plain(t or "").encode()) < decontam.LEAST]
+    rows = [(k, rng.choice(["", " ", "* "]) + rng.choice([" ", ", ", "\n"]).join(rng.choice(words) for _ in range(rng.randint(0, 60))) + rng.choice(["", ".", " "])) for k in range(80)]
+    rows += [(100, None), (101, ""), (102, "a"), (103, "ab ba"), (104, "a " * 300_000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.leaks(documents(*rows), bench).where("doc_id <> 104").collect()
+    assert len(got) == len(set(got))
+    folded = lambda t: re.sub(r"[^a-z0-9\x80-\U0010ffff]", " ", t.lower())  # noqa: E731  a letter for a letter
+    expected = set()
+    for i, t in rows[:-1]:
+        for item_id, item in items:
+            if p := plain(item or ""):
+                for found in re.finditer("(?=(?<![^ ])(" + re.escape(p).replace("\\ ", " +") + ")(?![^ ]))", folded(t or "")):
+                    expected.add((i, item_id, found.start(1), found.end(1)))
+    assert {(r.doc_id, r.item_id, r.start, r.end) for r in got} == expected and len(expected) > 100
+    assert all(r.edits == 0 and r.passage_chars == r.item_chars for r in got)
+    many = decontam.leaks(documents(*rows), bench).where("doc_id = 104").groupBy("item_id").count().collect()
+    assert {r["count"] for r in many if r.item_id in (63, 64)} == {300_000}
+
+
+def test_length_of_a_passage_is_a_parameter(spark, documents):
+    rng = random.Random(9)
+    item = " ".join("".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(80))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = documents((1, "x y z " + item[150:240] + " and more"), (2, item[150:190]))
+    assert decontam.leaks(docs, bench).collect() == []
+    assert [r.doc_id for r in decontam.leaks(docs, bench, passage=80).collect()] == [1]
+    for wrong in (10, 160):
+        with pytest.raises(ValueError, match="passage"):
+            decontam.leaks(docs, bench, passage=wrong)
+
+
 def test_a_part_of_a_long_item_is_found(spark, documents):
     rng = random.Random(9)
     item = " ".join("".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(80))
