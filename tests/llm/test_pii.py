@@ -67,4 +67,39 @@ def test_estimates_tell_reliable_votes():
     good, bad = (1, 1, 1, 1, 0), (-1, 0, 0, -1, -1)
     found = pii.estimated([(0, good, 500), (0, bad, 500), (0, (1, 0, 1, 1, 0), 50)])
     assert found[0, good] > 0.95 and found[0, bad] < 0.05 and found[0, (1, 0, 1, 1, 0)] > 0.8
-    assert pii.estimated([]) == {} and len(pii.trained([], {})) == 1 + len(pii.KINDS) + 2 * len(pii.VOTERS)
+    assert pii.estimated([]) == {} and len(pii.trained([], {})) == 1 + len(pii.KINDS) + 2 * len(pii.VOTERS) + sum(pii.TRAITS.values()) - len(pii.TRAITS)
+
+
+def kinds_found(documents, texts):
+    rows = pii.found_spans(documents(*enumerate(texts))).collect()
+    return {r.doc_id: {(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans} for r in rows}
+
+
+def test_names_are_learned_from_what_stands_before_them(documents):
+    texts = [f"As Dr. Priya Sharma{'x' * i} wrote, New York and Old Town are far away." for i in range(5)]
+    texts += [f"Her name is Wei Zhang{'x' * i}. The Red House is closed." for i in range(5)]
+    texts += ["Yesterday Priya Kapoor met Wei Li in New York", "Alice Cooper sings", "hundred Blue Birds", "address New Jersey", "Mr Unseen Person"]
+    got = kinds_found(documents, texts)
+    assert all(("person", f"Priya Sharma{'x' * i}") in got[i] and ("person", f"Wei Zhang{'x' * i}") in got[5 + i] for i in range(5))
+    assert got[10] == {("person", "Priya Kapoor"), ("person", "Wei Li")} and got[11] == {("person", "Alice Cooper")}
+    assert not got[12] and not got[13] and got[14] == {("person", "Unseen Person")}
+    assert not any("New York" in s or "Red House" in s for spans in got.values() for _, s in spans)
+
+
+def test_hashes_calls_and_part_numbers_are_no_secrets(documents):
+    rng = random.Random(4)
+    hex40 = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(60)]
+    texts = [f'and token = "{h}" or so' for h in hex40[:20]] + [f"see commit {h} of it" for h in hex40[20:40]] + [f"sha256 checksum: {h}" for h in hex40[40:]]
+    texts += ["token=function(a,b)", "if token=callback then", "part no 123-45-6789 is sold out", "her ssn 123-45-6789", "password=Xy7pq9zz"]
+    got = kinds_found(documents, texts)
+    assert all(got[i] == {("secret", hex40[i])} for i in range(20))
+    assert not any(got[i] for i in range(20, 63)), [(texts[i], got[i]) for i in range(20, 63) if got[i]]
+    assert got[63] == {("ssn", "123-45-6789")} and got[64] == {("secret", "password=Xy7pq9zz")}
+
+
+def test_estimates_keep_their_classes_in_a_large_corpus():
+    plain, known = (0, -1, 0, 0, 0), (0, 1, 0, 0, 0)
+    found = pii.estimated([(6, plain, 5_000_000), (6, known, 40_000), (6, (0, 1, 1, 0, 0), 10_000), (6, (0, 0, 1, 0, 0), 3_000)])
+    assert found[6, plain] < 0.4 and found[6, known] > 0.5 and found[6, (0, 1, 1, 0, 0)] > 0.9 and found[6, (0, 0, 1, 0, 0)] > 0.5
+    commits = pii.estimated([(7, (1, 0, 1, 1, 0), 30), (7, (1, 0, 0, 1, -1), 30_000), (7, (-1, -1, 0, 1, 0), 30)])
+    assert commits[7, (1, 0, 1, 1, 0)] > 0.8 and commits[7, (1, 0, 0, 1, -1)] < 0.2 and commits[7, (-1, -1, 0, 1, 0)] < 0.2
