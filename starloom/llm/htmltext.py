@@ -1,10 +1,12 @@
 """Main text of pages: markup says what is article and what is not, and a host's suffix array settles the rest.
 
 A page with an article or main element has its text there, less the menus, forms, adverts and comments inside it. On other pages,
-blocks that no element marks are doubtful. The token streams of a host's pages are concatenated without the
-settled articles, and their suffixes are sorted by prefix doubling as far as LONG tokens, which shows all long substrings that
-occur on different articles. A doubtful block is boilerplate, and goes whole, if substrings cover it that each occur on SHARE of the
-host's distinct articles and on LEAST_ARTICLES at least; other blocks are kept whole. Near copies, found by minhashes of the pages' texts, are one article.
+blocks that no element marks are doubtful. The token streams of a host's pages are concatenated: all blocks but those of articles,
+and those of articles too that LEAST_ARTICLES articles have. The suffixes are put in order by prefix doubling; the common prefixes of
+neighbours give the longest substring that begins at a token and occurs on enough articles. Substrings of LONG tokens and more cover what they
+repeat. A doubtful block is boilerplate, and goes whole, if substrings cover it that each occur on SHARE of the
+host's distinct articles and on LEAST_ARTICLES at least. A block inside an article goes if the substrings are on STRICT_SHARE of them and on
+STRICT_LEAST. Other blocks are kept whole. Near copies, found by minhashes of the pages' texts, are one article.
 
 A large host is sorted in shards of bounded size. A long substring that repeats only across shards is found by exchanging
 the windows of LONG tokens that begin it, so the outcome does not depend on the shards.
@@ -31,6 +33,8 @@ from starloom.session import materialize
 LONG = 6  # tokens of a repeated substring
 SHARE = 0.5  # of a host's distinct articles, that boilerplate is on
 LEAST_ARTICLES = 3  # distinct articles that boilerplate is on
+STRICT_SHARE, STRICT_LEAST = 0.8, 5  # the same for boilerplate inside an article element
+NEVER = 2**62  # more articles than any host has
 HASHES = 24  # minhashes of a page's text
 BAND = 4  # minhashes that two pages share to be compared
 ALIKE = 15  # minhashes that near copies share
@@ -269,24 +273,34 @@ def _minhashes(text: str, known: dict[str, int]) -> list[int] | None:
     return [int(((hashes * seed) >> np.uint64(33)).min()) for seed in _SEEDS]
 
 
+def _print(block: str) -> int | None:
+    if block.count(" ") + 1 < LONG:
+        return None
+    return int.from_bytes(hashlib.blake2b(block.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces the page by the article's text, whether that settles the page, the other blocks, and minhashes of what may be its text."""
+    """Replaces the page by the article's text, whether that settles the page, the other blocks, and minhashes of what may be its text.
+
+    ``prints`` are hashes of the article's blocks of LONG tokens and more, null for shorter ones.
+    """
     kind = pa.list_(pa.struct([("status", pa.int32()), ("text", pa.string())]))
     for batch in batches:
         for at in range(0, len(batch), 128):
             some = batch.slice(at, 128)
-            texts, settled, others, sizes, hashes = [], [], [], [], []
+            texts, settled, others, sizes, hashes, prints = [], [], [], [], [], []
             known: dict[str, int] = {}
             for page in some.column(4).fill_null("").to_pylist():
                 found = blocks_of(page)
                 rest = [{"status": s, "text": t} for s, t in found if s != ARTICLE]
                 texts.append("\n".join(t for s, t in found if s == ARTICLE))
+                prints.append([_print(t) for s, t in found if s == ARTICLE])
                 settled.append(all(b["status"] != DOUBTFUL for b in rest))
                 others.append(rest)
                 sizes.append(sum(b["text"].count(" ") + 1 for b in rest))
                 hashes.append(_minhashes(texts[-1] or "\n".join(b["text"] for b in rest if b["status"] == DOUBTFUL), known))
-            made = [pa.array(texts, pa.string()), pa.array(settled, pa.bool_()), pa.array(others, kind), pa.array(sizes, pa.int64()), pa.array(hashes, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*some.columns[:4], *made], names=["row", "id", "url", "host", "article", "settled", "others", "tokens", "hashes"])
+            made = [pa.array(texts, pa.string()), pa.array(settled, pa.bool_()), pa.array(others, kind), pa.array(sizes, pa.int64()), pa.array(hashes, pa.list_(pa.int32())), pa.array(prints, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*some.columns[:4], *made], names=["row", "id", "url", "host", "article", "settled", "others", "tokens", "hashes", "prints"])
 
 
 def _articles(parsed: DataFrame) -> DataFrame:
@@ -313,7 +327,7 @@ def _articles(parsed: DataFrame) -> DataFrame:
 
 def _streams(table: pa.Table) -> tuple[list[list[list[str]]], np.ndarray, np.ndarray, np.ndarray]:
     """Tokens by page and block; all tokens as numbers that are equal for equal tokens anywhere; page and place of each."""
-    pages = [[b["text"].split(" ") for b in row or []] for row in table["others"].to_pylist()]
+    pages = [[b["text"].split(" ") for b in row or []] for row in table["blocks"].to_pylist()]
     flat = [t for page in pages for block in page for t in block]
     known: dict[str, int] = {}
     for t in flat:
@@ -326,45 +340,106 @@ def _streams(table: pa.Table) -> tuple[list[list[list[str]]], np.ndarray, np.nda
     return pages, numbers, page, left
 
 
-def _starts(numbers: np.ndarray, page: np.ndarray, left: np.ndarray, same: np.ndarray, need: int) -> np.ndarray:
-    """Whether LONG tokens that occur on ``need`` different articles begin at each token.
+def _suffix_array(numbers: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes in order, and how many tokens each has in common with the one before it; a suffix ends with its page.
 
-    Suffixes are ranked by ever longer prefixes; neighbours of equal rank at the end share LONG tokens.
+    Ranks by ever longer prefixes, until all differ or the longest suffix is passed; the ranks then give the common prefixes.
     """
+    n = len(numbers)
     rank = np.unique(numbers, return_inverse=True)[1].astype(np.int64)
-    size = 1
-    while size < LONG:
-        step = min(size, LONG - size)
-        after = np.full(len(rank), -1, dtype=np.int64)
-        after[: len(rank) - step] = rank[step:]
-        after[left <= step] = -1  # a suffix ends with its page
-        pair = rank * (len(rank) + 2) + after + 1
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        size += step
-    order = np.lexsort((same[page], rank))
-    order = order[(left[order] >= LONG) & (same[page][order] >= 0)]
-    group, content = rank[order], same[page][order]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (group[1:] != group[:-1]) | (content[1:] != content[:-1])
-    return (np.bincount(group[new], minlength=len(rank) + 1)[rank] >= need) & (left >= LONG)
-
-
-def _covered(starts: np.ndarray) -> np.ndarray:
-    cover = np.zeros(len(starts) + LONG, dtype=np.int64)
-    np.add.at(cover, np.flatnonzero(starts), 1)
-    np.add.at(cover, np.flatnonzero(starts) + LONG, -1)
-    return np.cumsum(cover)[: len(starts)] > 0
-
-
-def _unique_blocks(blocks: list[dict], words: list[list[str]], starts: np.ndarray) -> str:
-    """The doubtful blocks that repeated substrings do not cover whole."""
-    covered, kept, at = _covered(starts), [], 0
+    ranks, size = [rank], 1
+    while size < left.max() and rank.max() + 1 < n:
+        after = np.full(n, -1, dtype=np.int64)
+        after[: n - size] = rank[size:]
+        after[left <= size] = -1
+        rank = np.unique(rank * (n + 2) + after + 1, return_inverse=True)[1].astype(np.int64)
+        ranks.append(rank)
+        size *= 2
+    order = np.argsort(rank, kind="stable")
+    one, other = order[:-1], order[1:]
+    rest = np.minimum(left[one], left[other])
+    common = np.zeros(n, dtype=np.int64)
+    h = np.zeros(n - 1, dtype=np.int64)
+    for k in range(len(ranks) - 1, -1, -1):
+        x, y = np.minimum(one + h, n - 1), np.minimum(other + h, n - 1)
+        equal = (h < rest) & (ranks[k][x] == ranks[k][y])
+        h = np.where(equal, np.minimum(h + (1 << k), rest), h)
+    common[1:] = h
+    return order, common
+
+
+def _ranges(values: np.ndarray, best: np.ufunc, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Least or greatest of ``values`` from first to last, both included."""
+    table = [values]
+    while 2 << (len(table) - 1) <= len(values):
+        half = 1 << (len(table) - 1)
+        table.append(best(table[-1][:-half], table[-1][half:]))
+    level = np.frexp(last - first + 1)[1] - 1
+    out = np.empty(len(first), dtype=values.dtype)
+    for k in np.unique(level):
+        at = level == k
+        out[at] = best(table[k][first[at]], table[k][last[at] - (1 << k) + 1])
+    return out
+
+
+def _longest(order: np.ndarray, common: np.ndarray, article: np.ndarray, need: int) -> np.ndarray:
+    """Length of the longest substring at each token that begins on ``need`` different articles too; ``article`` by token, -1 for none.
+
+    For every suffix in order, the nearest ones behind and before it so that ``need`` articles lie between them; what all of these have in
+    common is a repeated substring of each.
+    """
+    n, colours = len(order), article[order].tolist()
+    reach, counts, distinct, r = np.full(n, n, dtype=np.int64), {}, 0, 0
+    if need > len(set(colours) - {-1}):
+        return np.zeros(n, dtype=np.int64)
+    for at in range(n):
+        while distinct < need and r < n:
+            c = colours[r]
+            r += 1
+            if c >= 0:
+                seen = counts.get(c, 0)
+                counts[c] = seen + 1
+                distinct += not seen
+        if distinct < need:
+            break
+        reach[at] = r - 1
+        c = colours[at]
+        if c >= 0:
+            counts[c] -= 1
+            distinct -= not counts[c]
+    shared = np.zeros(n, dtype=np.int64)
+    some = np.flatnonzero((reach < n) & (reach > np.arange(n)))
+    shared[some] = _ranges(common, np.minimum, some + 1, reach[some])
+    place = np.arange(n)
+    around = _ranges(shared, np.maximum, np.minimum(np.searchsorted(reach, place), place), place)
+    nearest = np.searchsorted(reach, place, side="right") - 1  # the last suffix with enough articles up to this one
+    some = np.flatnonzero(nearest >= 0)
+    around[some] = np.maximum(around[some], _ranges(common, np.minimum, nearest[some] + 1, some))
+    longest = np.empty(n, dtype=np.int64)
+    longest[order] = around
+    return longest
+
+
+def _covered(longest: np.ndarray) -> np.ndarray:
+    """Whether substrings of LONG tokens and more cover a token."""
+    starts = np.flatnonzero(longest >= LONG)
+    cover = np.zeros(len(longest) + 1, dtype=np.int64)
+    np.add.at(cover, starts, 1)
+    np.add.at(cover, starts + longest[starts], -1)
+    return np.cumsum(cover)[: len(longest)] > 0
+
+
+def _judged(blocks: list[dict], words: list[list[str]], covered: np.ndarray, strictly: np.ndarray) -> tuple[str, list[str]]:
+    """The doubtful blocks that repeated substrings do not cover whole, and the blocks of the article that they do."""
+    kept, gone, at = [], [], 0
     for block, tokens in zip(blocks, words, strict=True):
         end = at + len(tokens)
         if block["status"] == DOUBTFUL and not covered[at:end].all():
             kept.append(block["text"])
+        elif block["status"] == ARTICLE and strictly[at:end].all():
+            gone.append(block["text"])
         at = end
-    return "\n".join(kept)
+    return "\n".join(kept), gone
 
 
 def _window_hashes(numbers: np.ndarray) -> np.ndarray:
@@ -375,73 +450,111 @@ def _window_hashes(numbers: np.ndarray) -> np.ndarray:
 
 
 def _sorted_shard(table: pa.Table) -> pa.Table:
-    """Per page its text, and for hosts of several shards the windows that begin at uncovered doubtful tokens or could cover others."""
+    """Per page its doubtful text and the blocks that its article loses, and for hosts of several shards the windows of LONG tokens."""
     pages, numbers, page, left = _streams(table)
-    same = table["same"].fill_null(-1).to_numpy()
-    starts = _starts(numbers, page, left, same, table["need"][0].as_py()) if len(numbers) else np.zeros(0, bool)
+    article = table["same"].fill_null(-1).to_numpy()[page]
+    need, strict = table["need"][0].as_py(), table["strict"][0].as_py()
+    runs = [np.zeros(len(numbers), dtype=np.int64)] * 2
+    if len(numbers):
+        order, common = _suffix_array(numbers, left)
+        runs = [_longest(order, common, article, k) for k in (need, strict)]
+    covers = [_covered(r) for r in runs]
     ends = np.concatenate([[0], np.cumsum(np.bincount(page, minlength=len(pages)))]).astype(int)
     hashes = _window_hashes(numbers)
     several = table["shards"][0].as_py() > 1
-    texts, flags, windows = [], [], []
-    for i, (blocks, words) in enumerate(zip(table["others"].to_pylist(), pages, strict=True)):
+    texts, gone, windows = [], [], []
+    for i, (blocks, words) in enumerate(zip(table["blocks"].to_pylist(), pages, strict=True)):
         a, b = ends[i], ends[i + 1]
-        texts.append(_unique_blocks(blocks or [], words, starts[a:b]))
-        flags.append(starts[a:b].tolist())
+        text, lost = _judged(blocks or [], words, covers[0][a:b], covers[1][a:b])
+        texts.append(text)
+        gone.append(lost)
         windows.append(hashes[a : max(a, b - LONG + 1)].view(np.int64).tolist() if several else [])
     return pa.table(
         {
             "row": table["row"], "host": table["host"], "same": table["same"], "doubtful": pa.array(texts, pa.string()),
-            "starts": pa.array(flags, pa.list_(pa.bool_())), "windows": pa.array(windows, pa.list_(pa.int64())),
+            "gone": pa.array(gone, pa.list_(pa.string())), "windows": pa.array(windows, pa.list_(pa.int64())),
         }
     )
 
 
 def _settled_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of pages of several shards, with the windows that other shards have too."""
+    """The same for pages of several shards, with the windows that are on enough articles of all shards."""
     for batch in batches:
-        texts = []
-        for blocks, starts, windows, repeated in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True):
-            blocks = blocks or []
-            begins = np.array(starts or [], dtype=bool)
-            if windows and repeated:
-                begins[: len(windows)] |= np.isin(np.array(windows, np.int64), np.array(repeated, np.int64))
-            texts.append(_unique_blocks(blocks, [b["text"].split(" ") for b in blocks], begins))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "doubtful"])
+        texts, gone = [], []
+        for blocks, windows, *repeated in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True):
+            words = [b["text"].split(" ") for b in blocks or []]
+            covers = []
+            for known in repeated:
+                runs = np.zeros(sum(map(len, words)), dtype=np.int64)
+                if windows and known:
+                    runs[: len(windows)] = np.where(np.isin(np.array(windows, np.int64), np.array(known, np.int64)), LONG, 0)
+                covers.append(_covered(runs))
+            text, lost = _judged(blocks or [], words, *covers)
+            texts.append(text)
+            gone.append(lost)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(texts, pa.string()), pa.array(gone, pa.list_(pa.string()))], names=["row", "again", "gone_again"]
+        )
+
+
+def _reopened(parsed: DataFrame, same: DataFrame) -> DataFrame:
+    """row, more: the blocks of a page's article that LEAST_ARTICLES different articles of its host have."""
+    prints = parsed.where("host <> ''").select("row", "host", F.posexplode("prints").alias("place", "print")).where("print is not null")
+    seen = prints.join(same.select("row", "same"), "row").select("host", "print", "same").distinct()
+    common = seen.groupBy("host", "print").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_ARTICLES).select("host", "print")
+    places = prints.join(materialize(common, "prints"), ["host", "print"]).groupBy("row").agg(F.array_sort(F.collect_list("place")).alias("places"))
+    block = lambda i: F.struct(F.lit(ARTICLE).alias("status"), F.element_at(F.split("article", "\n"), i + 1).alias("text"))
+    found = parsed.select("row", "article").join(materialize(places, "places"), "row").select("row", F.transform("places", block).alias("more"))
+    return materialize(found, "reopened")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: id and url as given, text (blocks joined by a line feed) and n_chars.
 
-    A null or empty page has an empty text. Near copies count as one article, so they do not make each other boilerplate. Nothing is
+    A null or empty page has an empty text. A notice inside the article elements of most articles of a host goes too. Near copies count as one article, so they do not make each other boilerplate. Nothing is
     boilerplate on pages without a host. Rows that repeat are extracted each; other columns are not looked at.
     """
     given = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     given = given.select("row", "id", "url", host_and_path(F.col("url"))[0].alias("host"), "html")
     shape = given.drop("html").schema.add("article", "string").add("settled", "boolean").add("others", _BLOCK).add("tokens", "long").add("hashes", T.ArrayType(T.IntegerType()))
-    parsed = materialize(given.mapInArrow(_parsed, shape), "blocks")
+    parsed = materialize(given.mapInArrow(_parsed, shape.add("prints", T.ArrayType(T.LongType()))), "blocks")
     same = _articles(parsed)
+    more = _reopened(parsed, same)
+
     # Pages without a host have nothing in common: no number of articles is enough for them.
-    least = F.when(F.col("host") != "", F.greatest(F.lit(LEAST_ARTICLES), F.ceil(F.col("articles") * SHARE))).otherwise(F.lit(2**62)).cast("long")
-    need = same.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("articles")).select("host", least.alias("need"))
-    totals = parsed.groupBy("host").agg(F.sum("tokens").alias("n")).join(need, "host", "left")
+    enough = lambda least, share: F.when(F.col("host") != "", F.greatest(F.lit(least), F.ceil(F.col("articles") * share))).otherwise(F.lit(NEVER)).cast("long")
+    need = same.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("articles"))
+    need = need.select("host", enough(LEAST_ARTICLES, SHARE).alias("need"), enough(STRICT_LEAST, STRICT_SHARE).alias("strict"))
+    added = F.aggregate("more", F.lit(0).cast("long"), lambda n, b: n + F.size(F.split(b["text"], " ")))
+    sizes = parsed.select("row", "host", "tokens").join(more, "row", "left").select("host", (F.col("tokens") + F.coalesce(added, F.lit(0))).alias("tokens"))
+    totals = sizes.groupBy("host").agg(F.sum("tokens").alias("n")).join(need, "host", "left")
     shards = F.greatest(F.lit(1), F.ceil(F.col("n") / SHARD_TOKENS)).cast("int").alias("shards")
-    hosts = materialize(totals.select("host", shards, F.coalesce("need", F.lit(2**62)).alias("need")), "shards")
-    dealt = parsed.select("row", "host", "others").join(hosts, "host").join(same.select("row", "same"), "row", "left")
-    dealt = dealt.withColumn("shard", F.expr("cast(pmod(xxhash64(row), shards) as int)"))
-    result = "row long, host string, same long, doubtful string, starts array<boolean>, windows array<long>"
-    done = dealt.select("row", "host", "same", "others", "shards", "need", "shard").groupBy("host", "shard").applyInArrow(_sorted_shard, result)
+    hosts = materialize(totals.select("host", shards, *[F.coalesce(k, F.lit(NEVER)).alias(k) for k in ("need", "strict")]), "shards")
+    blocks = F.concat("others", F.coalesce("more", F.array().cast(_BLOCK))).alias("blocks")
+    dealt = parsed.select("row", "host", "others", "settled").join(more, "row", "left").select("row", "host", blocks, (~F.col("settled") | F.col("more").isNotNull()).alias("open"))
+    dealt = dealt.join(hosts, "host").join(same.select("row", "same"), "row", "left").withColumn("shard", F.expr("cast(pmod(xxhash64(row), shards) as int)"))
+    result = "row long, host string, same long, doubtful string, gone array<string>, windows array<long>"
+    done = dealt.select("row", "host", "same", "blocks", "shards", "need", "strict", "shard").groupBy("host", "shard").applyInArrow(_sorted_shard, result)
     done = materialize(done, "runs")
-    # Windows of large hosts that lie on enough articles.
+
+    # Windows of large hosts that lie on enough articles of all shards.
     spread = done.where(F.size("windows") > 0).select("row", "host", "same", F.explode("windows").alias("window"))
     counts = spread.where("same is not null").select("host", "window", "same").distinct().groupBy("host", "window").agg(F.count("*").alias("n"))
-    repeated = counts.join(hosts, "host").where("n >= need").select("host", "window")
-    mine = spread.join(materialize(repeated, "windows"), ["host", "window"]).groupBy("row").agg(F.collect_set("window").alias("repeated"))
-    open_pages = parsed.where("not settled").select("row", "others")
-    again = open_pages.join(done.where(F.size("windows") > 0).select("row", "starts", "windows"), "row").join(mine, "row", "left")
-    again = again.select("row", "others", "starts", "windows", "repeated").mapInArrow(_settled_again, "row long, doubtful string").withColumnRenamed("doubtful", "again")
-    # Settled pages need nothing from the runs; only the others are joined with them.
-    rest = parsed.where("not settled").select("row", "id", "url", "article").join(done.select("row", "doubtful"), "row").join(again, "row", "left")
+    repeated = counts.join(hosts, "host").where("n >= need").select("host", "window", (F.col("n") >= F.col("strict")).alias("strictly"))
+    mine = spread.join(materialize(repeated, "windows"), ["host", "window"]).groupBy("row")
+    mine = mine.agg(F.collect_set("window").alias("repeated"), F.collect_set(F.when(F.col("strictly"), F.col("window"))).alias("strictly"))
+    again = dealt.where("open").select("row", "blocks").join(done.where(F.size("windows") > 0).select("row", "windows"), "row").join(mine, "row", "left")
+    again = again.select("row", "blocks", "windows", "repeated", "strictly").mapInArrow(_settled_again, "row long, again string, gone_again array<string>")
+    again = materialize(again, "again")
+
+    # Settled pages are joined only with the blocks that their articles lose.
+    lost = done.where(F.size("gone") > 0).select("row", "gone").join(again.where(F.size("gone_again") > 0).select("row", "gone_again"), "row", "full")
+    lost = materialize(lost.select("row", F.coalesce("gone_again", "gone").alias("gone")), "lost")
+    left_over = F.array_join(F.filter(F.split("article", "\n"), lambda b: ~F.array_contains("gone", b)), "\n")
+    settled = parsed.where("settled").select("row", "id", "url", "article").join(lost, "row", "left")
+    settled = settled.select("id", "url", F.when(F.col("gone").isNull(), F.col("article")).otherwise(left_over).alias("text"))
+    rest = parsed.where("not settled").select("row", "id", "url", "article").join(done.select("row", "doubtful"), "row").join(again.select("row", "again"), "row", "left")
     text = F.concat_ws("\n", F.nullif("article", F.lit("")), F.nullif(F.coalesce("again", "doubtful"), F.lit("")))
-    out = parsed.where("settled").select("id", "url", F.col("article").alias("text")).union(rest.select("id", "url", text.alias("text")))
+    out = settled.union(rest.select("id", "url", text.alias("text")))
     out = out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")
     return out.withColumn("n_chars", F.length("text").cast("long"))

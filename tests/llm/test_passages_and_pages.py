@@ -1,6 +1,7 @@
 """Benchmark passages against a full edit distance, URL rules against a plain loop, page texts against a plain reading."""
 
 import html
+import os
 import random
 import re
 import time
@@ -273,3 +274,43 @@ def test_near_copies_and_shared_quotes_stay(spark, monkeypatch, shard):
     for i, parts in copies.items():
         assert got[i] == "\n".join([menu, *parts, frame]), i
     assert all(got[i].startswith(quote) for i in range(40, 46))
+
+
+def test_suffix_array_against_sorted_suffixes():
+    rng = np.random.default_rng(6)
+    for round_ in range(60):
+        sizes = rng.integers(0, 25, rng.integers(1, 8))
+        pages = [rng.integers(0, rng.integers(1, 5), n).tolist() for n in sizes]
+        if round_ % 3 == 0:
+            pages += pages[:2]
+        flat = [t for p in pages for t in p]
+        if not flat:
+            continue
+        suffixes = [tuple(p[k:]) for p in pages for k in range(len(p))]
+        page = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
+        left = np.array([len(s) for s in suffixes])
+        order, common = htmltext._suffix_array(np.array(flat, np.uint64), left)
+        ordered = [suffixes[k] for k in order]
+        assert ordered == sorted(suffixes)
+        assert common.tolist() == [0, *(len(os.path.commonprefix([a, b])) for a, b in zip(ordered, ordered[1:], strict=False))]
+        article = rng.integers(-1, 5, len(pages))[page]
+        for need in (2, 3, 4, 2**62):
+            got = htmltext._longest(order, common, article, need)
+            for s, n in zip(suffixes, got.tolist(), strict=True):
+                on = lambda k, s=s: len({c for t, c in zip(suffixes, article.tolist(), strict=True) if c >= 0 and t[:k] == s[:k] and len(t) >= k})
+                assert n == max([k for k in range(1, len(s) + 1) if on(k) >= need], default=0)
+
+
+@pytest.mark.parametrize("shard", [60, 10**6])
+def test_notices_inside_articles_go(spark, monkeypatch, shard):
+    monkeypatch.setattr(htmltext, "SHARD_TOKENS", shard)
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) for _ in range(n))
+    notice, quote, short = prose(14), prose(30), "Share this"
+    parts = {i: [short, prose(40), *([quote] if i < 12 else []), prose(30)] for i in range(20)}
+    rows = [(i, "http://one.x/", "<article>" + "".join(f"<p>{t}</p>" for t in [*p, notice]) + "</article><p>out</p>") for i, p in parts.items()]
+    rows += [(100 + i, f"http://few.x/{i}", f"<article><p>{prose(30)}</p><p>{notice}</p></article>") for i in range(4)]  # too few articles to tell
+    rows += [(200, None, f"<article><p>{notice}</p></article>")]
+    got = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i: got[i] for i in parts} == {i: "\n".join(p) for i, p in parts.items()}
+    assert all(got[100 + i].endswith("\n" + notice) for i in range(4)) and got[200] == notice
