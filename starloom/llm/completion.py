@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 
 NODES = 2500  # steps of the search; the incumbent stands when they are used up
+LOOKS = 200  # lengths that the listing of fillings may add, for each step
 TRIED = 24  # steps between attempts to pack the rest by best fit
 
 Bin = tuple[int, ...]
@@ -28,6 +29,19 @@ class Solution:
     bound: int  # no packing has fewer bins
 
 
+@dataclass
+class Effort:
+    """What the listing of fillings may still do; without a limit all."""
+
+    left: int | None
+
+    def spent(self) -> bool:
+        if self.left is None:
+            return False
+        self.left -= 1
+        return self.left < 0
+
+
 def best_fit(counts: np.ndarray, size: int) -> list[tuple[int, Bin]]:
     """Best-fit decreasing: every length in turn goes to the fullest bins that take it, alike bins together."""
     open_bins: dict[int, list[tuple[int, Bin]]] = {}  # by room
@@ -89,6 +103,16 @@ def _spread(sums: int, by: int) -> int:
     return sums
 
 
+def _spread_down(sums: int, by: int) -> int:
+    """The sums and all up to ``by`` below them."""
+    done = 0
+    while done < by:
+        step = min(done + 1, by - done)
+        sums |= sums >> step
+        done += step
+    return sums
+
+
 def dominated(filling: Bin, left: int, slack: int) -> bool:
     """Whether a length of ``left`` (bits) could take the place of some of the filling's, or of none, and waste less or hold fewer."""
     singles = some = several = 0
@@ -100,44 +124,76 @@ def dominated(filling: Bin, left: int, slack: int) -> bool:
     return bool((_spread(several, slack) | larger) & left & ~1)
 
 
-def fillings(counts: np.ndarray, room: int, slack: int) -> Iterator[tuple[int, Bin]]:
-    """(waste, lengths) of the undominated fillings of ``room`` that waste ``slack`` at most: least waste, then largest lengths first."""
+def fillings(counts: np.ndarray, room: int, slack: int, effort: Effort | None = None) -> Iterator[tuple[int, Bin]]:
+    """(waste, lengths) of the undominated fillings of ``room`` that waste ``slack`` at most: least waste, then largest lengths first.
+
+    Lengths are added from the largest down, so what dominates a part of a filling is larger than all that follows and stays so.
+    A length that would make the part dominated is never added: of the fillings that add up to ``room``, which can be too many to
+    list, few are looked at. Lengths that fit into the waste are all in the filling, or it is dominated. Each length added counts as ``effort``.
+    """
+    effort = effort or Effort(None)
     lengths = np.flatnonzero(counts[: room + 1]).tolist()
-    reach = _reach(counts, lengths, room)
     present = sum(1 << length for length in lengths)
     place = {length: i for i, length in enumerate(lengths)}
 
-    def exact(target: int, upto: int) -> Iterator[Bin]:
+    def exact(target: int, upto: int, sums: int, left: int) -> Iterator[Bin]:
+        """Lengths up to a place that add up to ``target``, after others whose parts make ``sums``; ``left`` are those not used up."""
         if target == 0:
             yield ()
             return
-        for i in range(upto, -1, -1):
-            if not reach[i] >> target & 1:
+        near = _spread_down(left, waste)
+        barred = _spread_down(left >> 1, waste - 1) if waste else 0
+        rest = sums
+        while rest:
+            at = rest.bit_length() - 1
+            barred |= near >> at
+            rest ^= 1 << at
+        free = present & ~barred & (1 << min(lengths[upto], target) + 1) - 1 if upto >= 0 else 0
+        while free:
+            length = free.bit_length() - 1
+            free ^= 1 << length
+            i = place[length]
+            if not reach[i] >> target & 1 or effort.spent():
                 return
-            length = lengths[i]
-            for copies in range(min(int(counts[length]), target // length), 0, -1):
-                rest = target - copies * length
-                if rest == 0:
+            most = min(int(counts[length]), target // length)
+            made = [sums, sums | 1 << length | sums << length]  # the sums with none and more copies
+            while len(made) <= most and not made[-1] << length & near:
+                made.append(made[-1] | made[-1] << length)
+            for copies in range(len(made) - 1, 0, -1):
+                after = target - copies * length
+                if after == 0:
                     yield (length,) * copies
-                elif i and reach[i - 1] >> rest & 1:
-                    yield from ((length,) * copies + more for more in exact(rest, i - 1))
+                elif i and reach[i - 1] >> after & 1:
+                    unused = left & ~(1 << length) if copies == counts[length] else left
+                    yield from ((length,) * copies + more for more in exact(after, i - 1, made[copies], unused))
 
+    small: Bin = ()  # those that fit into the waste, with all their copies
+    sums, left, reach = 0, present, _reach(counts, lengths, room)
     for waste in range(min(slack, room) + 1):
-        for filling in exact(room - waste, len(lengths) - 1):
-            used = 0
-            for length in set(filling):
-                if filling.count(length) == counts[lengths[place[length]]]:
-                    used |= 1 << length
+        if waste and counts[waste]:
+            if sum(small) + waste * int(counts[waste]) > room - waste:
+                return  # nor does it with more waste
+            small = (waste,) * int(counts[waste]) + small
+            for _ in range(int(counts[waste])):
+                sums |= 1 << waste | sums << waste
+            left &= ~(1 << waste)
+            larger = lengths[place[waste] + 1 :]
+            reach = [1] * (len(lengths) - len(larger)) + _reach(counts, larger, room)
+        if sum(small) > room - waste:
+            return
+        for filling in exact(room - waste - sum(small), len(lengths) - 1, sums, left):
+            filling += small
+            used = sum(1 << length for length in set(filling) if filling.count(length) == counts[length])
             if not dominated(filling, present & ~used, waste):
                 yield waste, filling
 
 
-def _steps(counts: np.ndarray, size: int, slack: int) -> Iterator[tuple[int, Bin, int]]:
+def _steps(counts: np.ndarray, size: int, slack: int, effort: Effort) -> Iterator[tuple[int, Bin, int]]:
     """(bins, lengths of each, waste of all) around the largest length: as many bins as can be, then fewer."""
     largest = int(np.flatnonzero(counts)[-1])
     rest = counts.copy()
     rest[largest] -= 1
-    for waste, filling in fillings(rest, size - largest, slack):
+    for waste, filling in fillings(rest, size - largest, slack, effort):
         lengths = (largest, *filling)
         most = min(int(counts[length]) // lengths.count(length) for length in set(lengths))
         if waste:
@@ -149,7 +205,7 @@ def _steps(counts: np.ndarray, size: int, slack: int) -> Iterator[tuple[int, Bin
 def completed(counts: np.ndarray, size: int, nodes: int = NODES) -> Solution:
     """Patterns that hold ``counts[n]`` pieces of every length n from 1 to ``size``, in as few bins as the search finds.
 
-    ``nodes`` bounds the effort, not the pieces: all are packed. Given enough nodes the number of bins is the least there is.
+    ``nodes`` bounds the effort, with LOOKS for each, not the pieces: all are packed. Given enough nodes the number of bins is the least there is.
     """
     counts = counts.astype(np.int64)
     best = best_fit(counts, size)
@@ -160,6 +216,7 @@ def completed(counts: np.ndarray, size: int, nodes: int = NODES) -> Solution:
     stack: list[list] = []
     seen: dict[bytes, int] = {}
     done = lost = steps = 0
+    effort = Effort(nodes * LOOKS)
 
     def allowed() -> int:
         """Waste that one bin less than the incumbent leaves."""
@@ -170,7 +227,7 @@ def completed(counts: np.ndarray, size: int, nodes: int = NODES) -> Solution:
             left[length] -= times
 
     if solution.bins > bound:
-        stack.append([_steps(left.copy(), size, allowed()), None])
+        stack.append([_steps(left.copy(), size, allowed(), effort), None])
     while stack and steps < nodes and solution.bins > bound:
         choices, chosen = stack[-1]
         if chosen:
@@ -198,5 +255,5 @@ def completed(counts: np.ndarray, size: int, nodes: int = NODES) -> Solution:
             if done + sum(n for n, _ in rest) < solution.bins:
                 solution = Solution(done + sum(n for n, _ in rest), packed + rest, bound)
                 continue
-        stack.append([_steps(left.copy(), size, allowed() - lost), None])
+        stack.append([_steps(left.copy(), size, allowed() - lost, effort), None])
     return solution

@@ -1,6 +1,7 @@
 """Bin completion against the best packing of small sets, and packing as a round trip."""
 
 import random
+import signal
 
 import numpy as np
 import public_tokenizers
@@ -79,6 +80,27 @@ def test_undominated_fillings_are_all_there():
             assert any(holds(list(one), list(filling)) for one in got) or not got and not filling
 
 
+@pytest.fixture
+def seconds():
+    """Ends what takes longer."""
+
+    def late(*_):
+        raise TimeoutError
+
+    before = signal.signal(signal.SIGALRM, late)
+    yield signal.alarm
+    signal.alarm(0)
+    signal.signal(signal.SIGALRM, before)
+
+
+def test_many_lengths_are_not_all_gone_through(seconds):
+    counts = np.array([0, *[5] * 600])
+    seconds(20)
+    assert list(completion.fillings(counts, 600, 0)) == [(0, (600,))]
+    counts[1:41] = 0  # without short lengths some waste can be had, too
+    assert [f for f in completion.fillings(counts, 600, 40) if len(f[1]) == 1] == [(0, (600,))]
+
+
 @pytest.mark.parametrize("n, times", [(0, 1), (1, 1000), (7, 1000), (5000, 1), (5000, 1000)])
 def test_large_counts_lose_nothing(n, times):
     rng = np.random.default_rng(n)
