@@ -14,7 +14,7 @@ from starloom.operators.facts import batch_months
 from starloom.plans import generic, loads
 from starloom.plans.loads import Warehouse
 from starloom.plans.shared_tables import STAMPS, stage
-from starloom.session import children
+from starloom.session import SPLIT, SPLIT_BYTES, children, materialize, small_splits
 from starloom.sources import maintenance
 from starloom.sources.tables import Table, write_rows
 from starloom.spec import HIGH_DATE
@@ -53,6 +53,41 @@ def test_versions_of_a_dimension_over_three_loads(house, text):
     assert log == [("load_dim_person", "SUCCESS", 1, 1), ("load_dim_person", "SUCCESS", 2, 0), ("load_dim_person", "SUCCESS", 2, 1)]
 
 
+def test_large_batch_is_read_by_many_tasks(spark, monkeypatch):
+    lines = spark.range(0, 20_000, 1, 1).select("id", F.md5(F.col("id").cast("string")).alias("text"))
+    monkeypatch.setattr("starloom.session.SPLIT_BYTES", 50_000)
+    batch, own = materialize(lines, "batch", 25_000), spark.conf.get(SPLIT)
+    with small_splits(spark):
+        assert batch.select(F.spark_partition_id()).distinct().count() > 8
+    assert spark.conf.get(SPLIT) == own and rows(batch) == rows(lines)
+
+
+def test_splits_a_session_made_smaller_stay(spark, monkeypatch):
+    own = spark.conf.get(SPLIT)
+    spark.conf.set(SPLIT, "1m")
+    try:
+        with pytest.raises(ValueError), small_splits(spark):
+            assert spark.conf.get(SPLIT) == "1m"
+            raise ValueError
+        assert spark.conf.get(SPLIT) == "1m"
+    finally:
+        spark.conf.set(SPLIT, own)
+
+
+def test_fact_load_sorts_small_splits_by_the_id_first(house, text, spark, sale_dims, monkeypatch):
+    seen, write = [], loads.write_fact_rows
+
+    def spy(resolved, *rest):
+        plan = resolved._jdf.queryExecution().optimizedPlan().toString()
+        seen.append((int(spark.conf.get(SPLIT)), "windowspecdefinition(sale_id" in plan))
+        write(resolved, *rest)
+
+    monkeypatch.setattr(loads, "write_fact_rows", spy)
+    own = spark.conf.get(SPLIT)
+    house.load_fact(sale_lines(text, 0, 5), generic.SALES, DAY1, sale_dims)
+    assert seen == [(SPLIT_BYTES, True)] and spark.conf.get(SPLIT) == own
+
+
 def test_load_that_died_before_its_marker_is_invisible_and_its_retry_replaces_it(house, text, spark):
     house.load_dim(person(text, {"person_id": "1"}), PERSON, DAY1)
     before, table = segments(house), house.dim(PERSON)
