@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import materialize
+from starloom.session import files_for, materialize
 
 SLICE_BYTES = 1 << 20
 BATCH_ROWS = 1000  # texts in an Arrow batch; Spark's own 10,000 are tens of megabytes, held several times over
@@ -51,25 +51,23 @@ def strings(column: pa.Array, most: int = 256) -> Iterator[list[str]]:
 
 
 def linked_groups(edges: DataFrame) -> DataFrame:
-    """Connected components of ``edges`` (a, b): one row (node, root) per node, root its smallest reachable node.
+    """Connected components of ``edges`` (a, b): one row (node, root) per node but the roots, root its smallest reachable node.
 
-    Large stars and small stars alternate: every node points its neighbours at the smallest one, until nothing
-    changes. The number of edges never grows, and no node's neighbours are gathered in one place.
+    Large stars and small stars alternate: every node points its neighbours at the smallest one, until all point
+    at roots. The number of edges never grows, and no node's neighbours are gathered in one place. ``edges`` is
+    counted first, so it is best a scratch table: the stars have as many files as that many rows need.
     """
-    hold = lambda df: materialize(df.distinct(), "stars")
+    files = files_for(edges.sparkSession, edges.count())
+    hold = lambda df: materialize(df.distinct(), "stars", files=files)
     stars = hold(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-    seen = None
     while True:
-        state = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                stars.select("b", "b").distinct()
-            )
-        seen = state
         both = stars.union(stars.select("b", "a"))
+        ends = both.groupBy("a").agg(F.count(F.when(F.col("b") < F.col("a"), 1)).alias("up"), F.max("b").alias("high"))
+        if not ends.where("up > 1 or up = 1 and high > a").limit(1).count():  # every node is a root or points at one root only
+            return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         # Large star: the larger neighbours of each node point at the smallest of its surroundings.
-        large = hold(both.where("b > a").join(least, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")))
+        large = hold(stars.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("low").alias("b")))
         # Small star: the smaller neighbours of each node and the node itself do so.
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))

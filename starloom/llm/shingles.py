@@ -9,6 +9,7 @@ BAND_ROWS = 6
 BANDS = REGISTERS // BAND_ROWS
 MANTISSA_BITS = 10
 PROBES = 48
+RUN_SETS, RUN_HASHES = 4096, 1 << 18  # sets whose registers are filled at once, and the hashes they may have
 # Two different minima share a register value about this often: half the leading
 # ones agree and then ten mantissa bits (the sum over leading-zero counts of 4^-(z+1) / 2^10).
 COLLISION = (1 / 3) / 2**MANTISSA_BITS
@@ -95,6 +96,23 @@ def _probe_table() -> np.ndarray:
 _PROBE = _probe_table()
 
 
+def _fill(table: np.ndarray, sets: list[np.ndarray], sizes: np.ndarray) -> None:
+    """Write the registers that the sets fill themselves. The sets are sorted, so the smallest hash of a register is the first with its leading byte."""
+    hashes = np.concatenate(sets) if len(sets) > 1 else sets[0]
+    if not len(hashes):
+        return
+    lead = (hashes >> np.uint64(56)).astype(np.uint8)
+    ends = np.cumsum(sizes)
+    first = np.ones(len(hashes), dtype=bool)
+    np.not_equal(lead[1:], lead[:-1], out=first[1:])
+    first[ends[ends < len(hashes)]] = True
+    at = np.flatnonzero(first)
+    part, power = np.frexp(((hashes[at] << np.uint64(8)) >> np.uint64(11)).astype(np.float64))
+    zeros = np.minimum(53 - power, 62)
+    mantissa = ((part * 2 - 1) * (1 << MANTISSA_BITS)).clip(0).astype(np.int64)
+    table[np.searchsorted(ends, at, side="right"), lead[at]] = (zeros + 1 << MANTISSA_BITS) | mantissa
+
+
 def registers(sets: list[np.ndarray]) -> np.ndarray:
     """One row of registers per set: leading zeros and mantissa of the smallest hash in each bucket.
 
@@ -102,25 +120,21 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     all sets, so any register of two sets agrees with the probability of their similarity. 0: the set is empty.
     """
     table = np.zeros((len(sets), REGISTERS), dtype=np.uint16)
-    edges = np.arange(REGISTERS, dtype=np.uint64) << np.uint64(56)
-    for row, hashes in zip(table, sets, strict=True):
-        if len(hashes):
-            at = np.searchsorted(hashes, edges)
-            least = hashes[np.minimum(at, len(hashes) - 1)]
-            full = (at < len(hashes)) & (least >> np.uint64(56) == np.arange(REGISTERS, dtype=np.uint64))
-            part, power = np.frexp(((least << np.uint64(8)) >> np.uint64(11)).astype(np.float64))
-            zeros = np.minimum(53 - power, 62)
-            mantissa = ((part * 2 - 1) * (1 << MANTISSA_BITS)).clip(0).astype(np.int64)
-            row[:] = np.where(full, (zeros + 1 << MANTISSA_BITS) | mantissa, 0)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    first = 0
+    while first < len(sets):  # runs of sets, one at least
+        stop = max(first + 1, int(np.searchsorted(np.cumsum(sizes[first : first + RUN_SETS]), RUN_HASHES, side="right")) + first)
+        _fill(table[first:stop], sets[first:stop], sizes[first:stop])
+        first = stop
     own = table.copy()
-    need = np.flatnonzero((own == 0).any(axis=1) & (own != 0).any(axis=1))
+    row, col = np.nonzero((own == 0) & (own != 0).any(axis=1)[:, None])
     for probe in _PROBE:
-        if not len(need):
+        if not len(row):
             break
-        got = table[need]
-        table[need] = np.where(got == 0, own[need][:, probe], got)
-        need = need[(table[need] == 0).any(axis=1)]
-    for k in need:  # very few filled buckets: the next filled one to the right, around the end
+        got = own[row, probe[col]]
+        table[row, col] = got
+        row, col = row[got == 0], col[got == 0]
+    for k in np.unique(row):  # very few filled buckets: the next filled one to the right, around the end
         filled = np.flatnonzero(own[k])
         near = filled[np.searchsorted(filled, np.arange(REGISTERS)) % len(filled)]
         table[k] = np.where(table[k] == 0, own[k][near], table[k])

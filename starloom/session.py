@@ -52,8 +52,9 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/starloom/{spark.sparkContext.applicationId}"
 
 
-def materialize(df: DataFrame, name: str, row_group: int | None = None) -> DataFrame:
-    """Write ``df`` as a scratch table and read it back. ``row_group`` bounds the bytes of a row group, where not Spark's own bound is to do so.
+def materialize(df: DataFrame, name: str, row_group: int | None = None, files: int | None = None) -> DataFrame:
+    """Write ``df`` as a scratch table and read it back. ``row_group`` bounds the bytes of a row group, where not Spark's own bound is to do so;
+    ``files`` bounds the files, where a table of few rows would come out of many shuffle partitions.
 
     What follows starts from files, so a lost executor costs a re-read and
     never a second, possibly different, run of the plan before it.
@@ -62,10 +63,16 @@ def materialize(df: DataFrame, name: str, row_group: int | None = None) -> DataF
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if (scope := _scope.get()) is not None:
         scope.append(path)
+    df = df.coalesce(files) if files else df
     (df.write.option(ROW_GROUP, row_group) if row_group else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def files_for(spark: SparkSession, rows: int, each: int = 100_000) -> int:
+    """How many files a table of ``rows`` rows needs with about ``each`` in a file, and enough for all cores whatever its size."""
+    return 2 * spark.sparkContext.defaultParallelism + rows // each
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete the scratch tables made inside once it is left; what is built on them must be written by then."""
