@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import time
 from dataclasses import replace
 from decimal import Decimal
 
@@ -8,7 +9,7 @@ from helpers import at, day, rows, scanned_files
 from pyspark.sql import functions as F
 from test_scd import PERSON, person
 
-from starloom.operators import control
+from starloom.operators import control, facts
 from starloom.operators.clean import REJECT
 from starloom.operators.facts import batch_months
 from starloom.plans import generic, loads
@@ -88,6 +89,44 @@ def test_fact_load_sorts_small_splits_by_the_id_first(house, text, spark, sale_d
     assert seen == [(SPLIT_BYTES, True)] and spark.conf.get(SPLIT) == own
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    before = shuffle_files(spark)
+    for _ in range(3):
+        materialize(spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 7).alias("k")).count(), "grouped")
+    until = time.time() + 10
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+
+
+def test_fact_load_in_slices_gives_the_rows_keys_and_counts_of_one(spark, tmp_path, text, sale_dims, monkeypatch):
+    wrote, write = [], loads.write_fact_rows
+    monkeypatch.setattr(loads, "write_fact_rows", lambda *a: (wrote.append(a[4]), write(*a)))
+    odd = text(" ".join(sale_lines(text, 0, 1).columns), *[
+        ("S", "3", "2024-02-01", "C1", "P1", None, None, "EUR", "1", "2", "0", "0", "9"),
+        ("S", "4", "?", "C1", "P1", None, None, "EUR", "1", "2", "0", "0", "2"),
+        ("S", None, "2024-01-31", "C1", "P1", None, None, "EUR", "1", "2", "0", "0", "2"),
+        (None, "5", "2024-01-31", "C1", "P1", None, None, "EUR", "1", "2", "0", "0", "2"),
+        ("S", "90", "2024-01-31", "C9", None, None, None, "EUR", "1", "2", "0", "0", "2"),
+    ])
+    batches = [sale_lines(text, 0, 12).unionAll(odd).coalesce(1), sale_lines(text, 8, 25).unionAll(odd).coalesce(1)]
+    seen = []
+    for name, most in (("whole", 1000), ("sliced", 8)):
+        monkeypatch.setattr(facts, "SLICE_ROWS", most)
+        house = Warehouse(spark, str(tmp_path / name))
+        counts = [house.load_checked_fact(b, generic.SALES, s, sale_dims) for b, s in zip(batches, (DAY1, DAY2))]
+        table = house.fact(generic.SALES)
+        checks = rows(house.checks().drop("check_key"))
+        seen.append((counts, rows(table.read()), rows(table.rejects().select(sorted(table.rejects().columns))), checks, table.marker().key_runs))
+    assert seen[0] == seen[1] and seen[0][0][0] == {"rows_inserted": 12, "rows_rejected": 3, "rows_set_aside": 2}
+    assert wrote[:2] == [False] * 2 and wrote[2:5] == [False, True, True]
+
+
 def test_load_that_died_before_its_marker_is_invisible_and_its_retry_replaces_it(house, text, spark):
     house.load_dim(person(text, {"person_id": "1"}), PERSON, DAY1)
     before, table = segments(house), house.dim(PERSON)
