@@ -9,24 +9,27 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import utc_text
-from starloom.session import children, delete, exists, materialize, scratch_scope
+from starloom.session import children, delete, exists, free_shuffles, materialize, scratch_scope
 from starloom.sources.tables import ACCEPTED, BUCKET, EPOCH, FILE, FILE_ROWS, MARKER, Table, numbered_children, read_or_none, write_rows
 
 # Fixed value: hours a superseded load stays readable, at least.
 RETENTION_HOURS = 168
+SPAN_ROWS = 40_000_000  # facts that a compaction shuffles at a time
 CURVE_BITS = 6  # of the rank in a column that a row is placed by
 CURVE_SAMPLE = 20_000  # rows that the ranges of the ranks are taken from
 
 
-def cluster(df: DataFrame, column: str | Sequence[str], spread_by: list[str], files: int | None = None, first: Sequence[str] = ()) -> DataFrame:
+def cluster(
+    df: DataFrame, column: str | Sequence[str], spread_by: list[str], files: int | None = None, first: Sequence[str] = (), place: Column | None = None
+) -> DataFrame:
     """Rows range-partitioned and sorted by a column, or along a curve through several.
 
     ``spread_by`` breaks ties, so that one value holding much of the table is cut into several ranges. ``first`` comes before
-    all. Without ``files`` Spark sizes the partitions.
+    all. Without ``files`` Spark sizes the partitions. ``place`` is the curve, where the rows are a part of those it was made of.
     """
     columns = [column] if isinstance(column, str) else list(column)
     by = [*first, columns[0] if len(columns) == 1 else "_curve", *spread_by]
-    rows = df if len(columns) == 1 else df.withColumn("_curve", curve(df, columns))
+    rows = df if len(columns) == 1 else df.withColumn("_curve", curve(df, columns) if place is None else place)
     ranged = rows.repartitionByRange(*by) if files is None else rows.repartitionByRange(files, *by)
     return ranged.sortWithinPartitions(*by).drop("_curve")
 
@@ -65,6 +68,7 @@ def compact_cluster(
     """Rewrite a fact or appended table as one load and publish it in place of the earlier ones.
 
     Facts are clustered by their date unless another column is given; several columns are clustered along a curve, within the months of a fact.
+    A large fact is shuffled and written some months at a time, unless ``files`` are given.
     """
     last = table.marker()
     if last is None:
@@ -72,17 +76,42 @@ def compact_cluster(
     column = column or table.clustered_by
     if table.kind not in ("fact", "rows") or column is None:
         raise ValueError(f"{table.path} is not a fact and names no column to cluster by")
-    load_id, rows, parts, first = last.load_id + 1, table.current(last), [], []
+    load_id, parts, first, spans = last.load_id + 1, [], [], [None]
     if table.kind == "fact":
-        month = F.expr(f"{table.clustered_by} div 100").cast("int")
-        rows = rows.withColumns({"status": F.lit(ACCEPTED), "date_month": month})
         parts = ["status", "date_month"]
         first = [] if column == table.clustered_by else ["date_month"]
-    write_rows(cluster(rows, column, spread_by, files, first), table.rows_path(load_id), *parts)
+        spans = _month_spans(table, last) if files is None else spans
+    place = None if isinstance(column, str) or len(column) == 1 else curve(table.current(last), column)
+    with free_shuffles(table.spark):
+        for number, months in enumerate(spans):
+            rows = table.current(last, months)
+            if table.kind == "fact":
+                month = F.expr(f"{table.clustered_by} div 100").cast("int")
+                rows = rows.withColumns({"status": F.lit(ACCEPTED), "date_month": month})
+            write_rows(cluster(rows, column, spread_by, files, first, place), table.rows_path(load_id), *parts, append=number > 0)
     table.publish(load_id, now, last, base_load_id=load_id, rows_inserted=0)
     return load_id
 
 
+def _month_spans(table: Table, last: Row) -> list[list[int] | None]:
+    """Runs of a fact's months with about SPAN_ROWS rows each; None where one run has all."""
+    rows = table.rows_with_parts()
+    if rows is None:
+        return [None]
+    visible = F.col("load_id").between(last.base_load_id, last.load_id) & (F.col("status") == ACCEPTED)
+    counts = {r.date_month: r["count"] for r in rows.where(visible).groupBy("date_month").count().collect()}  # a row a month
+    if None in counts or sum(counts.values()) <= SPAN_ROWS:
+        return [None]
+    spans, held = [[]], 0
+    for month in sorted(counts):
+        if spans[-1] and held + counts[month] > SPAN_ROWS:
+            spans.append([])
+            held = 0
+        spans[-1].append(month)
+        held += counts[month]
+    return spans
+
+
 def analyze_files(table: Table, columns: Sequence[str]) -> int:
     """Store the rows, and of each column the least and greatest value and the NULLs, of every file of a fact or appended table that has
     no statistics yet; gives how many files they are of. ``Table.current(where=...)`` passes over files by them.

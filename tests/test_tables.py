@@ -127,6 +127,20 @@ def test_fact_load_in_slices_gives_the_rows_keys_and_counts_of_one(spark, tmp_pa
     assert wrote[:2] == [False] * 2 and wrote[2:5] == [False, True, True]
 
 
+def test_compaction_some_months_at_a_time_keeps_every_row(house, text, spark, sale_dims, monkeypatch):
+    for stamp, month in ((DAY1, "01"), (DAY2, "02"), (DAY3, "03")):
+        lines = sale_lines(text, 100 * int(month), 100 * int(month) + 40).withColumn("sale_date", F.lit(f"2024-{month}-15"))
+        house.load_fact(lines, generic.SALES, stamp, sale_dims)
+    table, wrote, write = house.fact(generic.SALES), [], maintenance.write_rows
+    monkeypatch.setattr(maintenance, "write_rows", lambda *a, **k: (wrote.append(k.get("append")), write(*a, **k)))
+    before = rows(table.read())
+    for column, most, appended in ((None, 1, [False, True, True]), (["date_key", "sale_key"], 80, [False, True])):
+        monkeypatch.setattr(maintenance, "SPAN_ROWS", most)
+        wrote.clear()
+        maintenance.compact_cluster(table, ["sale_id"], DAY3.load_ts, column=column)
+        assert rows(table.read()) == before and wrote == appended
+
+
 def test_load_that_died_before_its_marker_is_invisible_and_its_retry_replaces_it(house, text, spark):
     house.load_dim(person(text, {"person_id": "1"}), PERSON, DAY1)
     before, table = segments(house), house.dim(PERSON)
