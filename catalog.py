@@ -507,7 +507,8 @@ def null_key_cols(spark, sf_dir):
 
 def summary(spark: SparkSession, sf_dir: str, spec: FactSpec, staging: str) -> DataFrame:
     dims = build_dims(spark, sf_dir, GENERIC, [lk.dim for lk in spec.lookups])
-    fact = facts.load_facts(stage(spark, sf_dir, staging), spec, dims, STAMPS[2])
+    needed = ["date_key", "product_key", "customer_key", "quantity", "net_amount"]
+    fact = facts.load_facts(stage(spark, sf_dir, staging), spec, dims, STAMPS[2], columns=needed)
     return marts.monthly_summary(fact, calendar(spark, sf_dir), dims["dim_product"], dims["dim_customer"])
 
 

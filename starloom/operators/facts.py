@@ -5,15 +5,17 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starloom.functions import MONEY, RATE, date_key, order_discount, snapshot_key, try_as
 from starloom.operators.clean import REJECT, drop_null_key, flag_rejects, one_per_key, typed_project
 from starloom.operators.lookups import lookup_all
+from starloom.session import SPLIT_BYTES, input_bytes, materialize, scratch_path, scratch_scope, small_splits
 from starloom.spec import FactSpec, LoadStamp
 
 SLICE_ROWS = 40_000_000  # staged rows that go through the shuffles of a load at a time
+LARGE_INPUT = 512 * 1024 * 1024  # bytes of files from which facts are written slice by slice
 _DATE_TEXT = "_date_text"
 _DAY, _SOUND = "_day", "_sound"
 SET_ASIDE = "set_aside"
@@ -151,9 +153,27 @@ def load_facts(
     stamp: LoadStamp,
     loaded: DataFrame | None = None,
     on_dup: str = "latest",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The facts to append, without the rejected rows."""
-    return accepted(resolve_facts(staged, spec, dims, stamp, loaded, on_dup), spec)
+    """The facts to append, without the rejected rows; all their columns or those asked for.
+
+    Facts of large files are written to a scratch table. The staged rows are typed and written once, and resolved slice by slice:
+    in one plan the shuffles for staging, deduplication and every lookup would lie on disk at the same time.
+    """
+    columns = columns or spec.output_columns
+    if input_bytes(staged) <= LARGE_INPUT:
+        return accepted(resolve_facts(staged, spec, dims, stamp, loaded, on_dup), spec).select(*columns)
+    spark, natural = staged.sparkSession, spec.natural_key
+    path = scratch_path(spark, f"facts-{spec.name}")
+    with scratch_scope(spark), small_splits(spark):
+        came = Observation()
+        batch = materialize(typed_batch(staged, spec).observe(came, F.count("*").alias("rows")), f"batch-{spec.name}", SPLIT_BYTES // 2)
+        of = slices(came.get.get("rows", 0))
+        for number in range(of):
+            known = None if loaded is None else in_slice(loaded, natural, number, of)
+            found = accepted(resolve_typed(in_slice(batch, natural, number, of), spec, dims, stamp, known, on_dup), spec).select(*columns)
+            found.write.mode("append").parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def accepted(resolved: DataFrame, spec: FactSpec) -> DataFrame:

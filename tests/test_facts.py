@@ -121,3 +121,19 @@ def test_inventory_is_keyed_by_the_load_date_and_a_later_snapshot_adds_nothing(t
     assert rows(first, "snapshot_date_key", "quantity_on_hand") == [(20240301, 5)]
     later = text(columns, ("S", "I1", "P1", "w", "9", "1", "2024-04-01"))
     assert facts.load_facts(later, retail.INVENTORY, dims, at("2024-04-01"), first).isEmpty()
+
+
+def test_facts_of_large_files_are_resolved_slice_by_slice(spark, tmp_path, text, dims, monkeypatch):
+    lines = [{"sale_id": str(n % 9), "net_amount": str(n), "customer_id": "C9" if n == 15 else "C1"} for n in range(16)]
+    sales(text, *lines, {"sale_id": None}, {"sale_id": "4", "sale_date": "?"}).write.parquet(str(tmp_path / "sales"))
+    staged = spark.read.parquet(str(tmp_path / "sales"))
+    first = facts.load_facts(sales(text, {"sale_id": "2"}), generic.SALES, dims, STAMP)
+    once, calls, resolve = rows(facts.load_facts(staged, generic.SALES, dims, STAMP, first)), [], facts.resolve_typed
+    monkeypatch.setattr(facts, "LARGE_INPUT", 0)
+    monkeypatch.setattr(facts, "SLICE_ROWS", 6)
+    monkeypatch.setattr(facts, "resolve_typed", lambda *a, **k: (calls.append(1), resolve(*a, **k))[1])
+    found = facts.load_facts(staged, generic.SALES, dims, STAMP, first)
+    assert rows(found) == once and len(calls) == 3 and len(once) == 7
+    assert found.columns == list(generic.SALES.output_columns)
+    needed = ["date_key", "net_amount"]
+    assert rows(facts.load_facts(staged, generic.SALES, dims, STAMP, first, columns=needed)) == rows(found, *needed)

@@ -80,3 +80,19 @@ def test_segment_report_counts_facts_of_current_versions_only(spark):
         assert plan.count("hashpartitioning(customer_key") == 2, "the join must reuse the aggregate's partitioning"
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_monthly_report_sums_once_and_counts_every_row(spark):
+    fact = spark.createDataFrame(
+        [(20240101, 1, 1, "1"), (20240102, 2, 1, "2"), (20240101, 1, 2, "4"), (20240201, 3, 1, "8"), (20250101, 1, 1, "16"), (20240101, None, 1, "32")],
+        "date_key int, product_key bigint, customer_key bigint, q string",
+    ).selectExpr("date_key", "product_key", "customer_key", "cast(q as decimal(18,4)) quantity", "cast(q as decimal(18,4)) net_amount")
+    days = spark.createDataFrame(
+        [(d, 2024, d // 100 % 100, str(d // 100 % 100)) for d in (20240101, 20240102, 20240201)], "date_key int, year_number int, month_number int, month_name string"
+    )
+    products = spark.createDataFrame([(1, "c", "p"), (2, "c", "p"), (3, "c", None)], "product_key bigint, category string, product_name string")
+    customers = spark.createDataFrame([(1, "A"), (2, "B")], "customer_key bigint, customer_segment string")
+    report = marts.monthly_summary(fact, days, products, customers)
+    found = {(r.month_number, r.product_name, r.customer_segment): float(r.total_net_amount) for r in report.collect()}
+    assert found == {(1, "p", "A"): 3.0, (1, "p", "B"): 4.0, (2, None, "A"): 8.0} and dict(report.dtypes)["total_quantity"] == marts.TOTAL
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
