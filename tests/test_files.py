@@ -4,7 +4,9 @@ import os
 import pytest
 from helpers import at, rows
 
+import catalog
 from starloom.operators.control import NEVER
+from starloom.session import children
 from starloom.sources import files
 
 DAY = at("2024-01-01")
@@ -96,3 +98,21 @@ def test_headers_of_many_files_start_no_job(spark, tmp_path):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert rows(read, "id", "v", "w") == sorted(((str(k), "x", None) if k % 2 else (str(k), None, "y") for k in range(200)), key=repr)
+
+
+def test_delivered_files_and_staging_tables_are_written_compressed(spark, tmp_path, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def stop(house, domain, root, *rest):
+        raise Seen([name for file in children(spark, f"{root}/core") for name in children(spark, f"{root}/core/{file}") if name.startswith("part-")])
+
+    monkeypatch.setattr(catalog.deliveries, "load_delivery", stop)
+    with pytest.raises(Seen) as seen:
+        catalog.queries()["generic_delivery"](spark, "/root/testdata/sf0.001")
+    names = seen.value.args[0]
+    assert names and all(name.endswith(".csv.gz") for name in names)
+    table = str(tmp_path / "staged")
+    files.sink_full(spark.range(3), table)
+    assert all(name.endswith(".zstd.parquet") for name in os.listdir(table) if name.startswith("part-"))
+    assert rows(spark.read.parquet(table)) == [(0,), (1,), (2,)]
